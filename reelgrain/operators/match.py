@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 from .ordered import top_n
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 MAX_PIVOTS = 4096
 DIGITS = 12
 SLACK = 1e-6
@@ -87,7 +87,8 @@ def _compare(queries: DataFrame, targets: DataFrame, k: int, size: int, schema:
     t = t.join(qn, keys).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)))
     at = [*keys, "qb", "tb"]
     q = q.select(*at, "sig", "src", "vec", "bound")
-    t = t.select(*at, "id", "vec")
+    # fresh columns: both sides may come from one table
+    t = t.select(*[F.col(c).alias(c) for c in (*at, "id", "vec")])
     return q.groupBy(*at).cogroup(t.groupBy(*at)).applyInPandas(_best(k), schema)
 
 
@@ -131,18 +132,26 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
     costs no more than a single image.
     """
     rows = features.select(F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
+    # one signature per distinct vector
     rows = rows.withColumn("sig", F.sha2(F.to_json(F.struct("vec")), 256))
     kind = features.schema[id].dataType.simpleString()
     label = features.schema[scene].dataType.simpleString()
     schema = f"scene {label}, sig string, src {kind}, bound double, dst {kind}, score double"
 
+    total = rows.count()
+    if total <= block_rows:
+        # everything fits one block, so a scene does
+        whole = rows.select("scene", "sig", F.col("id").alias("src"), "id", "vec", F.lit(float("-inf")).alias("bound"))
+        found = whole.groupBy("scene").applyInPandas(lambda block: _best(k)(block, block), schema)
+        ranked = top_n(found, ["scene", "src"], [F.desc("score"), F.asc("dst")], k, "rank")
+        return ranked.select(F.col("scene").alias(scene), "src", "dst", "score", "rank")
+
     targets = top_n(rows, ["scene", "sig"], [F.asc("id")], k + 1)
     # copies that are not targets search as one query without an id
     spare = rows.groupBy("scene", "sig").agg(F.count(F.lit(1)).alias("_n"), F.min_by("vec", "id").alias("vec"))
     spare = spare.where(F.col("_n") > k + 1).select("scene", F.lit(None).cast(kind).alias("src"), "vec", "sig")
     queries = targets.select("scene", F.col("id").alias("src"), "vec", "sig").unionByName(spare)
 
-    total = rows.count()
     wanted = min(MAX_PIVOTS, max(1, math.ceil(total / block_rows))) if pivots is None else pivots
     # at most MAX_PIVOTS vectors reach the driver
     chosen = targets.orderBy(F.xxhash64("id", F.lit(11))).select("vec").take(wanted)
@@ -173,12 +182,14 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
 
     order = [F.desc("score"), F.asc("dst")]
     ranked = top_n(found, ["scene", "sig", "src"], order, k, "rank")
-    direct = ranked.where(F.col("src").isNotNull()).select("scene", "src", "dst", "score", "rank")
-    shared = ranked.where(F.col("src").isNull()).select("scene", "sig", "dst", "score", "rank")
-    copies = rows.select("scene", "sig", F.col("id").alias("src"))
-    copies = copies.join(targets.select(F.col("scene"), F.col("id").alias("src")), ["scene", "src"], "left_anti")
-    repeated = copies.join(shared, ["scene", "sig"]).select("scene", "src", "dst", "score", "rank")
-    return direct.unionByName(repeated).withColumnRenamed("scene", scene)
+    # a target takes its own list, a further copy the list of the search without an id
+    own = targets.select("scene", "sig", "id", F.col("id").alias("src"))
+    copies = rows.select("scene", "sig", "id").join(own.select("scene", "id"), ["scene", "id"], "left_anti")
+    members = own.unionByName(copies.withColumn("src", F.lit(None).cast(kind)))
+    same = (F.col("m.scene").eqNullSafe(F.col("r.scene")) & (F.col("m.sig") == F.col("r.sig"))
+            & F.col("m.src").eqNullSafe(F.col("r.src")))
+    lists = members.alias("m").join(ranked.alias("r"), same)
+    return lists.select(F.col("m.scene").alias(scene), F.col("m.id").alias("src"), "r.dst", "r.score", "r.rank")
 
 
 def match(features: DataFrame, id: str, scene: str, vec: str, ratio: float | None = 0.8, mutual: bool = True,
@@ -195,14 +206,14 @@ def match(features: DataFrame, id: str, scene: str, vec: str, ratio: float | Non
         F.max(F.when(F.col("rank") == 1, F.col("score"))).alias("score"),
         F.max(F.when(F.col("rank") == 1, gap)).alias("_d1"),
         F.max(F.when(F.col("rank") == 2, gap)).alias("_d2"))
-    accepted = best
-    if ratio is not None:
-        accepted = accepted.where(F.col("_d2").isNull() | (F.col("_d1") < ratio * F.col("_d2")))
-    accepted = accepted.select(scene, "src", "dst", "score")
+    passed = F.lit(True) if ratio is None else F.col("_d2").isNull() | (F.col("_d1") < ratio * F.col("_d2"))
+    judged = best.withColumn("_ok", passed)
     if not mutual:
-        return accepted
-    back = best.select(scene, F.col("src").alias("dst"), F.col("dst").alias("src"))
-    return accepted.join(back, [scene, "src", "dst"], "left_semi").where(F.col("src") < F.col("dst"))
+        return judged.where("_ok").select(scene, "src", "dst", "score")
+    # both directions of a mutual pair meet in one group of two rows
+    ends = judged.groupBy(scene, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("score").alias("score"), F.bool_or(F.col("_ok") & (F.col("src") < F.col("dst"))).alias("_ok"))
+    return ends.where("_n = 2 AND _ok").select(scene, F.col("a").alias("src"), F.col("b").alias("dst"), "score")
 
 
 def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bucket_length: float = 1.0,

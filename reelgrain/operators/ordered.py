@@ -147,15 +147,15 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], amou
         if total:
             base = base.withColumn(total, F.sum("_amount").over(whole))
         return base.drop(SLICE, "_amount")
-    extra = {"_total": F.sum("_part")} if total else {}
+    extra = {"_sum_all": F.sum("_part")} if total else {}
     rows = with_carry(base, keys, F.sum("_amount"), F.sum, extra)
     ahead = (Window.partitionBy(*keys, SLICE).orderBy(F.desc(MARK), *order)
              .rowsBetween(Window.unboundedPreceding, 0))
     step = F.when(F.col(MARK), F.col(CARRY)).otherwise(F.col("_amount"))
     rows = rows.withColumn(out, F.sum(step).over(ahead))
     if total:
-        rows = rows.withColumn(total, F.first("_total").over(ahead))
-    return rows.where(~F.col(MARK)).drop(SLICE, MARK, CARRY, "_amount", "_total")
+        rows = rows.withColumn(total, F.first("_sum_all").over(ahead))
+    return rows.where(~F.col(MARK)).drop(SLICE, MARK, CARRY, "_amount", "_sum_all")
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",

@@ -30,9 +30,10 @@ def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, rig
     number's unit. One pass over the union of both sides; every left row gives one row.
     """
     if direction == "nearest":
-        back = asof(left, right, on, left_ts, right_ts, [right_ts, *values], tie, left_tie, tolerance, "backward",
+        held = [right_ts, *[v for v in values if v != right_ts]]
+        back = asof(left, right, on, left_ts, right_ts, held, tie, left_tie, tolerance, "backward",
                     "_b_", per_slice)
-        both = asof(back, right, on, left_ts, right_ts, [right_ts, *values], tie, left_tie, tolerance, "forward",
+        both = asof(back, right, on, left_ts, right_ts, held, tie, left_tie, tolerance, "forward",
                     "_f_", per_slice)
         here = _axis(left, left_ts)
         far = F.col(f"_f_{right_ts}").isNotNull() & (

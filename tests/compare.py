@@ -65,7 +65,7 @@ def main() -> int:
     folder = sys.argv[1]
     only = sys.argv[2:]
     spark = build_session(master="local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(folder), entry.oracle_sql(), 0
     for name, run in entry.queries().items():
