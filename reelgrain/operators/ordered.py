@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import micros
+from ..session import cut_lineage
 
 ROWS_PER_SLICE = 500_000
 MAX_SLICES = 4096
 MAX_HOT_KEYS = 1000
+SKETCH_ACCURACY = 10_000
 SLICE, MARK, CARRY = "_slice", "_mark", "_carry"
 _EXACT_DOUBLE = float(1 << 53)
 
@@ -47,9 +49,12 @@ def as_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> list:
-    """Keys with more than `limit` rows. At most MAX_HOT_KEYS exist above total / MAX_HOT_KEYS."""
-    total = df.count()
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int, rows: int | None = None) -> list:
+    """Keys with more than `limit` rows. At most MAX_HOT_KEYS exist above total / MAX_HOT_KEYS.
+
+    `rows` is an upper bound of the row count where the caller knows one.
+    """
+    total = df.count() if rows is None else rows
     if total <= limit:
         return []
     floor = max(limit, total // MAX_HOT_KEYS)
@@ -81,12 +86,13 @@ def _bucket(df: DataFrame, source: str, out: str, cuts: Sequence[float]) -> Data
     return df.withColumn(out, value).drop(axis)
 
 
-def slice_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], per_slice: int = ROWS_PER_SLICE) -> Sliced:
+def slice_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], per_slice: int = ROWS_PER_SLICE,
+               rows: int | None = None) -> Sliced:
     """Add a slice number that never decreases along `order` within a key."""
     plain = Sliced(df.withColumn(SLICE, F.lit(0)), False)
     if as_number(df, order[0]) is None:
         return plain
-    hot = hot_keys(df, keys, per_slice)
+    hot = hot_keys(df, keys, per_slice, rows)
     if not hot:
         return plain
     if keys:
@@ -100,9 +106,9 @@ def slice_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], per_sli
         marked = df.join(table, same, "left").drop(*[f"_h{i}" for i in range(len(keys))])
     else:
         marked = df.withColumn("_hot", F.lit(True))
-    rows = sum(r["_n"] for r in hot)
+    many = sum(r["_n"] for r in hot)
     busy = marked.where("_hot")
-    cuts, heavy, exact = _boundaries(busy, order[0], rows, per_slice)
+    cuts, heavy, exact = _boundaries(busy, order[0], many, per_slice)
     if not cuts:
         return plain
     heavy = heavy if exact and len(order) > 1 else []
@@ -111,7 +117,7 @@ def slice_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], per_sli
     marked = _bucket(marked, order[0], SLICE, splits)
     if heavy and as_number(df, order[1]) is not None:
         alone = [splits.index(h) + 1 for h in heavy]
-        finer, _, _ = _boundaries(busy, order[1], rows, per_slice)
+        finer, _, _ = _boundaries(busy, order[1], many, per_slice)
         marked = _bucket(marked, order[1], "_sub", finer)
         sub = F.when(F.col(SLICE).isin(alone), F.col("_sub") + 1).otherwise(F.lit(0))
         marked = marked.withColumn(SLICE, F.col(SLICE) * (len(finer) + 3) + sub).drop("_sub")
@@ -136,9 +142,9 @@ def with_carry(sliced: DataFrame, keys: Sequence[str], part: Column, fold: Calla
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: Column, out: str,
-                  total: str | None = None, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+                  total: str | None = None, per_slice: int = ROWS_PER_SLICE, rows: int | None = None) -> DataFrame:
     """Inclusive running sum of `amount` along `order` within `keys`, and the key's total."""
-    sliced = slice_rows(df, keys, order, per_slice)
+    sliced = slice_rows(df, keys, order, per_slice, rows)
     base = sliced.df.withColumn("_amount", amount)
     if not sliced.cut:
         whole = Window.partitionBy(*keys)
@@ -148,14 +154,14 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], amou
             base = base.withColumn(total, F.sum("_amount").over(whole))
         return base.drop(SLICE, "_amount")
     extra = {"_sum_all": F.sum("_part")} if total else {}
-    rows = with_carry(base, keys, F.sum("_amount"), F.sum, extra)
+    carried = with_carry(base, keys, F.sum("_amount"), F.sum, extra)
     ahead = (Window.partitionBy(*keys, SLICE).orderBy(F.desc(MARK), *order)
              .rowsBetween(Window.unboundedPreceding, 0))
     step = F.when(F.col(MARK), F.col(CARRY)).otherwise(F.col("_amount"))
-    rows = rows.withColumn(out, F.sum(step).over(ahead))
+    carried = carried.withColumn(out, F.sum(step).over(ahead))
     if total:
-        rows = rows.withColumn(total, F.first("_sum_all").over(ahead))
-    return rows.where(~F.col(MARK)).drop(SLICE, MARK, CARRY, "_amount", "_sum_all")
+        carried = carried.withColumn(total, F.first("_sum_all").over(ahead))
+    return carried.where(~F.col(MARK)).drop(SLICE, MARK, CARRY, "_amount", "_sum_all")
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
@@ -214,20 +220,60 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, r
 
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = (),
-              per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Exact interpolated quantiles per key, from value counts and their running sum.
+              extra: dict[str, Column] | None = None, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Exact interpolated quantiles per key, with further aggregates in `extra`.
 
-    No task holds a whole key's values, unlike the built-in exact percentile.
+    Keys of ordinary size take the built-in exact percentile, which holds a key's values in one
+    task. With a bigger key, a sketch first brackets each quantile; only values inside a bracket
+    are then told apart, everything else is counted, so little is shuffled or sorted.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    steps = running_total(counts, keys, [value], F.col("_n"), "_upto", "_all", per_slice)
+    extra = extra or {}
+    also = [agg.alias(name) for name, agg in extra.items()]
+    known = F.col(value).isNotNull()
+    sizes = df.groupBy(*keys).agg(F.count(value).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if sizes <= per_slice:
+        marks = [F.percentile(value, p).alias(name) for name, p in probs.items()]
+        return df.groupBy(*keys).agg(*marks, *also).select(*keys, *probs, *extra)
+
+    margin = 4.0 / SKETCH_ACCURACY
+    edges = [e for p in sorted(probs.values()) for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = df.where(known).groupBy(*keys).agg(
+        F.percentile_approx(value, edges, SKETCH_ACCURACY).alias("_e"), F.count(F.lit(1)).alias("_size"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}"))
+    tagged = df.where(known).alias("d").join(sketch.alias("s"), same).select(*[F.col(f"d.{k}") for k in keys], F.col(f"d.{value}").alias("_v"), "_e", "_size")
+    # a value outside all brackets becomes the upper edge below it, marked to sort after that edge
+    # keys too small for the sketch's margin to span whole ranks keep all their values
+    kept, floor = F.col("_size") <= max(per_slice, 2 * SKETCH_ACCURACY), F.lit(None)
+    for i in range(0, len(edges), 2):
+        low, high = F.col("_e")[i], F.col("_e")[i + 1]
+        kept = kept | F.col("_v").between(low, high)
+        floor = F.when(F.col("_v") > high, high).otherwise(floor)
+    counts = tagged.select(*keys, F.when(kept, F.col("_v")).otherwise(floor).alias("_v"), (~kept).alias("_rest"))
+    counts = cut_lineage(counts.groupBy(*keys, "_v", "_rest").agg(F.count(F.lit(1)).alias("_n")))
+    steps = running_total(counts, keys, ["_v", "_rest"], F.col("_n"), "_upto", "_all", per_slice)
     picks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("_all") - 1)
-        picks.append(F.min(F.when(F.col("_upto") > F.floor(at), F.col(value))).alias(f"{name}_lo"))
-        picks.append(F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).alias(f"{name}_hi"))
+        for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.min(F.when(F.col("_upto") > rank, F.struct("_v", "_rest"))).alias(f"{name}_{end}"))
         picks.append(F.max(at - F.floor(at)).alias(f"{name}_w"))
     found = steps.groupBy(*keys).agg(*picks)
-    return found.select(*keys, *[
-        (F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * F.col(f"{n}_w")).alias(n) for n in probs
-    ])
+    results = []
+    for name in probs:
+        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        outside = lo["_rest"] | hi["_rest"]
+        between = lo["_v"] + (hi["_v"] - lo["_v"]) * F.col(f"{name}_w")
+        results.append(F.when(outside, F.raise_error(F.lit("quantile outside its bracket"))).otherwise(between).alias(name))
+    marks = found.select(*keys, *results)
+    if not extra:
+        return marks
+    totals = df.groupBy(*keys).agg(*also)
+    if not keys:
+        # one row on each side
+        return totals.select(*[marks.select(n).scalar().alias(n) for n in probs], *extra)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"t.{k}").eqNullSafe(F.col(f"m.{k}"))
+    return totals.alias("t").join(marks.alias("m"), same, "left").select(*[F.col(f"t.{k}") for k in keys], *probs, *extra)

@@ -22,11 +22,11 @@ def to_long(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select([F.col(c).cast("double") for c in columns]).unpivot([], columns, "column", "value")
 
 
-def _moments() -> list[Column]:
-    return [
-        F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-    ]
+def _moments() -> dict[str, Column]:
+    return {
+        "n": F.count("value"), "nulls": F.count_if(F.col("value").isNull()), "min": F.min("value"),
+        "max": F.max("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
+    }
 
 
 def profile(df: DataFrame, columns: list[str], exact: bool = False, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -38,11 +38,11 @@ def profile(df: DataFrame, columns: list[str], exact: bool = False, per_slice: i
     long = to_long(df, columns)
     marks = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     if not exact:
-        quartiles = F.percentile_approx("value", list(marks.values()), 10_000)
-        row = long.groupBy("column").agg(*_moments(), F.approx_count_distinct("value").alias("distinct"), quartiles.alias("_q"))
+        quartiles = F.percentile_approx("value", list(marks.values()), 10_000).alias("_q")
+        moments = [agg.alias(name) for name, agg in _moments().items()]
+        row = long.groupBy("column").agg(*moments, F.approx_count_distinct("value").alias("distinct"), quartiles)
         return row.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(marks)]).drop("_q")
-    basic = long.groupBy("column").agg(*_moments())
+    basic = quantiles(long, "value", marks, ["column"], _moments(), per_slice)
+    # distinct first, so that no task holds a column's values
     values = long.where(F.col("value").isNotNull()).distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
-    exact_marks = quantiles(long, "value", marks, ["column"], per_slice)
-    return basic.join(values, "column", "left").join(exact_marks, "column", "left").withColumn(
-        "distinct", F.coalesce("distinct", F.lit(0).cast("long")))
+    return basic.join(values, "column", "left").withColumn("distinct", F.coalesce("distinct", F.lit(0).cast("long")))

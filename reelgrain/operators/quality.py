@@ -29,14 +29,11 @@ def quality_metrics(jobs: DataFrame, polygons: str = "polygon_count", time: str
     spans = isinstance(jobs.schema[time].dataType, T.DayTimeIntervalType)
     timed = jobs.withColumn("_time", interval_seconds(F.col(time)) if spans else F.col(time).cast("double"))
     name = f"p{round(p * 100)}_processing_time"
-    mean = F.avg(polygons).alias("avg_polygons")
     if exact:
-        means = timed.groupBy(*keys).agg(mean)
-        found = quantiles(timed, "_time", {name: p}, keys, per_slice)
-        # one row per key on both sides
-        stats = means.join(found, keys) if keys else means.withColumn(name, found.scalar())
+        stats = quantiles(timed, "_time", {name: p}, keys, {"avg_polygons": F.avg(polygons)}, per_slice)
+        stats = stats.select(*keys, "avg_polygons", name)
     else:
-        stats = timed.groupBy(*keys).agg(mean, F.percentile_approx("_time", p).alias(name))
+        stats = timed.groupBy(*keys).agg(F.avg(polygons).alias("avg_polygons"), F.percentile_approx("_time", p).alias(name))
     if spans:
         stats = stats.withColumn(name, F.make_dt_interval(secs=F.col(name).cast("decimal(18,6)")))
     return stats
@@ -81,9 +78,8 @@ def lag_report(df: DataFrame, lag: Column, keys: list[str], limit: float = LAG_S
                per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Largest and quantile lag in seconds per group, and how many rows are over the limit."""
     lagged = df.select(*keys, lag.cast("double").alias("_lag"))
-    stats = lagged.groupBy(*keys).agg(
-        F.count("_lag").alias("rows"), F.count_if(F.col("_lag") > limit).alias("late"), F.max("_lag").alias("max_lag"))
-    return stats.join(quantiles(lagged, "_lag", {"quantile_lag": p}, keys, per_slice), keys, "left")
+    counts = {"rows": F.count("_lag"), "late": F.count_if(F.col("_lag") > limit), "max_lag": F.max("_lag")}
+    return quantiles(lagged, "_lag", {"quantile_lag": p}, keys, counts, per_slice)
 
 
 def sla_report(runs: DataFrame, start: str, end: str, keys: list[str], sla: float = SLA_SECONDS) -> DataFrame:

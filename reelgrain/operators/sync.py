@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import micros
-from .ordered import CARRY, MARK, ROWS_PER_SLICE, SLICE, slice_rows, with_carry
+from .ordered import CARRY, MARK, ROWS_PER_SLICE, SLICE, running_total, slice_rows, with_carry
 
 
 def _axis(df: DataFrame, name: str):
@@ -68,22 +68,21 @@ def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, rig
     return rows.select("_left.*", *[F.col(f"_hit.v{i}").alias(prefix + v) for i, v in enumerate(values)])
 
 
-def interval_counts(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str,
-                    tolerance: int, tie: str, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """How many right rows lie within `tolerance` of each left row, and the nearest one's `tie`.
+def interval_counts(left: DataFrame, right: DataFrame, on: Sequence[str], left_id: str, left_ts: str, right_ts: str,
+                    tolerance: int, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """How many right rows lie within `tolerance` of each left row, as (left_id, matches).
 
-    Counts come from positions (last at or before the end minus last before the start), so dense
-    moments do not multiply into pairs.
+    Each left row asks twice how many right rows there are up to a time, at the interval's end and
+    just before its start, so dense moments do not multiply into pairs.
     """
-    from .ordered import with_position
-
-    axis = right.select(*on, _axis(right, right_ts).alias("_rt"), F.col(tie).alias("_rid"))
-    placed = with_position(axis, on, ["_rt", "_rid"], "_pos", per_slice=per_slice)
-    here = left.withColumn("_hi", _axis(left, left_ts) + tolerance).withColumn("_lo", _axis(left, left_ts) - tolerance - 1)
-    here = here.withColumn("_mid", _axis(left, left_ts))
-    upper = asof(here, placed, on, "_hi", "_rt", ["_pos"], "_rid", prefix="_hi", per_slice=per_slice)
-    lower = asof(upper, placed, on, "_lo", "_rt", ["_pos"], "_rid", prefix="_lo", per_slice=per_slice)
-    near = asof(lower, placed, on, "_mid", "_rt", ["_rid"], "_rid", tolerance=tolerance, direction="nearest",
-                prefix="_near", per_slice=per_slice)
-    count = F.coalesce(F.col("_hi_pos"), F.lit(-1)) - F.coalesce(F.col("_lo_pos"), F.lit(-1))
-    return near.select(*left.columns, count.cast("long").alias("matches"), F.col("_near_rid").alias("nearest"))
+    zero = F.lit(0).cast("long")
+    asked = F.explode(F.array(
+        F.struct((_axis(left, left_ts) + tolerance).alias("_t"), F.lit(1).alias("_sign")),
+        F.struct((_axis(left, left_ts) - tolerance - 1).alias("_t"), F.lit(-1).alias("_sign")))).alias("_ask")
+    probes = left.select(*on, left_id, asked).select(
+        *on, left_id, "_ask._t", "_ask._sign", zero.alias("_one"), F.lit(1).alias("_side"))
+    seen = right.select(*on, _axis(right, right_ts).alias("_t"), F.lit(1).cast("long").alias("_one"), F.lit(0).alias("_side"))
+    both = probes.unionByName(seen.where(F.col("_t").isNotNull()), allowMissingColumns=True)
+    counted = running_total(both, on, ["_t", "_side"], F.col("_one"), "_upto", per_slice=per_slice)
+    answers = counted.where("_side = 1").groupBy(left_id).agg(F.sum(F.col("_upto") * F.col("_sign")).alias("matches"))
+    return answers.withColumn("matches", F.coalesce("matches", zero))

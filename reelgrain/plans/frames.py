@@ -200,14 +200,13 @@ def j7_nearest(t: Tables):
 @query("j7_interval_counts", """
 WITH l AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'click'),
 r AS (SELECT user_id, event_id AS view_id, ts AS view_ts FROM events WHERE event_type = 'view')
-SELECT l.user_id, l.event_id, count(r.view_id) AS matches
+SELECT l.event_id, count(r.view_id) AS matches
 FROM l LEFT JOIN r ON l.user_id = r.user_id AND abs(epoch_us(r.view_ts) - epoch_us(l.ts)) <= 86400000000
-GROUP BY l.user_id, l.event_id
+GROUP BY l.event_id
 """)
 def j7_interval(t: Tables):
     clicks, views = _clicks_views(t)
-    rows = sync.interval_counts(clicks, views, ["user_id"], "ts", "view_ts", 86_400_000_000, "view_id")
-    return rows.select("user_id", "event_id", "matches")
+    return sync.interval_counts(clicks, views, ["user_id"], "event_id", "ts", "view_ts", 86_400_000_000)
 
 
 @query("l1_latest_object", """

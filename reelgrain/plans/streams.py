@@ -5,13 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import validate as vd
 from ..session import scratch_path
 from ..streaming import anomalies as an
 from ..streaming import ingest as ing
 from ..streaming import windows as win
 from .registry import Tables, query, us
-from .validation import BYTES
+from .validation import rules
 
 
 def as_stream(t: Tables, name: str) -> DataFrame:
@@ -37,9 +36,9 @@ SELECT doc_id, n_chars BETWEEN 100 AND 5000 AS passed FROM documents
 """)
 def k2(t: Tables):
     base = scratch_path(t.spark, "stream")
-    rules = t.spark.createDataFrame([("file_size", "n_chars", *BYTES, None)], vd.RULES)
+    bounds = rules(t.spark).where("rule = 'file_size'")
     stream = as_stream(t, "documents").select("doc_id", "n_chars")
-    job = ing.validate_stream(stream, rules, f"{base}/good", f"{base}/bad", f"{base}/log")
+    job = ing.validate_stream(stream, bounds, f"{base}/good", f"{base}/bad", f"{base}/log")
     job.awaitTermination()
     good, bad = t.spark.read.parquet(f"{base}/good"), t.spark.read.parquet(f"{base}/bad")
     return good.select("doc_id", F.lit(True).alias("passed")).unionByName(bad.select("doc_id", F.lit(False).alias("passed")))

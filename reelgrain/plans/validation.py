@@ -12,11 +12,10 @@ BYTES = (100.0, 5000.0)
 
 def rules(spark):
     """Validation bounds as rule rows."""
-    return spark.createDataFrame([
-        ("file_size", "n_chars", *BYTES, None),
-        ("duration", "duration", *map(float, DURATION_SECONDS), None),
-        ("resolution", "resolution", None, None, RESOLUTION_PATTERN),
-    ], vd.RULES)
+    return spark.sql(f"""
+      SELECT * FROM VALUES ('file_size', 'n_chars', {BYTES[0]}D, {BYTES[1]}D, NULL),
+        ('duration', 'duration', {DURATION_SECONDS[0]}D, {DURATION_SECONDS[1]}D, NULL),
+        ('resolution', 'resolution', NULL, NULL, '{RESOLUTION_PATTERN}') AS r(rule, column, lo, hi, regex)""")
 
 
 def videos(t: Tables):

@@ -72,16 +72,27 @@ def test_rolling(spark, n):
     assert rows(got, "id", "s") == rows(want, "id", "s")
 
 
+@pytest.mark.parametrize("per_slice", [SMALL, 10_000])
 @pytest.mark.parametrize("keys", [[], ["key"]])
-def test_quantiles(spark, keys):
+def test_quantiles(spark, keys, per_slice):
     df = skewed(spark)
-    marks = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
-    want = df.groupBy(*keys).agg(*[F.percentile("t", p).alias(n) for n, p in marks.items()])
-    got = o.quantiles(df, "t", marks, keys, SMALL)
-    have = {tuple(r[: len(keys)]): r for r in rows(got, *keys, *marks)}
-    for row in rows(want, *keys, *marks):
-        assert have[tuple(row[: len(keys)])] == pytest.approx(row) if not keys else all(
-            a == pytest.approx(b) for a, b in zip(have[tuple(row[:1])][1:], row[1:]))
+    marks = {"q0": 0.0, "q10": 0.1, "q50": 0.5, "q90": 0.9, "q100": 1.0}
+    want = df.groupBy(*keys).agg(*[F.percentile("t", p).alias(n) for n, p in marks.items()], F.sum("v").alias("s"))
+    got = o.quantiles(df, "t", marks, keys, {"s": F.sum("v")}, per_slice)
+    for a, b in zip(rows(got, *keys, *marks, "s"), rows(want, *keys, *marks, "s"), strict=True):
+        assert a[: len(keys)] == b[: len(keys)]
+        assert a[len(keys):] == pytest.approx(b[len(keys):])
+
+
+def test_quantiles_of_a_big_key(spark):
+    """Past the sketch's margin only values near the quantiles stay apart; small keys stay whole."""
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 50 == 0, F.lit("small")).otherwise(F.lit("big")).alias("key"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.hash("id").cast("double")).alias("x"))
+    marks = {"q25": 0.25, "q50": 0.5, "q99": 0.99}
+    got = o.quantiles(df, "x", marks, ["key"], per_slice=1000)
+    want = df.groupBy("key").agg(*[F.percentile("x", p).alias(n) for n, p in marks.items()])
+    assert rows(got, "key", *marks) == rows(want, "key", *marks)
 
 
 def test_top_n(spark):
@@ -114,7 +125,7 @@ def test_interval_counts(spark):
     df = skewed(spark, 400).where("t IS NOT NULL AND key IS NOT NULL")
     left = df.where("id % 2 = 0").select("key", F.col("id").alias("lid"), F.col("t").alias("lt"))
     right = df.where("id % 2 = 1").select("key", F.col("id").alias("rid"), F.col("t").alias("rt"))
-    got = interval_counts(left, right, ["key"], "lt", "rt", 20, "rid", SMALL)
+    got = interval_counts(left, right, ["key"], "lid", "lt", "rt", 20, SMALL)
     rrows = right.collect()
     want = [(a.lid, sum(b.key == a.key and abs(b.rt - a.lt) <= 20 for b in rrows)) for a in left.collect()]
     assert rows(got, "lid", "matches") == sorted(want, key=repr)
