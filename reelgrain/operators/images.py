@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import PandasUDFType
 
 from ..constants import CHANNEL_MEAN, CHANNEL_STD, FRAME_SIZE, INPUT_CROP, INPUT_RESIZE
 from ..sources.objects import read_images
@@ -57,6 +58,18 @@ def resize(df: DataFrame, width: int = FRAME_SIZE[0], height: int = FRAME_SIZE[1
     return df.mapInPandas(task, df.schema)
 
 
+def resize_udf(width: int = FRAME_SIZE[0], height: int = FRAME_SIZE[1], method: str = "bilinear"):
+    """The same as a column function of (data, height, width, nChannels), for use inside a select."""
+
+    def scaled(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for data, rows, cols, channels in parts:
+            yield pd.Series([
+                np.rint(scale_image(_pixels(d, r, c, n), width, height, method)).astype(np.uint8).tobytes()
+                for d, r, c, n in zip(data, rows, cols, channels)], dtype=object)
+
+    return F.pandas_udf(scaled, T.BinaryType(), functionType=PandasUDFType.SCALAR_ITER)
+
+
 def normalise_pixels(df: DataFrame, resize: int = INPUT_RESIZE, crop: int = INPUT_CROP,
                      mean: tuple[float, ...] = CHANNEL_MEAN, std: tuple[float, ...] = CHANNEL_STD,
                      out: str = "tensor") -> DataFrame:

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 AREAS = ("quality", "frames", "catalog", "validation", "relations", "annotations", "drift", "geometry", "matching",
-         "images", "streams")
+         "images", "storage", "streams")
 
 
 def load_all() -> None:

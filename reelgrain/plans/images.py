@@ -36,6 +36,16 @@ def p7(t: Tables):
     return bytes_as_rows(im.resize(grey_images(t), 12, 6, "nearest"))
 
 
+@query("x1_resize_column", GREY + """
+SELECT vec_id, x, y, px[y * 2 * 8 + x * 2 + 1] AS value
+FROM (SELECT vec_id, px, unnest(range(0, 4)) AS x FROM c) a, (SELECT unnest(range(0, 4)) AS y) b
+""")
+def x1(t: Tables):
+    small = im.resize_udf(4, 4, "nearest")("data", "height", "width", "nChannels")
+    sized = grey_images(t).select("vec_id", small.alias("data"), F.lit(4).alias("height"), F.lit(4).alias("width"))
+    return bytes_as_rows(sized)
+
+
 @query("p8_normalise_pixels", GREY + """
 SELECT vec_id, y * 6 + x AS position, round((px[(y + 1) * 8 + (x + 1) + 1] / 255.0 - 0.5) / 0.25, 4) AS value
 FROM (SELECT vec_id, px, unnest(range(0, 6)) AS x FROM c) a, (SELECT unnest(range(0, 6)) AS y) b

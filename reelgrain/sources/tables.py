@@ -23,9 +23,16 @@ FRAMES = """frame_id BIGINT, timestamp TIMESTAMP, image_data BINARY,
     exif STRUCT<focal_length: FLOAT, iso: INT>"""
 
 
-def read_sidecars(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """JSON documents that span lines, one object or one array per file, with a given schema."""
-    return spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(path)
+def read_sidecars(spark: SparkSession, path: str | list[str], schema: str, multi_line: bool = True) -> DataFrame:
+    """JSON metadata with a given schema.
+
+    `multi_line` takes one object or one array per file, as cameras write them. Bulk tables with
+    an object per line need it off, which also lets Spark split big files and use folder columns.
+    """
+    reader = spark.read.schema(schema)
+    if multi_line:
+        reader = reader.option("multiLine", "true").option("recursiveFileLookup", "true")
+    return reader.json(path)
 
 
 def read_catalog(spark: SparkSession, table: str | None = None, path: str | None = None,
