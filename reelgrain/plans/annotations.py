@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import annotate as an
 from ..operators import config
-from .registry import Tables, query
+from .registry import Tables, cents, query
 
 
 @query("p6_normalise_detections", """
@@ -40,11 +40,12 @@ def e2_arrays(t: Tables):
 
 @query("e3_rollup_detections", """
 SELECT l_returnflag, l_linenumber, count(*) AS detections, count(DISTINCT l_orderkey) AS frames,
-       round(avg(l_discount), 6) AS avg_confidence, max(l_discount) AS max_confidence
-FROM lineitem GROUP BY l_returnflag, l_linenumber
+       round(avg(c), 6) AS avg_confidence, max(c) AS max_confidence
+FROM (SELECT *, CAST(round(l_discount * 100) AS BIGINT) AS c FROM lineitem) GROUP BY l_returnflag, l_linenumber
 """)
 def e3(t: Tables):
-    rows = an.rollup_detections(t.lineitem, ["l_returnflag", "l_linenumber"], "l_orderkey", "l_discount")
+    scored = t.lineitem.select("l_returnflag", "l_linenumber", "l_orderkey", cents("l_discount").alias("c"))
+    rows = an.rollup_detections(scored, ["l_returnflag", "l_linenumber"], "l_orderkey", "c")
     return rows.withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
-from .registry import Tables, query
+from .registry import Tables, cents, query
 
 
 def jobs(t: Tables):
@@ -151,14 +151,15 @@ def e21(t: Tables):
 
 
 @query("w4_j9_rolling_baseline", """
-WITH w AS (SELECT o_orderpriority, o_orderkey, o_totalprice, avg(o_totalprice) OVER (
-             PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS b FROM orders)
-SELECT o_orderpriority, o_orderkey, o_totalprice, round(b, 4) AS baseline, coalesce(o_totalprice > 2.0 * b, false) AS slow FROM w
+WITH c AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cost FROM orders),
+w AS (SELECT o_orderpriority, o_orderkey, cost, avg(cost) OVER (
+        PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS b FROM c)
+SELECT o_orderpriority, o_orderkey, cost, round(b, 4) AS baseline, coalesce(cost > 2.0 * b, false) AS slow FROM w
 """)
 def w4(t: Tables):
-    runs = t.orders.select("o_orderpriority", "o_orderkey", "o_orderdate", "o_totalprice")
-    rows = q.slow_runs(runs, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_totalprice")
-    return rows.select("o_orderpriority", "o_orderkey", "o_totalprice", F.round("baseline", 4).alias("baseline"), "slow")
+    runs = t.orders.select("o_orderpriority", "o_orderkey", "o_orderdate", cents("o_totalprice").alias("cost"))
+    rows = q.slow_runs(runs, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "cost")
+    return rows.select("o_orderpriority", "o_orderkey", "cost", F.round("baseline", 4).alias("baseline"), "slow")
 
 
 @query("w5_last_attempt", """

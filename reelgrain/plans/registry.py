@@ -40,6 +40,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], Dat
     return add
 
 
+def cents(column: str):
+    """Amounts as whole hundredths, so that sums do not depend on the order of addition."""
+    return F.round(F.col(column) * 100).cast("long")
+
+
 def us(column: str):
     """Epoch microseconds of a timestamp column."""
     return F.unix_micros(F.col(column).cast("timestamp"))

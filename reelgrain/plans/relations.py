@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as j
 from ..operators.quality import metric_drift
-from .registry import Tables, query
+from .registry import Tables, cents, query
 
 
 @query("j1_frame_metadata", """
@@ -39,8 +39,8 @@ def j6(t: Tables):
 
 
 @query("j8_reference_current", """
-WITH r AS (SELECT user_id, avg(value) AS reference FROM events WHERE ts < TIMESTAMP '2024-01-02' GROUP BY user_id),
-c AS (SELECT user_id, avg(value) AS current FROM events WHERE ts >= TIMESTAMP '2024-01-02' GROUP BY user_id)
+WITH r AS (SELECT user_id, avg(CAST(round(value * 100) AS BIGINT)) AS reference FROM events WHERE ts < TIMESTAMP '2024-01-02' GROUP BY user_id),
+c AS (SELECT user_id, avg(CAST(round(value * 100) AS BIGINT)) AS current FROM events WHERE ts >= TIMESTAMP '2024-01-02' GROUP BY user_id)
 SELECT coalesce(r.user_id, c.user_id) AS user_id, round(reference, 6) AS reference, round(current, 6) AS current,
        round(abs(current - reference) / nullif(reference, 0), 6) AS change,
        abs(current - reference) / nullif(reference, 0) > 0.15 AS drifted
@@ -48,5 +48,5 @@ FROM r FULL JOIN c ON r.user_id = c.user_id
 """)
 def j8(t: Tables):
     cut = F.lit("2024-01-02").cast("timestamp_ntz")
-    rows = metric_drift(t.events.where(F.col("ts") < cut), t.events.where(F.col("ts") >= cut), ["user_id"], F.avg("value"))
+    rows = metric_drift(t.events.where(F.col("ts") < cut), t.events.where(F.col("ts") >= cut), ["user_id"], F.avg(cents("value")))
     return rows.withColumns({c: F.round(c, 6) for c in ("reference", "current", "change")})

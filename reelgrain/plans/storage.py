@@ -8,7 +8,7 @@ from ..session import scratch_path
 from ..sinks import artifacts as art
 from ..sinks import publish as pub
 from ..sources import tables as tab
-from .registry import Tables, query
+from .registry import Tables, cents, query
 
 
 @query("a9_sidecar_scan", """
@@ -23,7 +23,7 @@ def a9(t: Tables):
 
 
 @query("a10_b8_metric_append", """
-SELECT event_type, count(*) AS n, round(avg(value), 6) AS utilisation FROM events GROUP BY event_type
+SELECT event_type, count(*) AS n, round(avg(CAST(round(value * 100) AS BIGINT)), 6) AS utilisation FROM events GROUP BY event_type
 """)
 def a10_b8(t: Tables):
     root = scratch_path(t.spark, "metrics")
@@ -32,7 +32,7 @@ def a10_b8(t: Tables):
     art.write_artifacts(metrics.where(F.col("ts") < cut), root, "gpu_metrics", partition_by=())
     target = art.write_artifacts(metrics.where(F.col("ts") >= cut), root, "gpu_metrics", partition_by=())
     table = tab.read_catalog(t.spark, path=target)
-    return table.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("utilisation"))
+    return table.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(cents("value")), 6).alias("utilisation"))
 
 
 @query("a12_feature_scan", """

@@ -29,6 +29,19 @@ def build_session(app: str = "reelgrain", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def sized_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for an input of a known size: shuffle partitions near 200 MB, at least two per core.
+
+    AQE merges those that turn out small, so the number may be generous.
+    """
+    partitions = max(2 * cores, -(-input_bytes // (200 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m" if input_bytes > 1 << 40 else "128m",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only for local sessions without it."""
     sc = spark.sparkContext

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 STATE = "n BIGINT, mean DOUBLE, m2 DOUBLE"
@@ -18,6 +19,47 @@ def flag_threshold(stream: DataFrame, value: str, low: float, high: float) -> Da
     return stream.withColumn("anomaly", ~F.col(value).between(low, high))
 
 
+def judge_stream(stream: DataFrame, key: str, value: str, keep: list[str], target: str, state: str, checkpoint: str,
+                 k: float = 3.0, warm_up: int = 10, every: str | None = None) -> StreamingQuery:
+    """Flag values more than `k` deviations from the mean of all batches before their own.
+
+    Per batch, each key's count, mean and squared deviation are aggregated before the shuffle and
+    added to the table in `state`; rows only meet the small table of the batch before. So a camera
+    with most of the rows is not one task. Both tables are partitioned by batch, and a replayed
+    batch replaces its own rows.
+    """
+    kind = stream.schema[key].dataType.simpleString()
+
+    def put(rows: DataFrame, path: str, batch_id: int) -> None:
+        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = f"`{key}` {kind}, n BIGINT, mean DOUBLE, m2 DOUBLE"
+        if batch_id == 0:
+            seen = spark.createDataFrame([], schema)
+        else:
+            seen = spark.read.schema(f"{schema}, batch_id INT").parquet(state)
+            seen = seen.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
+        sigma = F.sqrt(F.col("m2") / (F.col("n") - 1))
+        odd = (F.col("n") >= warm_up) & (F.abs(F.col(value) - F.col("mean")) > F.lit(k) * sigma)
+        judged = batch.select(key, *keep, value).join(seen, key, "left")
+        put(judged.select(key, *keep, value, F.coalesce(odd, F.lit(False)).alias("anomaly")), target, batch_id)
+        count = F.count(value)
+        added = batch.groupBy(key).agg(count.alias("bn"), F.avg(value).alias("bm"), (F.var_pop(value) * count).alias("b2"))
+        both = seen.join(added, key, "full_outer").na.fill(0)
+        n, gap = F.col("n") + F.col("bn"), F.col("bm") - F.col("mean")
+        # two summaries into one (Chan et al. 1983)
+        put(both.select(
+            key, n.alias("n"), F.when(n > 0, F.col("mean") + gap * F.col("bn") / n).otherwise(F.lit(0.0)).alias("mean"),
+            F.when(n > 0, F.col("m2") + F.col("b2") + gap * gap * F.col("n") * F.col("bn") / n).otherwise(F.lit(0.0)).alias("m2"),
+        ), state, batch_id)
+
+    writer = stream.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def _fold(state: tuple[int, float, float], values: np.ndarray) -> tuple[int, float, float]:
     """Add a batch to count, mean and squared deviation (Chan et al. 1983)."""
     n, mean, m2 = state
@@ -31,10 +73,9 @@ def _fold(state: tuple[int, float, float], values: np.ndarray) -> tuple[int, flo
 
 def anomalies(stream: DataFrame, key: str, value: str, keep: list[str], k: float = 3.0, warm_up: int = 10,
               timeout_ms: int | None = None) -> DataFrame:
-    """Flag values more than `k` deviations from the key's running mean.
+    """The same with the three numbers per key in the stream's own state, for keys of even size.
 
-    A value is judged by the batches seen before its own, so the state is three numbers per key
-    and a batch is handled as arrays. With `timeout_ms` a key that stays silent emits one row with
+    A value is judged by the batches seen before its own, and a batch is handled as arrays. With `timeout_ms` a key that stays silent emits one row with
     `timed_out` set and its state is dropped.
     """
     names = [key, *keep, value]

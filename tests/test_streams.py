@@ -93,6 +93,26 @@ def test_running_anomalies_use_earlier_batches(spark, tmp_path):
     assert [r.id for r in rows.where("anomaly").collect()] == [101]
 
 
+def test_judged_stream_agrees_with_the_stateful_one(spark, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path / "j")
+    schema = "cam STRING, id INT, ts TIMESTAMP, v DOUBLE"
+    batches = [[("a", i, i, 10.0 + (i % 3)) for i in range(60)], [("a", 100, 100, 11.0), ("a", 101, 101, 99.0), ("b", 102, 102, 99.0)],
+               [("a", 103, 103, 40.0), ("b", 104, 104, 1.0)]]
+    for rows in batches:
+        _frames(spark, src, rows)
+        stream = spark.readStream.schema(schema).parquet(src)
+        judged = an.judge_stream(stream, "cam", "v", ["id"], f"{base}/out", f"{base}/state", f"{base}/log")
+        judged.awaitTermination()
+        both = _run(spark, an.anomalies(spark.readStream.schema(schema).parquet(src), "cam", "v", ["id"]), tmp_path, "y")
+    got = spark.read.parquet(f"{base}/out")
+    assert got.count() == 65
+    assert sorted(r.id for r in got.where("anomaly").collect()) == sorted(r.id for r in both.where("anomaly").collect()) == [101]
+    state = {r.cam: r for r in spark.read.parquet(f"{base}/state").where("batch_id = 2").collect()}
+    values = [10.0 + (i % 3) for i in range(60)] + [11.0, 99.0, 40.0]
+    assert state["a"].n == 63 and state["a"].mean == pytest.approx(sum(values) / 63)
+    assert state["a"].m2 == pytest.approx(sum((v - sum(values) / 63) ** 2 for v in values))
+
+
 def test_threshold_flags(spark):
     rows = spark.createDataFrame([(1.0,), (5.0,)], "v DOUBLE")
     assert [r.anomaly for r in an.flag_threshold(rows, "v", 0.0, 2.0).collect()] == [False, True]
