@@ -42,6 +42,13 @@ def relative_path(path: Column, root: str) -> Column:
     return F.when(path.startswith(base), F.substring(path, len(base) + 1, 1 << 30))
 
 
+def below_root(path: Column, root: str) -> Column:
+    """The part of a listed path after its root; a listing may add a scheme in front of the root."""
+    base = root.rstrip("/") + "/"
+    at = F.instr(path, base)
+    return F.when(at > 0, F.substr(path, at + F.lit(len(base))))
+
+
 def frame_name(index: Column, width: int = 6, ext: str = "png", start: int = 0) -> Column:
     """Zero-padded frame name; `start` is the number of the first frame."""
     return F.format_string(f"frame_%0{width}d.{ext}", index + F.lit(start))

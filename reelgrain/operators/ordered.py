@@ -237,8 +237,9 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence
 
     margin = 4.0 / SKETCH_ACCURACY
     edges = [e for p in sorted(probs.values()) for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = df.where(known).groupBy(*keys).agg(
-        F.percentile_approx(value, edges, SKETCH_ACCURACY).alias("_e"), F.count(F.lit(1)).alias("_size"))
+    # one row per key, read again for the result
+    sketch = cut_lineage(df.groupBy(*keys).agg(
+        F.percentile_approx(value, edges, SKETCH_ACCURACY).alias("_e"), F.count(value).alias("_size"), *also))
     same = F.lit(True)
     for k in keys:
         same = same & F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}"))
@@ -269,7 +270,7 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence
     marks = found.select(*keys, *results)
     if not extra:
         return marks
-    totals = df.groupBy(*keys).agg(*also)
+    totals = sketch.select(*keys, *extra)
     if not keys:
         # one row on each side
         return totals.select(*[marks.select(n).scalar().alias(n) for n in probs], *extra)

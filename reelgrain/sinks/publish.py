@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MODEL_EXTENSIONS
-from ..functions.paths import basename, has_suffix, join_path
+from ..functions.paths import basename, below_root, has_suffix, join_path
 from ..sources.discovery import latest
 
 COPY_BYTES = 8 << 20
@@ -20,8 +20,7 @@ MANIFEST = "src STRING, dst STRING, bytes BIGINT"
 def publish_manifest(objects: DataFrame, source_root: str, target_root: str, exts: tuple[str, ...] = MODEL_EXTENSIONS,
                      run_id: str | None = None, path: str = "path") -> DataFrame:
     """Source and target of every object that ends with one of `exts`; keys stay relative to the root."""
-    base = source_root.rstrip("/") + "/"
-    key = F.substring_index(F.col(path), base, -1)
+    key = below_root(F.col(path), source_root)
     levels: list[Column] = [F.lit(target_root.rstrip("/"))]
     if run_id is not None:
         levels.append(F.lit(f"run_id={run_id}"))

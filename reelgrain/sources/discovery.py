@@ -20,7 +20,7 @@ def first_nonempty(objects: DataFrame, roots: list[str], path: str = "path") ->
     """Objects of the first root, in the given order, that has any."""
     rank = F.lit(None).cast("int")
     for i, root in reversed(list(enumerate(roots))):
-        rank = F.when(F.col(path).startswith(root), F.lit(i)).otherwise(rank)
+        rank = F.when(F.col(path).startswith(root.rstrip("/") + "/"), F.lit(i)).otherwise(rank)
     ranked = objects.withColumn("_rank", rank)
     best = ranked.agg(F.min("_rank").alias("_best"))
     return ranked.where(F.col("_rank") == best.scalar()).drop("_rank")

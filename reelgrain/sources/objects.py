@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import has_suffix
+from ..functions.paths import below_root, has_suffix
 
 LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT"
 
@@ -41,9 +41,7 @@ def where_key(df: DataFrame, prefix: str = "", exts: tuple[str, ...] | None = No
         if root is None:
             df = df.where(F.col(path).startswith(prefix))
         else:
-            # listed paths carry a scheme; compare below the root
-            base = root.rstrip("/") + "/"
-            df = df.where(F.substring_index(F.col(path), base, -1).startswith(prefix))
+            df = df.where(below_root(F.col(path), root).startswith(prefix))
     if exts:
         df = df.where(has_suffix(F.col(path), exts))
     return df

@@ -141,6 +141,8 @@ def test_publish_tree(spark, tmp_path):
     assert sorted(os.path.relpath(os.path.join(d, f), base) for d, _, fs in os.walk(base) for f in fs) == [
         "a.mtl", "a.obj", "big.obj", "tex/t.jpg", "tex/t.png"]
     assert (base / "tex/t.png").read_bytes() == b"tex/t.png"
+    twice = spark.createDataFrame([("file:/m/x/m/a.obj", 1)], "path STRING, length BIGINT")
+    assert pub.publish_manifest(twice, "/m", "/out").first().dst == "/out/x/m/a.obj"
     single = pub.single_manifest(found.where("path LIKE '%a.ply'"), str(tmp_path / "one"), "mesh.ply")
     assert pub.copy_objects(single).first().dst.endswith("one/mesh.ply")
     assert (tmp_path / "one" / "mesh.ply").exists()
