@@ -27,7 +27,7 @@ def components(edges: DataFrame, src: str, dst: str, max_rounds: int = 100) -> D
         # large star: neighbours above a node move to the smallest id around it
         both = links.unionByName(links.select(F.col("a").alias("b"), F.col("b").alias("a")))
         lows = both.groupBy("b").agg(F.least("b", F.min("a")).alias("low"))
-        large = both.where("a > b").join(lows, "b").select(F.col("low").alias("b"), "a").distinct()
+        large = both.where("a > b").join(lows, "b").select(F.col("low").alias("b"), "a")
         # small star: the smaller neighbours of a node, and the node, move to the smallest of them
         lows = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(lows, "a").where("b <> low").select(F.col("low").alias("b"), F.col("b").alias("a"))

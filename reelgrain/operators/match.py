@@ -235,6 +235,8 @@ def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int =
     hashed = lsh.fit(rows).transform(rows)
     spots = hashed.select("scene", "id", "vec", F.posexplode("_hash").alias("_table", "_value"))
     spots = spots.withColumn("cell", F.concat_ws(":", "_table", F.col("_value").cast("string"))).select("scene", "id", "vec", "cell")
+    # hashed once, then read for the block sizes and for both sides
+    spots = cut_lineage(spots)
     queries = spots.select("scene", "cell", F.col("id").alias("src"), F.col("id").cast("string").alias("sig"), "vec",
                            F.lit(float("-inf")).alias("bound"))
     found = _compare(queries, spots, k, block_rows, schema).select("scene", "src", "dst", "score").distinct()

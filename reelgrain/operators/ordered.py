@@ -10,6 +10,7 @@ Tables and keys of ordinary size take the plain window path.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,8 @@ ROWS_PER_SLICE = 500_000
 MAX_SLICES = 4096
 MAX_HOT_KEYS = 1000
 SKETCH_ACCURACY = 10_000
+GROUP_LIMIT = 1000
+SALTS = 64
 SLICE, MARK, CARRY = "_slice", "_mark", "_carry"
 _EXACT_DOUBLE = float(1 << 53)
 
@@ -71,9 +74,9 @@ def _boundaries(df: DataFrame, order: str, rows: int, per_slice: int) -> tuple[l
         F.percentile_approx("_v", shares, 10_000).alias("cuts"), F.max(F.abs("_v")).alias("top")
     ).first()
     cuts = row["cuts"] or []
-    distinct = sorted(set(cuts))
-    repeated = sorted({c for c in distinct if cuts.count(c) > 1}) if len(distinct) < len(cuts) else []
-    return distinct, repeated, (row["top"] or 0.0) < _EXACT_DOUBLE
+    times = Counter(cuts)
+    repeated = sorted(c for c, n in times.items() if n > 1)
+    return sorted(times), repeated, (row["top"] or 0.0) < _EXACT_DOUBLE
 
 
 def _bucket(df: DataFrame, source: str, out: str, cuts: Sequence[float]) -> DataFrame:
@@ -210,10 +213,14 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, co
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """First `n` rows per key in `order`.
 
-    Spark keeps at most `n` rows per key and input partition before the shuffle, so a big key
-    arrives already reduced.
+    Up to GROUP_LIMIT, Spark keeps at most `n` rows per key and input partition before the shuffle,
+    so a big key arrives already reduced. Beyond, keys are first cut by a hash of the row.
     """
     out = rank or "_rank"
+    if n > GROUP_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        within = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = salted.withColumn(out, F.row_number().over(within)).where(F.col(out) <= n).drop("_salt", out)
     ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.where(F.col(out) <= n)
     return kept if rank else kept.drop(out)

@@ -36,6 +36,7 @@ def judge_stream(stream: DataFrame, key: str, value: str, keep: list[str], targe
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.select(key, *keep, value).persist()
         schema = f"`{key}` {kind}, n BIGINT, mean DOUBLE, m2 DOUBLE"
         if batch_id == 0:
             seen = spark.createDataFrame([], schema)
@@ -44,7 +45,7 @@ def judge_stream(stream: DataFrame, key: str, value: str, keep: list[str], targe
             seen = seen.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
         sigma = F.sqrt(F.col("m2") / (F.col("n") - 1))
         odd = (F.col("n") >= warm_up) & (F.abs(F.col(value) - F.col("mean")) > F.lit(k) * sigma)
-        judged = batch.select(key, *keep, value).join(seen, key, "left")
+        judged = batch.join(seen, key, "left")
         put(judged.select(key, *keep, value, F.coalesce(odd, F.lit(False)).alias("anomaly")), target, batch_id)
         count = F.count(value)
         added = batch.groupBy(key).agg(count.alias("bn"), F.avg(value).alias("bm"), (F.var_pop(value) * count).alias("b2"))
@@ -55,6 +56,7 @@ def judge_stream(stream: DataFrame, key: str, value: str, keep: list[str], targe
             key, n.alias("n"), F.when(n > 0, F.col("mean") + gap * F.col("bn") / n).otherwise(F.lit(0.0)).alias("mean"),
             F.when(n > 0, F.col("m2") + F.col("b2") + gap * gap * F.col("n") * F.col("bn") / n).otherwise(F.lit(0.0)).alias("m2"),
         ), state, batch_id)
+        batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -47,10 +47,12 @@ def validate_stream(stream: DataFrame, rules: DataFrame, good: str, quarantine:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        passed, failed = gate(validate(batch, rules))
+        checked = validate(batch, rules).persist()
+        passed, failed = gate(checked)
         for rows, target in ((passed, good), (failed, quarantine)):
             (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
+        checked.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

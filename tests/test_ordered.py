@@ -95,6 +95,14 @@ def test_quantiles_of_a_big_key(spark):
     assert rows(got, "key", *marks) == rows(want, "key", *marks)
 
 
+def test_top_n_beyond_the_group_limit(spark, monkeypatch):
+    monkeypatch.setattr(o, "GROUP_LIMIT", 10)
+    w = Window.partitionBy("key").orderBy(F.desc("v"), F.asc("id"))
+    want = skewed(spark).withColumn("r", F.row_number().over(w)).where("r <= 100")
+    got = o.top_n(skewed(spark), ["key"], [F.desc("v"), F.asc("id")], 100, "r")
+    assert rows(got, "key", "id", "r") == rows(want, "key", "id", "r")
+
+
 def test_top_n(spark):
     got = o.top_n(skewed(spark), ["key"], [F.desc("v"), F.asc("id")], 5)
     assert got.groupBy("key").count().agg(F.max("count")).first()[0] == 5
