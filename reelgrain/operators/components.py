@@ -20,8 +20,9 @@ def components(edges: DataFrame, src: str, dst: str, max_rounds: int = 100) -> D
     grows with the logarithm of the graph, and a step needs one minimum per node (aggregated
     before the shuffle) and one join. Each round is checkpointed; raises if it does not settle.
     """
-    pairs = edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a"))
-    links = cut_lineage(pairs.where("a <> b").distinct())
+    # written once: the edges may be costly, and are read again for the nodes
+    pairs = cut_lineage(edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a")).distinct())
+    links = pairs.where("a <> b")
     seen = _fingerprint(links)
     for _ in range(max_rounds):
         # large star: neighbours above a node move to the smallest id around it
@@ -39,6 +40,6 @@ def components(edges: DataFrame, src: str, dst: str, max_rounds: int = 100) -> D
         seen = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     return nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("_low")), "node", "left").select(
         "node", F.coalesce("_low", "node").alias("component"))

@@ -250,7 +250,8 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], keys: Sequence
     same = F.lit(True)
     for k in keys:
         same = same & F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}"))
-    tagged = df.where(known).alias("d").join(sketch.alias("s"), same).select(*[F.col(f"d.{k}") for k in keys], F.col(f"d.{value}").alias("_v"), "_e", "_size")
+    tagged = df.where(known).alias("d").join(sketch.alias("s"), same)
+    tagged = tagged.select(*[F.col(f"d.{k}") for k in keys], F.col(f"d.{value}").alias("_v"), "_e", "_size")
     # a value outside all brackets becomes the upper edge below it, marked to sort after that edge
     # keys too small for the sketch's margin to span whole ranks keep all their values
     kept, floor = F.col("_size") <= max(per_slice, 2 * SKETCH_ACCURACY), F.lit(None)

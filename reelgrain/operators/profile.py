@@ -22,10 +22,10 @@ def to_long(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select([F.col(c).cast("double") for c in columns]).unpivot([], columns, "column", "value")
 
 
-def _moments() -> dict[str, Column]:
+def _moments(value: Column) -> dict[str, Column]:
     return {
-        "n": F.count("value"), "nulls": F.count_if(F.col("value").isNull()), "min": F.min("value"),
-        "max": F.max("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
+        "n": F.count(value), "nulls": F.count_if(value.isNull()), "min": F.min(value), "max": F.max(value),
+        "mean": F.avg(value), "std": F.stddev_samp(value),
     }
 
 
@@ -35,14 +35,19 @@ def profile(df: DataFrame, columns: list[str], exact: bool = False, per_slice: i
     By default distinct counts and quartiles are sketches from the same single pass; `exact`
     counts every value.
     """
-    long = to_long(df, columns)
     marks = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     if not exact:
-        quartiles = F.percentile_approx("value", list(marks.values()), 10_000).alias("_q")
-        moments = [agg.alias(name) for name, agg in _moments().items()]
-        row = long.groupBy("column").agg(*moments, F.approx_count_distinct("value").alias("distinct"), quartiles)
+        # one row of aggregates, so the input is not multiplied by the number of columns
+        parts = []
+        for c in columns:
+            value = F.col(c).cast("double")
+            moments = [agg.alias(name) for name, agg in _moments(value).items()]
+            quartiles = F.percentile_approx(value, list(marks.values()), 10_000).alias("_q")
+            parts.append(F.struct(F.lit(c).alias("column"), *moments, F.approx_count_distinct(value).alias("distinct"), quartiles))
+        row = df.agg(F.array(*parts).alias("_all")).select(F.explode("_all").alias("_r")).select("_r.*")
         return row.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(marks)]).drop("_q")
-    basic = quantiles(long, "value", marks, ["column"], _moments(), per_slice)
+    long = to_long(df, columns)
+    basic = quantiles(long, "value", marks, ["column"], _moments(F.col("value")), per_slice)
     # distinct first, so that no task holds a column's values
     values = long.where(F.col("value").isNotNull()).distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
     return basic.join(values, "column", "left").withColumn("distinct", F.coalesce("distinct", F.lit(0).cast("long")))

@@ -75,8 +75,8 @@ def e19(t: Tables):
 WITH p AS (SELECT label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings)
 SELECT label, CAST(floor(x / 0.125) AS BIGINT) AS vx, CAST(floor(y / 0.125) AS BIGINT) AS vy, CAST(floor(z / 0.125) AS BIGINT) AS vz,
        round(avg(x), 6) AS x, round(avg(y), 6) AS y, round(avg(z), 6) AS z, count(*) AS merged
-FROM p GROUP BY ALL
-""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4"))
+FROM p GROUP BY 1, 2, 3, 4
+""")
 def e22(t: Tables):
     fused = g.voxel_fuse(poses(t), 0.125, "label")
     return fused.withColumns({c: F.round(c, 6) for c in "xyz"})
