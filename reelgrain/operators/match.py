@@ -26,6 +26,9 @@ BLOCK_ROWS = 2048
 MAX_PIVOTS = 4096
 DIGITS = 12
 SLACK = 1e-6
+PIECE_ROWS = 1024
+VISIT_ROWS = 20_000
+WHOLE_SCENE = -1
 
 
 def pair_counts(frames: DataFrame, scene: str) -> DataFrame:
@@ -92,16 +95,23 @@ def _compare(queries: DataFrame, targets: DataFrame, k: int, size: int, schema:
     return q.groupBy(*at).cogroup(t.groupBy(*at)).applyInPandas(_best(k), schema)
 
 
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches cut so that a distance matrix to all pivots stays small."""
+    for batch in batches:
+        for start in range(0, len(batch), PIECE_ROWS):
+            yield batch.iloc[start:start + PIECE_ROWS]
+
+
 def _assign(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Nearest pivot of each row and the distance to it."""
+    """Nearest pivot of each row and the distance to it; a small scene is one cell."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
     schema = T.StructType(rows.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("own", T.DoubleType())])
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gaps = _distances(_unit(batch["vec"]), shared.value)
-            cell = gaps.argmin(axis=1)
-            yield batch.assign(cell=cell.astype(np.int32), own=gaps[np.arange(len(gaps)), cell])
+        for piece in _pieces(batches):
+            gaps = _distances(_unit(piece["vec"]), shared.value)
+            cell = np.where(piece["big"], gaps.argmin(axis=1), WHOLE_SCENE)
+            yield piece.assign(cell=cell.astype(np.int32), own=gaps.min(axis=1))
 
     return rows.mapInPandas(task, schema)
 
@@ -111,14 +121,16 @@ def _visits(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gaps = _distances(_unit(batch["vec"]), shared.value)
-            own = batch["own"].to_numpy()
-            reach = np.sqrt(np.maximum(2.0 - 2.0 * batch["bound"].to_numpy(), 0.0)) + SLACK
+        for piece in _pieces(batches):
+            gaps = _distances(_unit(piece["vec"]), shared.value)
+            own = piece["own"].to_numpy()
+            reach = np.sqrt(np.maximum(2.0 - 2.0 * piece["bound"].to_numpy(), 0.0)) + SLACK
             open_ = (gaps - own[:, None]) / 2.0 <= reach[:, None]
-            open_[np.arange(len(gaps)), batch["cell"].to_numpy()] = False
+            open_[np.arange(len(gaps)), piece["cell"].to_numpy()] = False
             at, cell = np.nonzero(open_)
-            yield batch.iloc[at].assign(cell=cell.astype(np.int32))
+            for start in range(0, len(at), VISIT_ROWS):
+                part = slice(start, start + VISIT_ROWS)
+                yield piece.iloc[at[part]].assign(cell=cell[part].astype(np.int32))
 
     return rows.mapInPandas(task, rows.schema)
 
@@ -127,11 +139,13 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
             pivots: int | None = None) -> DataFrame:
     """The `k` most similar images of the same scene for every image: (scene, src, dst, score, rank).
 
-    Similarity is the cosine; equal scores go to the smaller id. Exact copies of a vector beyond
-    the first k + 1 cannot enter anyone's list and share one search, so a large group of copies
-    costs no more than a single image.
+    Similarity is the cosine; equal scores go to the smaller id; images without a scene match
+    nothing. Exact copies of a vector beyond the first k + 1 cannot enter anyone's list and share
+    one search, so a large group of copies costs no more than a single image. Scenes that fit a
+    block are compared at once; only bigger ones are grouped around pivots.
     """
-    rows = features.select(F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
+    rows = features.where(F.col(scene).isNotNull()).select(
+        F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
     # one signature per distinct vector
     rows = rows.withColumn("sig", F.sha2(F.to_json(F.struct("vec")), 256))
     kind = features.schema[id].dataType.simpleString()
@@ -152,22 +166,27 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
     spare = spare.where(F.col("_n") > k + 1).select("scene", F.lit(None).cast(kind).alias("src"), "vec", "sig")
     queries = targets.select("scene", F.col("id").alias("src"), "vec", "sig").unionByName(spare)
 
+    large = targets.groupBy("scene").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+    large = large.select("scene", F.lit(True).alias("_large"))
+
+    def sized(part: DataFrame) -> DataFrame:
+        joined = part.join(large, "scene", "left")
+        return joined.withColumn("big", F.coalesce("_large", F.lit(False))).drop("_large")
+
     wanted = min(MAX_PIVOTS, max(1, math.ceil(total / block_rows))) if pivots is None else pivots
     # at most MAX_PIVOTS vectors reach the driver
-    chosen = targets.orderBy(F.xxhash64("id", F.lit(11))).select("vec").take(wanted)
-    if not chosen:
-        chosen = [([1.0],)]
-    centre = _unit(pd.Series([r[0] for r in chosen]))
+    chosen = targets.join(large, "scene", "left_semi").orderBy(F.xxhash64("id", F.lit(11))).select("vec").take(wanted)
 
     blank = F.lit(float("-inf"))
-    if len(centre) == 1:
+    if len(chosen) < 2:
         q = queries.withColumns({"cell": F.lit(0), "bound": blank})
         t = targets.withColumn("cell", F.lit(0))
         found = _compare(q, t, k, block_rows, schema)
     else:
+        centre = _unit(pd.Series([r[0] for r in chosen]))
         # both are read several times below
-        t = cut_lineage(_assign(targets, centre))
-        q = cut_lineage(_assign(queries, centre))
+        t = cut_lineage(_assign(sized(targets), centre))
+        q = cut_lineage(_assign(sized(queries), centre))
         first = cut_lineage(_compare(q.withColumn("bound", blank), t, k, block_rows, schema))
         bounds = first.groupBy("scene", "sig", "src").agg(F.array_sort(F.collect_list("score")).alias("_s"))
         # k scores per visited block, so the collected list is short
@@ -175,7 +194,7 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
         bounds = bounds.select("scene", "sig", "src", kth.alias("bound"))
         same = (F.col("q.scene").eqNullSafe(F.col("b.scene")) & (F.col("q.sig") == F.col("b.sig"))
                 & F.col("q.src").eqNullSafe(F.col("b.src")))
-        open_ = q.alias("q").join(bounds.alias("b"), same, "left").select(
+        open_ = q.where("big").alias("q").join(bounds.alias("b"), same, "left").select(
             "q.*", F.coalesce("b.bound", F.lit(-1.0)).alias("bound"))
         second = _compare(_visits(open_, centre), t, k, block_rows, schema)
         found = first.unionByName(second.where(F.col("score") >= F.col("bound") - SLACK))

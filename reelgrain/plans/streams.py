@@ -66,7 +66,9 @@ def k3(t: Tables):
     return t.spark.read.parquet(f"{base}/judged").select("event_id", "event_type", "anomaly")
 
 
-@query("k3_stateful_anomalies")
+@query("k3_stateful_anomalies", """
+SELECT event_type, event_id, value, false AS anomaly, false AS timed_out FROM events
+""")
 def k3_stateful(t: Tables):
     return run_stream(t, "events", lambda s: an.anomalies(s, "event_type", "value", ["event_id"]))
 

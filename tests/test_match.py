@@ -18,6 +18,7 @@ def features(spark, seed=5):
     rows += [(200 + i, 0, centres[0].tolist()) for i in range(40)]
     rows += [(300 + i, 1, rng.normal(size=8).tolist()) for i in range(9)]
     rows.append((400, 2, centres[1].tolist()))
+    rows += [(500 + i, None, centres[2].tolist()) for i in range(3)]
     return spark.createDataFrame(rows, "vec_id BIGINT, label INT, embedding ARRAY<FLOAT>")
 
 
@@ -27,7 +28,7 @@ def brute(df, k):
     out = []
     for a in rows:
         scored = sorted((-round(float(unit[a.vec_id] @ unit[b.vec_id]), 9), b.vec_id) for b in rows
-                        if b.label == a.label and b.vec_id != a.vec_id)
+                        if a.label is not None and b.label == a.label and b.vec_id != a.vec_id)
         out += [(a.label, a.vec_id, dst, i + 1) for i, (_, dst) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -62,7 +63,7 @@ def test_approximate_finds_copies(spark):
 
 def test_pair_counts(spark):
     got = {r.label: (r.images, r.pairs) for r in m.pair_counts(features(spark), "label").collect()}
-    assert got == {0: (160, 160 * 159 // 2), 1: (9, 36), 2: (1, 0)}
+    assert got == {0: (160, 160 * 159 // 2), 1: (9, 36), 2: (1, 0), None: (3, 3)}
 
 
 def test_components(spark):
