@@ -95,7 +95,8 @@ def p5(t: Tables):
 SELECT event_id, event_type AS kind, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
 """)
 def s16_s18(t: Tables):
-    packed = t.events.select("event_id", F.to_json(F.struct(F.col("event_type").alias("kind"), F.from_json("props", "k BIGINT").alias("p"))).alias("j"))
+    document = F.struct(F.col("event_type").alias("kind"), F.from_json("props", "k BIGINT").alias("p"))
+    packed = t.events.select("event_id", F.to_json(document).alias("j"))
     back = packed.select("event_id", F.from_json("j", "kind STRING, p STRUCT<k: BIGINT>").alias("j"))
     return back.select("event_id", "j.kind", "j.p.k")
 

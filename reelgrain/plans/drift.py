@@ -41,6 +41,25 @@ def e12_fast(t: Tables):
     return pr.profile(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
+@query("e12_sketch_accuracy", """
+SELECT c AS "column", true AS counts_equal, true AS distinct_close, true AS quartiles_close
+FROM (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS c)
+""")
+def e12_accuracy(t: Tables):
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    exact = pr.profile(t.lineitem, columns, exact=True)
+    both = pr.profile(t.lineitem, columns).alias("s").join(exact.alias("e"), "column")
+
+    def close(name: str, scale, share: float):
+        return F.abs(F.col(f"s.{name}") - F.col(f"e.{name}")) <= scale * share
+
+    span = F.col("e.max") - F.col("e.min")
+    same = [F.col(f"s.{c}") == F.col(f"e.{c}") for c in ("n", "nulls", "min", "max")]
+    return both.select("column", (same[0] & same[1] & same[2] & same[3]).alias("counts_equal"),
+                       close("distinct", F.col("e.distinct"), 0.15).alias("distinct_close"),
+                       (close("q25", span, 0.03) & close("q50", span, 0.03) & close("q75", span, 0.03)).alias("quartiles_close"))
+
+
 HALVES = """
 WITH e AS (SELECT value AS v, ts < TIMESTAMP '2024-01-02' AS old FROM events),
 m AS (SELECT min(v) AS lo, max(v) AS hi, count(*) FILTER (old) AS nr, count(*) FILTER (NOT old) AS nc FROM e)

@@ -56,3 +56,16 @@ def j11(t: Tables):
 @query("j12_approximate_neighbours")
 def j12(t: Tables):
     return m.approx_nearest(t.embeddings, "vec_id", "label", "embedding", 2)
+
+
+@query("j12_recall", """
+SELECT label, count(*) AS images, true AS sound, true AS half_found FROM embeddings GROUP BY label
+""")
+def j12_recall(t: Tables):
+    exact = m.nearest(t.embeddings, "vec_id", "label", "embedding", 1).select("src", F.col("dst").alias("best"), F.col("score").alias("top"))
+    found = m.approx_nearest(t.embeddings, "vec_id", "label", "embedding", 1, tables=8).select("src", "dst", "score")
+    rows = t.embeddings.select("label", F.col("vec_id").alias("src")).join(exact, "src", "left").join(found, "src", "left")
+    hit = F.coalesce(F.col("dst") == F.col("best"), F.lit(False)).cast("double")
+    return rows.groupBy("label").agg(
+        F.count(F.lit(1)).alias("images"), F.bool_and(F.coalesce(F.col("score") <= F.col("top") + 1e-9, F.lit(True))).alias("sound"),
+        (F.avg(hit) >= 0.5).alias("half_found"))

@@ -1,6 +1,8 @@
 """Column functions on hand-made cases."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,3 +55,13 @@ def test_age_is_strict(spark):
     ages = spark.createDataFrame([(29,), (30,), (31,)], "age INT").select(
         "age", tm.older_than(F.expr("TIMESTAMP_NTZ'2024-03-31' - make_interval(0, 0, 0, age)"), now, F.lit(30)).alias("old"))
     assert {r.age: r.old for r in ages.collect()} == {29: False, 30: False, 31: True}
+
+
+def test_paths_agree_with_the_standard_library(spark):
+    rng = random.Random(4)
+    made = ["/".join("".join(rng.choice("ab._- é") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    made += ["/" + m for m in made[:100]] + [m + "/" for m in made[100:150]]
+    df = spark.createDataFrame([(m,) for m in made], "p STRING")
+    for row in df.select("p", p.basename(F.col("p")).alias("b"), p.dirname(F.col("p")).alias("d")).collect():
+        assert row.b == os.path.basename(row.p), row.p
+        assert row.d == os.path.dirname(row.p), row.p
