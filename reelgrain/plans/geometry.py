@@ -85,7 +85,8 @@ def e22(t: Tables):
 @query("e23_quality_heatmap", """
 WITH b AS (SELECT min(o_totalprice) AS x0, max(o_totalprice) AS x1, min(o_custkey) AS y0, max(o_custkey) AS y1 FROM orders),
 c AS (SELECT CAST(least(floor((o_totalprice - x0) / (x1 - x0) * 16), 15) AS BIGINT) AS bin_x,
-             CAST(least(floor((o_custkey - y0)::DOUBLE / (y1 - y0) * 16), 15) AS BIGINT) AS bin_y, CAST(round(o_totalprice * 100) AS BIGINT) AS v FROM orders, b)
+             CAST(least(floor((o_custkey - y0)::DOUBLE / (y1 - y0) * 16), 15) AS BIGINT) AS bin_y,
+             CAST(round(o_totalprice * 100) AS BIGINT) AS v FROM orders, b)
 SELECT bin_x, bin_y, round(avg(v), 4) AS avg_value, count(*) AS n FROM c GROUP BY bin_x, bin_y
 """)
 def e23(t: Tables):

@@ -52,10 +52,10 @@ def judge_stream(stream: DataFrame, key: str, value: str, keep: list[str], targe
         both = seen.join(added, key, "full_outer").na.fill(0)
         n, gap = F.col("n") + F.col("bn"), F.col("bm") - F.col("mean")
         # two summaries into one (Chan et al. 1983)
-        put(both.select(
-            key, n.alias("n"), F.when(n > 0, F.col("mean") + gap * F.col("bn") / n).otherwise(F.lit(0.0)).alias("mean"),
-            F.when(n > 0, F.col("m2") + F.col("b2") + gap * gap * F.col("n") * F.col("bn") / n).otherwise(F.lit(0.0)).alias("m2"),
-        ), state, batch_id)
+        mean = F.col("mean") + gap * F.col("bn") / n
+        m2 = F.col("m2") + F.col("b2") + gap * gap * F.col("n") * F.col("bn") / n
+        known = [F.when(n > 0, c).otherwise(F.lit(0.0)).alias(name) for name, c in (("mean", mean), ("m2", m2))]
+        put(both.select(key, n.alias("n"), *known), state, batch_id)
         batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
@@ -77,8 +77,8 @@ def anomalies(stream: DataFrame, key: str, value: str, keep: list[str], k: float
               timeout_ms: int | None = None) -> DataFrame:
     """The same with the three numbers per key in the stream's own state, for keys of even size.
 
-    A value is judged by the batches seen before its own, and a batch is handled as arrays. With `timeout_ms` a key that stays silent emits one row with
-    `timed_out` set and its state is dropped.
+    A value is judged by the batches seen before its own, and a batch is handled as arrays. With
+    `timeout_ms` a key that stays silent emits one row with `timed_out` set and its state is dropped.
     """
     names = [key, *keep, value]
     schema = ", ".join(f"`{c}` {stream.schema[c].dataType.simpleString()}" for c in names)
