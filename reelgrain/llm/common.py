@@ -58,9 +58,14 @@ def is_space(raw: np.ndarray) -> np.ndarray:
     return (raw == 32) | ((raw >= 9) & (raw <= 13))
 
 
-def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the n + 1 offsets of the rows in words."""
-    ink = ~is_space(raw)
+def is_letter(raw: np.ndarray) -> np.ndarray:
+    """ASCII letters and all bytes of other characters."""
+    return (raw >= 128) | (((raw | 32) >= 97) & ((raw | 32) <= 122))
+
+
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, ink: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the n + 1 offsets of the rows in words; `ink` marks what words are made of."""
+    ink = ~is_space(raw) if ink is None else ink
     before = np.zeros(len(raw) + 1, bool)
     before[1:] = ink
     before[offsets] = False
@@ -83,10 +88,9 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         if a == b:
             continue
         s, e = starts[a:b], ends[a:b]
-        low = s[0]
         sizes = e - s
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        value = _BYTE[raw[np.repeat(s, sizes) + inner]] if (e[-1] - low) != sizes.sum() else _BYTE[raw[low:e[-1]]]
+        value = _BYTE[raw[np.repeat(s, sizes) + inner]]
         value *= _POWER[inner % _LONG]
         if sizes.max() > _LONG:
             value *= mixed((inner // _LONG).astype(np.uint64)) | np.uint64(1)

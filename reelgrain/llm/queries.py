@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, knn_join, minhash, near_vectors, packing, sentencepieces, substrings
+from . import ctw, html_text, knn_join, language, minhash, near_vectors, packing, sentencepieces, substrings, toxicity
+from .common import part
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,12 +21,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def query(table: str, sql: str | None = None):
-    """Register a function of one table as the query of its name."""
+def query(table: str | tuple[str, ...], sql: str | None = None):
+    """Register a function of these tables as the query of its name."""
+    tables = (table,) if isinstance(table, str) else table
 
-    def add(build: Callable[[DataFrame], DataFrame]):
+    def add(build: Callable[..., DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
+            return build(*[spark.read.parquet(f"{folder.rstrip('/')}/{t}.parquet") for t in tables])
 
         QUERIES[build.__name__] = run
         if sql:
@@ -35,6 +37,13 @@ def query(table: str, sql: str | None = None):
     return add
 
 
+@query(("documents", "labels"))
+def op1_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    model = toxicity.train(docs, labels, ~part("doc_id", 4, 2))
+    scored = toxicity.score(docs, model, least=0.3)
+    return scored.select("doc_id", part("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
 @query("embeddings")
 def op2_near_vectors(vectors: DataFrame) -> DataFrame:
     return near_vectors.near_duplicates(vectors, least=0.9)
@@ -69,6 +78,18 @@ def op6_minhash(docs: DataFrame) -> DataFrame:
     return minhash.near_duplicates(docs, words=2, percent=80)
 
 
+@query("documents")
+def op7_context_tree(docs: DataFrame) -> DataFrame:
+    return ctw.score(docs, part("doc_id", 7, 2))
+
+
+@query("documents")
+def op8_language(docs: DataFrame) -> DataFrame:
+    model = language.train(docs, ~part("doc_id", 5, 0))
+    found = language.predict(docs, model)
+    return found.select("doc_id", part("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", F.size("words").alias("n_runs"))
+
+
 @query("pages")
 def op9_main_text(pages: DataFrame) -> DataFrame:
     return html_text.extract(pages)

@@ -94,19 +94,22 @@ class Windows:
             yield g, places
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 13) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 13,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """`doc_id, text, n_words, n_removed, repeats` of every row: words covered by repeated windows are removed.
 
     A window is `words` consecutive words; it is repeated where its words also start in a document with a
     smaller id. Windows are judged on the input. `text` is what is left, joined by single spaces; `repeats`
     has the spans of removed words as [first, last + 1]. Null texts have no words. A null id counts as
     greater than all others; rows with the same id don't make each other repeated. An
-    empty table gives no rows. Other columns are not kept.
+    empty table gives no rows. Of other columns those in `carry` are kept, as carried_0, carried_1 and so on.
 
     Every pack of documents sends each of its distinct windows once, so a window of many copies weighs no
     more than there are packs; the answer is one bit for each.
     """
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    carried = [f"carried_{k}" for k in range(len(carry))]
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                         *[F.col(c).alias(n) for c, n in zip(carry, carried, strict=True)])
     total = text_bytes(source)
     # cells by the number of suffixes, about one for each six bytes
     bits = max(8, math.ceil(math.log2(max(1, total / 6 / GROUP))) + 2)
@@ -163,13 +166,15 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             else:
                 kept = np.concatenate([[0], edges, [b - a]]).reshape(-1, 2) + a
                 texts.append(b" ".join([b" ".join(raw[w.starts[i]:w.ends[j - 1]].split()) for i, j in kept if j > i]))
-        ids = table.column("doc_id").take(pa.array(w.order))
+        order = pa.array(w.order)
         return pa.table({
-            "doc_id": ids, "text": pa.array(texts, pa.binary()).cast(pa.string()), "n_words": pa.array(np.diff(w.rows)),
+            "doc_id": table.column("doc_id").take(order), "text": pa.array(texts, pa.binary()).cast(pa.string()), "n_words": pa.array(np.diff(w.rows)),
             "n_removed": pa.array(cut, pa.int64()), "repeats": pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+            **{c: table.column(c).take(order) for c in carried},
         })
 
     sent = packed.groupBy("pack").applyInArrow(offered, "grp int, pack int, windows binary, ids array<bigint>, counts array<int>")
     answers = sent.groupBy("grp").applyInArrow(subtree, "pack int, grp int, marks binary")
     return packed.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(
-        removed, "doc_id bigint, text string, n_words bigint, n_removed bigint, repeats array<array<int>>")
+        removed, "doc_id bigint, text string, n_words bigint, n_removed bigint, repeats array<array<int>>" + "".join(
+            f", {n} {source.schema[n].dataType.simpleString()}" for n in carried))
