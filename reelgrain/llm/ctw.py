@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PACK_BYTES, lowered, mixed, pack_of, text_buffer, word_bounds, word_hashes
+from .common import lowered, mixed, pack_of, slices, text_buffer, word_bounds, word_hashes
 
 DEPTH = 5
+#: Text of the documents that one call handles, about: a pack's runs take eight times as much.
+PACK_BYTES = 4 << 20
 #: Never part of UTF-8: before a text and behind it.
 END = 0xFF
 #: Text whose distinct runs, or words, go to one group, about.
@@ -153,15 +155,16 @@ def _three_bytes(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     """Runs of three bytes in training text with their counts, and the bytes of all text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, size = np.zeros(1 << 24, np.int64), 0
-        for batch in batches:
+        keys, counts, size = np.zeros(0, np.uint64), np.zeros(0), 0
+        for batch in (part for whole in batches for part in slices(whole)):
             size += len(text_buffer(batch.column("text"))[0])
             texts = batch.column("text").filter(batch.column("train"))
             if len(texts):
                 found, times = np.unique(Spelled(texts, 2).runs, return_counts=True)
-                counts[found.astype(np.int64)] += times
-        keys = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, -1).astype(np.int32)), pa.array(np.append(counts[keys], size))], ["run", "n"])
+                keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+                counts = np.bincount(at, weights=np.concatenate([counts, times]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(keys.astype(np.int32), np.int32(-1)), pa.int32()),
+                                          pa.array(np.append(counts, size).astype(np.int64))], ["run", "n"])
 
     rows = docs.select("text", "train").mapInArrow(run, "run int, n bigint").groupBy("run").agg(F.sum("n").alias("n")).toArrow()
     keys, counts = rows.column("run").to_numpy(), rows.column("n").to_numpy()
