@@ -6,9 +6,11 @@ Words are maximal runs of bytes other than space and 0x09 to 0x0D, the same set
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,16 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def slices(batch: pa.RecordBatch | pa.Array, size: int = 2 << 20) -> Iterator[pa.RecordBatch | pa.Array]:
+    """Parts of a batch, or of its texts, of about `size` bytes of text and a row at least."""
+    texts = batch if isinstance(batch, pa.Array) else batch.column("text")
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths) // size
+    begin = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(begin, np.append(begin[1:], len(texts)), strict=True):
+        yield batch.slice(int(a), int(b - a))
+
+
 def lowered(raw: np.ndarray) -> np.ndarray:
     """A to Z in lower case; all other bytes as they are."""
     return np.where((raw >= 65) & (raw <= 90), raw | 32, raw).astype(np.uint8)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PACK_BYTES, pack_of, run_hashes, text_buffer, text_bytes, word_bounds, word_hashes
+from .common import PACK_BYTES, pack_of, run_hashes, slices, text_buffer, text_bytes, word_bounds, word_hashes
 
 #: Suffixes that a group holds, about.
 GROUP = 1_000_000
@@ -42,7 +42,7 @@ def prefix_sizes(docs: DataFrame, words: int, bits: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(levels), 1 << bits), np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             raw, offsets = text_buffer(batch.column("text"))
             starts, ends, rows = word_bounds(raw, offsets)
             hashes = word_hashes(raw, starts, ends)
