@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import is_letter, lowered, mixed, text_buffer, word_bounds, word_hashes
+from .common import is_letter, lowered, mixed, slices, text_buffer, word_bounds, word_hashes
 
 #: Blocks of each language that are learned from, at most: those of smallest hash. Words in a block.
 SAMPLE, BLOCK = 3000, 32
@@ -178,7 +178,7 @@ def train(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     labelled = labelled.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             raw, starts, ends, rows = words_of(batch.column("text"))
             row, first, size = blocks_of(rows)
             data = raw.tobytes()
@@ -214,7 +214,9 @@ def identifier(docs: DataFrame, model: Model):
     def identified(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         own = Model(*shared.value)
         for texts, lettered in batches:
-            yield pa.concat_arrays([_named(own, texts.slice(at, 500), lettered.slice(at, 500)) for at in range(0, len(texts), 500)])
+            pairs = pa.RecordBatch.from_arrays([texts, lettered], ["text", "lettered"])
+            parts = [_named(own, part.column("text"), part.column("lettered")) for part in slices(pairs)]
+            yield pa.concat_arrays(parts) if parts else _named(own, texts, lettered)
 
     def apply(text: Column) -> Column:
         return identified(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))

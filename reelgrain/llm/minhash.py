@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..session import cut_lineage
-from .common import lowered, mixed, run_hashes, text_buffer, word_bounds, word_hashes
+from .common import lowered, mixed, run_hashes, slices, text_buffer, word_bounds, word_hashes
 
 #: 50 bands of 6 coordinates: two sets of similarity 0.8 share no band with probability 3e-7.
 BANDS, ROWS = 50, 6
@@ -72,7 +72,7 @@ def band_keys(sign: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             shingles, at = shingle_sets(batch.column("text"), words)
             n = len(batch)
             sums = []
@@ -96,7 +96,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     """The pairs (a, b) whose full sets have at least `percent` hundredths of their union in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             shingles, at = shingle_sets(batch.column("text"), words)
             sets = pa.ListArray.from_arrays(at.astype(np.int32), shingles.view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "shingles"])

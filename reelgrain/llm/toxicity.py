@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_letter, lowered, text_buffer, word_bounds, word_hashes
+from .common import is_letter, lowered, slices, text_buffer, word_bounds, word_hashes
 
 #: Labelled documents that are learned from, at most, of each class; those of smallest hash.
 SAMPLE = 8000
@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_
     joined = source.join(picked, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             raw, starts, ends, rows = letters(batch.column("text"))
             data, out = raw.tobytes(), {}
             for r, (c, fold) in enumerate(zip(batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), strict=True)):
@@ -236,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_
     some = build([names[i] for i in half], n["n10"][half], n["n00"][half]) if len(half) and n["n10"].any() and n["n00"].any() else whole
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             x = some.features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array(c) for c in x.T]], ["toxic", *[f"x{k}" for k in range(x.shape[1])]])
 
@@ -259,7 +259,7 @@ def scorer(docs: DataFrame, model: Model):
         own = Model(**shared.value)
         for texts in batches:
             # in parts, so that a batch of long texts doesn't multiply in memory
-            parts = [own.score(texts.slice(at, 500)) for at in range(0, len(texts), 500)]
+            parts = [own.score(part) for part in slices(texts)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return scored
