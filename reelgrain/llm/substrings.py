@@ -90,8 +90,8 @@ class Windows:
         """Each group and the places of its windows, in order."""
         order = np.argsort(self.group, kind="stable")
         groups, begin = np.unique(self.group[order], return_index=True)
-        for g, places in zip(groups.tolist(), np.split(order, begin[1:]), strict=True):
-            yield g, places
+        if len(groups):
+            yield from zip(groups.tolist(), np.split(order, begin[1:]), strict=True)
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 13,
