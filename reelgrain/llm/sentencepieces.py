@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words a task keeps the pieces of; they are dropped together when there are more.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 #: Fixed value: the sign that stands for a space in pieces.
 SPACE = "▁".encode()
 
@@ -188,16 +188,15 @@ class Encoder:
                 if -1 in spans:
                     pieces = self.library.encode(word.decode(), out_type="immutable_proto").pieces
                     spans = [len(p.surface.encode()) for p in pieces]
-                self.known[word] = np.array(ids, "<i4").tobytes(), np.array(spans, "<i4").tobytes()
+                self.known[word] = np.array([ids, spans], "<i4").T.tobytes()
 
     def encode(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with the end id, and the first and last source byte of each (the end id's are the text's end)."""
         text, source = self.normalise(raw)
         words = self._words(text)
         self._learn(words)
-        found = [*map(self.known.__getitem__, words)]
-        ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
-        bounds = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), "<i4"), dtype=np.int64)
+        ids, spans = np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<i4").reshape(-1, 2).T
+        bounds = np.cumsum(spans, dtype=np.int64)
         at = source[np.concatenate([[0], bounds])] if len(ids) else np.array([len(raw)])
         return (np.append(ids, np.int32(self.end)), np.append(at[:-1], len(raw)).astype(np.int32),
                 np.append(at[1:], len(raw)).astype(np.int32))
