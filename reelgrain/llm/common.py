@@ -5,6 +5,7 @@ Words are maximal runs of bytes other than space and 0x09 to 0x0D, the same set
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -51,6 +52,14 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and stages, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch | pa.Array, size: int = 2 << 20) -> Iterator[pa.RecordBatch | pa.Array]:
     """Parts of a batch, or of its texts, of about `size` bytes of text and a row at least."""
     texts = batch if isinstance(batch, pa.Array) else batch.column("text")
@@ -59,6 +68,7 @@ def slices(batch: pa.RecordBatch | pa.Array, size: int = 2 << 20) -> Iterator[pa
     begin = np.flatnonzero(np.diff(part, prepend=-1))
     for a, b in zip(begin, np.append(begin[1:], len(texts)), strict=True):
         yield batch.slice(int(a), int(b - a))
+    give_back()
 
 
 def lowered(raw: np.ndarray) -> np.ndarray:

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 #: Words a task keeps the ids of; they are dropped together when there are more.
 CACHED_WORDS = 500_000
 #: A dot or comma behind a letter or digit is a word of its own for the tokenizer.
@@ -70,6 +72,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
+            give_back()
             rows, held = [], 0
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True):
                 ids = words.encode(raw.as_py() or b"") + end

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PACK_BYTES, pack_of, run_hashes, slices, text_buffer, text_bytes, word_bounds, word_hashes
+from .common import give_back, PACK_BYTES, pack_of, run_hashes, slices, text_buffer, text_bytes, word_bounds, word_hashes
 
 #: Suffixes that a group holds, about.
 GROUP = 1_000_000
@@ -63,6 +63,7 @@ class Windows:
     """The windows of a pack of documents in order of their ids: each distinct one once, and its prefix group."""
 
     def __init__(self, ids: pa.ChunkedArray, texts: pa.ChunkedArray, words: int, small: np.ndarray):
+        give_back()
         key = ids.to_numpy() if not ids.null_count else ids.fill_null(NO_ID).to_numpy()
         self.order = np.argsort(key, kind="stable")
         self.ids = key[self.order]
