@@ -49,6 +49,16 @@ def below_root(path: Column, root: str) -> Column:
     return F.when(at > 0, F.substr(path, at + F.lit(len(base))))
 
 
+def located(uri: str):
+    """The store of a listed path and its key there, inside tasks."""
+    from pyarrow import fs
+
+    # Spark lists local files as file:/x, and its S3 connector has a scheme of its own
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1) if uri.startswith("s3a://") else uri)
+
+
 def frame_name(index: Column, width: int = 6, ext: str = "png", start: int = 0) -> Column:
     """Zero-padded frame name; `start` is the number of the first frame."""
     return F.format_string(f"frame_%0{width}d.{ext}", index + F.lit(start))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, discard, staged
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -13,18 +15,21 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), hashed).first())
 
 
-def components(edges: DataFrame, src: str, dst: str, max_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame, src: str, dst: str, max_rounds: int | None = None) -> DataFrame:
     """Smallest node id of the component of every node in `edges`.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014): the number of rounds
     grows with the logarithm of the graph, and a step needs one minimum per node (aggregated
-    before the shuffle) and one join. Each round is checkpointed; raises if it does not settle.
+    before the shuffle) and one join. Each round is written to the shared folder and replaces the one before. With
+    `max_rounds` it raises if the graph needs more.
     """
     # written once: the edges may be costly, and are read again for the nodes
     pairs = cut_lineage(edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a")).distinct())
     links = pairs.where("a <> b")
-    seen = _fingerprint(links)
-    for _ in range(max_rounds):
+    seen, last = _fingerprint(links), None
+    for done in count():
+        if done == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         # large star: neighbours above a node move to the smallest id around it
         both = links.unionByName(links.select(F.col("a").alias("b"), F.col("b").alias("a")))
         lows = both.groupBy("b").agg(F.least("b", F.min("a")).alias("low"))
@@ -33,13 +38,14 @@ def components(edges: DataFrame, src: str, dst: str, max_rounds: int = 100) -> D
         lows = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(lows, "a").where("b <> low").select(F.col("low").alias("b"), F.col("b").alias("a"))
         small = moved.unionByName(lows.select(F.col("low").alias("b"), "a")).where("a <> b").distinct()
-        links = cut_lineage(small)
+        links, path = staged(small)
         now = _fingerprint(links)
+        if last:
+            discard(edges.sparkSession, last)
+        last = path
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     return nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("_low")), "node", "left").select(
         "node", F.coalesce("_low", "node").alias("component"))

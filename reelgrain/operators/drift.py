@@ -30,7 +30,7 @@ def _sides(reference: DataFrame, current: DataFrame, columns: list[str]) -> Data
 
 
 def psi(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10, floor: float = SHARE_FLOOR) -> DataFrame:
-    """Population stability index over equal-width bins that both sides share."""
+    """Population stability index over equal-width bins that both sides share; null where a side has no values."""
     long = _sides(reference, current, columns)
     # one row per listed column, so the broadcast is bounded
     spans = F.broadcast(long.groupBy("column").agg(
@@ -41,15 +41,17 @@ def psi(reference: DataFrame, current: DataFrame, columns: list[str], bins: int
     counts = binned.groupBy("column", "bin").agg(F.sum("r").alias("br"), F.sum("c").alias("bc"))
     grid = spans.select("column", "nr", "nc", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     cells = grid.join(counts, ["column", "bin"], "left")
-    p = F.greatest(F.coalesce("br", F.lit(0)) / F.col("nr"), F.lit(floor))
-    q = F.greatest(F.coalesce("bc", F.lit(0)) / F.col("nc"), F.lit(floor))
-    return cells.groupBy("column").agg(F.sum((q - p) * F.log(q / p)).alias("statistic"))
+    p = F.greatest(F.try_divide(F.coalesce("br", F.lit(0)), F.col("nr")), F.lit(floor))
+    q = F.greatest(F.try_divide(F.coalesce("bc", F.lit(0)), F.col("nc")), F.lit(floor))
+    index = F.when(F.min(F.least("nr", "nc")) > 0, F.sum((q - p) * F.log(q / p)))
+    return cells.groupBy("column").agg(index.alias("statistic"))
 
 
 def ks(reference: DataFrame, current: DataFrame, columns: list[str], per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Largest distance between the two empirical distributions.
 
-    Values are counted first; the running sum of the difference in share is the distance.
+    Values are counted first; the running sum of the difference in share is the distance. It is null
+    where a side has no values.
     """
     long = _sides(reference, current, columns)
     rows = (reference.count() + current.count()) * len(columns)
@@ -60,7 +62,7 @@ def ks(reference: DataFrame, current: DataFrame, columns: list[str], per_slice:
     # one row per listed column, so the broadcast is bounded
     sizes = F.broadcast(counts.groupBy("column").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc")))
     shares = counts.join(sizes, "column").select(
-        "column", "value", (F.col("r") / F.col("nr") - F.col("c") / F.col("nc")).alias("_d"))
+        "column", "value", (F.try_divide("r", "nr") - F.try_divide("c", "nc")).alias("_d"))
     steps = running_total(shares, ["column"], ["value"], F.col("_d"), "_gap", None, per_slice, rows)
     return steps.groupBy("column").agg(F.max(F.abs("_gap")).alias("statistic"))
 

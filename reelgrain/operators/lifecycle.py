@@ -8,27 +8,21 @@ from pyspark.sql import functions as F
 from ..constants import COLD_AFTER_DAYS
 from ..functions.times import older_than
 
-MAX_RULES = 1000
 
-
-def retention(objects: DataFrame, rules: DataFrame, now: Column, path: str = "path", modified: str = "modificationTime",
-              max_rules: int = MAX_RULES) -> DataFrame:
+def retention(objects: DataFrame, rules: DataFrame, now: Column, path: str = "path", modified: str = "modificationTime") -> DataFrame:
     """Add the shortest retention of the rules whose prefix fits, and whether it is over.
 
-    Up to `max_rules` rules become one row expression, without a join. A longer list joins on the
-    prefixes of each key, cut at the rule lengths that occur (keys have at most 1024 bytes).
+    Rules of any number: each distinct key is cut at the prefix lengths that occur and joined on
+    the prefix. Keys without a fitting rule, and null keys, have no retention and never expire.
     """
-    listed = rules.select("prefix", "days").take(max_rules + 1)
-    if len(listed) <= max_rules:
-        fits = [F.when(F.col(path).startswith(r["prefix"]), F.lit(r["days"]).cast("int")) for r in listed]
-        found = objects.withColumn("retention_days", F.array_min(F.array(*fits)) if fits else F.lit(None).cast("int"))
-    else:
-        lengths = [r[0] for r in rules.select(F.length("prefix")).distinct().take(1024)]
-        short = rules.groupBy("prefix").agg(F.min("days").cast("int").alias("_days"))
-        heads = F.array_distinct(F.array(*[F.substring(path, 1, n) for n in lengths]))
-        keyed = objects.select(path).distinct().select(path, F.explode(heads).alias("prefix"))
-        shortest = keyed.join(short, "prefix").groupBy(path).agg(F.min("_days").alias("retention_days"))
-        found = objects.join(shortest, path, "left")
+    short = rules.groupBy(F.col("prefix").alias("_prefix")).agg(F.min("days").cast("int").alias("_days"))
+    # as many lengths as the longest prefix has characters, in one row
+    lengths = rules.agg(F.collect_set(F.length("prefix")).alias("_lengths")).scalar()
+    keyed = objects.select(F.col(path).alias("_key")).where(F.col(path).isNotNull()).distinct().withColumn("_lengths", lengths)
+    fitting = F.filter("_lengths", lambda n: n <= F.length("_key"))
+    heads = keyed.select("_key", F.explode(F.transform(fitting, lambda n: F.substring("_key", 1, n))).alias("_prefix"))
+    shortest = heads.join(short, "_prefix").groupBy("_key").agg(F.min("_days").alias("retention_days"))
+    found = objects.join(shortest, F.col(path) == F.col("_key"), "left").drop("_key")
     over = older_than(F.col(modified), now, F.col("retention_days"))
     return found.withColumn("expired", F.coalesce(over, F.lit(False)))
 

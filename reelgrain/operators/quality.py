@@ -49,22 +49,22 @@ def success_rate(runs: DataFrame, keys: list[str], state: str, ok: str, least: f
 
 def utilisation(objects: DataFrame, quotas: DataFrame, bucket: str, length: str, quota: str,
                 alert: float = STORAGE_ALERT) -> DataFrame:
-    """Bytes used per bucket against its quota; buckets without objects use 0."""
+    """Bytes used per bucket against its quota; buckets without objects use 0, a quota of 0 has no share."""
     used = objects.groupBy(bucket).agg(F.sum(length).alias("used_bytes"))
     joined = quotas.join(used, bucket, "left")
     joined = joined.withColumn("used_bytes", F.coalesce("used_bytes", F.lit(0).cast("long")))
-    share = F.col("used_bytes") / F.col(quota)
+    share = F.try_divide("used_bytes", quota)
     return joined.withColumn("utilisation", share).withColumn("alert", share > F.lit(alert))
 
 
 def efficiency(raw: DataFrame, processed: DataFrame, keys: list[str], length: str) -> DataFrame:
-    """Share of the raw bytes saved by processing, per key."""
+    """Share of the raw bytes saved by processing, per key; null without raw bytes."""
     a = raw.groupBy(*keys).agg(F.sum(length).alias("raw_bytes"))
     b = processed.groupBy(*keys).agg(F.sum(length).alias("processed_bytes"))
     joined = a.join(b, keys, "left")
     kept = F.coalesce(F.col("processed_bytes"), F.lit(0))
     return joined.withColumn("processed_bytes", kept.cast("long")).withColumn(
-        "saved", 1 - F.col("processed_bytes") / F.col("raw_bytes"))
+        "saved", 1 - F.try_divide("processed_bytes", "raw_bytes"))
 
 
 def throughput(df: DataFrame, ts: str, keys: list[str]) -> DataFrame:

@@ -27,7 +27,9 @@ def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, rig
 
     `direction` is `backward` (at or before), `forward` (at or after) or `nearest` (backward wins
     a draw). Times are timestamps or whole numbers; `tolerance` is in microseconds or in that
-    number's unit. One pass over the union of both sides; every left row gives one row.
+    number's unit. Right rows at the same time: the largest `tie` looking back, the smallest looking
+    ahead, of any type that sorts. A null in `on` or in a time matches nothing. One pass over the union
+    of both sides; every left row gives one row.
     """
     if direction == "nearest":
         held = [right_ts, *[v for v in values if v != right_ts]]
@@ -48,14 +50,16 @@ def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, rig
                         F.struct(*left.columns).alias("_left"))
     held = F.struct((_axis(right, right_ts) * sign).alias("_at"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
     rrows = right.select(*on, (_axis(right, right_ts) * sign).alias("_t"), F.lit(0).alias("_side"),
-                         (F.col(tie) if sign == 1 else -F.col(tie)).alias("_tie"), held.alias("_right"))
-    rrows = rrows.where(F.col("_t").isNotNull())
+                         F.col(tie).alias("_tie"), held.alias("_right"))
+    rrows = rrows.where(F.col("_t").isNotNull()).dropna(subset=list(on))
     both = lrows.unionByName(rrows, allowMissingColumns=True)
-    order = ["_t", "_side", "_tie"]
-    sliced = slice_rows(both, on, order[:1], per_slice)
+    order = [F.col("_t"), F.col("_side"), F.col("_tie").asc() if sign == 1 else F.col("_tie").desc_nulls_first()]
+    sliced = slice_rows(both, on, ["_t"], per_slice)
     rows = sliced.df
     if sliced.cut:
-        latest = F.max_by("_right", F.when(F.col("_right").isNotNull(), F.struct("_t", "_tie")))
+        here = F.col("_right").isNotNull()
+        latest = (F.max_by("_right", F.when(here, F.struct("_t", "_tie"))) if sign == 1 else
+                  F.min_by("_right", F.when(here, F.struct(-F.col("_t"), F.col("_tie").isNull(), "_tie"))))
         rows = with_carry(rows, on, latest, lambda part: F.last(part, ignorenulls=True))
         rows = rows.withColumn("_right", F.when(F.col(MARK), F.col(CARRY)).otherwise(F.col("_right")))
         order = [F.desc(MARK), *order]
@@ -73,7 +77,7 @@ def interval_counts(left: DataFrame, right: DataFrame, on: Sequence[str], left_i
     """How many right rows lie within `tolerance` of each left row, as (left_id, matches).
 
     Each left row asks twice how many right rows there are up to a time, at the interval's end and
-    just before its start, so dense moments do not multiply into pairs.
+    just before its start, so dense moments do not multiply into pairs. A null in `on` matches nothing.
     """
     zero = F.lit(0).cast("long")
     asked = F.explode(F.array(
@@ -82,7 +86,7 @@ def interval_counts(left: DataFrame, right: DataFrame, on: Sequence[str], left_i
     probes = left.select(*on, left_id, asked).select(
         *on, left_id, "_ask._t", "_ask._sign", zero.alias("_one"), F.lit(1).alias("_side"))
     seen = right.select(*on, _axis(right, right_ts).alias("_t"), F.lit(1).cast("long").alias("_one"), F.lit(0).alias("_side"))
-    both = probes.unionByName(seen.where(F.col("_t").isNotNull()), allowMissingColumns=True)
+    both = probes.unionByName(seen.where(F.col("_t").isNotNull()).dropna(subset=list(on)), allowMissingColumns=True)
     counted = running_total(both, on, ["_t", "_side"], F.col("_one"), "_upto", per_slice=per_slice)
     answers = counted.where("_side = 1").groupBy(left_id).agg(F.sum(F.col("_upto") * F.col("_sign")).alias("matches"))
     return answers.withColumn("matches", F.coalesce("matches", zero))

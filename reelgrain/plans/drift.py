@@ -113,7 +113,7 @@ SELECT label, round(r, 4) AS reference, round(c, 4) AS current, round(abs(c - r)
 """)
 def e16(t: Tables):
     points = t.embeddings.select("label", (F.col("embedding")[63] < 0).alias("old"), F.col("embedding")[0].alias("x"))
-    density = F.count(F.lit(1)) / (F.max("x") - F.min("x")).cast("double")
+    density = F.try_divide(F.count(F.lit(1)), (F.max("x") - F.min("x")).cast("double"))
     rows = metric_drift(points.where("old"), points.where("NOT old"), ["label"], density, 0.2)
     return rows.withColumns({c: F.round(c, 4) for c in ("reference", "current", "change")})
 

@@ -53,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(folder)
         return folder
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="reelgrain-")
     sc.setCheckpointDir(folder)
@@ -65,12 +65,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` as a table in the shared folder and read it back.
+def staged(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write `df` as a table in the shared folder and read it back; also its path.
 
     Losing executors then costs no recomputation, and unlike a checkpoint the rows are computed
     once and the planner knows their size.
     """
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`staged` without the path."""
+    return staged(df)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

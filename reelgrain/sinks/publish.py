@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MODEL_EXTENSIONS
-from ..functions.paths import basename, below_root, has_suffix, join_path
+from ..functions.paths import basename, below_root, has_suffix, join_path, located
 from ..sources.discovery import latest
 
 COPY_BYTES = 8 << 20
@@ -38,17 +38,11 @@ def single_manifest(objects: DataFrame, target_root: str, name: str | None = Non
 def _copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
-    def locate(uri: str):
-        # Spark lists local files as file:/x
-        if uri.startswith("file:/") and not uri.startswith("file://"):
-            uri = "file://" + uri[len("file:"):]
-        return fs.FileSystem.from_uri(uri)
-
     for batch in batches:
         sizes = []
         for src, dst in zip(batch["src"], batch["dst"]):
-            source, origin = locate(src)
-            sink, target = locate(dst)
+            source, origin = located(src)
+            sink, target = located(dst)
             if isinstance(sink, fs.LocalFileSystem):
                 sink.create_dir(posixpath.dirname(target), recursive=True)
             size = 0

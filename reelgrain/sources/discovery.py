@@ -17,26 +17,34 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 
 def first_nonempty(objects: DataFrame, roots: list[str], path: str = "path") -> DataFrame:
-    """Objects of the first root, in the given order, that has any."""
+    """Objects of the first root, in the given order, that has any; a root without a scheme fits under every one."""
+    bare = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     rank = F.lit(None).cast("int")
     for i, root in reversed(list(enumerate(roots))):
-        rank = F.when(F.col(path).startswith(root.rstrip("/") + "/"), F.lit(i)).otherwise(rank)
+        full = F.col(path) if ":" in root else bare
+        rank = F.when(full.startswith(root.rstrip("/") + "/"), F.lit(i)).otherwise(rank)
     ranked = objects.withColumn("_rank", rank)
     best = ranked.agg(F.min("_rank").alias("_best"))
     return ranked.where(F.col("_rank") == best.scalar()).drop("_rank")
 
 
 def latest(df: DataFrame, by: str, keys: list[str] | None = None, tie: str = "path") -> DataFrame:
-    """The newest row per key (or overall); equal times go to the smallest `tie`.
+    """The newest row per key (or overall); equal times go to the smallest `tie`, rows without a time come last.
 
-    One aggregate instead of a window: each input partition sends one row per key.
+    One aggregate instead of a window: each input partition sends one row per key. Text and other types
+    without an opposite are first reduced to one row per key and value.
     """
     keys = keys or []
     others = [c for c in df.columns if c not in keys]
-    stamp = isinstance(df.schema[by].dataType, (T.TimestampType, T.TimestampNTZType))
-    newest_first = -(micros(F.col(by)) if stamp else F.col(by))
-    known = df.where(F.col(by).isNotNull())
-    picked = known.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(newest_first, tie)).alias("_r"))
+    kind = df.schema[by].dataType
+    row = F.struct(*others)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
+        stamp = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+        number = micros(F.col(by)) if stamp else F.unix_date(by) if isinstance(kind, T.DateType) else F.col(by)
+        picked = df.groupBy(*keys).agg(F.min_by(row, F.struct(F.col(by).isNull(), -number, tie)).alias("_r"))
+    else:
+        first = df.groupBy(*keys, F.col(by).alias("_by")).agg(F.min_by(row, F.struct(F.col(tie).isNull(), tie)).alias("_r"))
+        picked = first.groupBy(*keys).agg(F.max_by("_r", F.struct(F.col("_by").isNotNull(), "_by")).alias("_r"))
     return picked.where(F.col("_r").isNotNull()).select(*keys, "_r.*")
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import below_root, has_suffix
+from ..functions.paths import below_root, has_suffix, located
 
 LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT"
+LISTING_ORDER = "path STRING, length BIGINT, modificationTime TIMESTAMP"
 
 
 def _glob(exts: tuple[str, ...]) -> str:
@@ -31,7 +35,12 @@ def list_objects(spark: SparkSession, root: str | list[str], prefix: str = "", e
     found = reader.load(root).select(*columns)
     if exts and ignore_case:
         found = found.where(has_suffix(F.col("path"), exts, ignore_case=True))
-    return where_key(found, prefix, path="path", root=root) if prefix and isinstance(root, str) else found
+    if not prefix:
+        return found
+    fits = F.lit(False)
+    for one in [root] if isinstance(root, str) else root:
+        fits = fits | F.coalesce(below_root(F.col("path"), one).startswith(prefix), F.lit(False))
+    return found.where(fits)
 
 
 def where_key(df: DataFrame, prefix: str = "", exts: tuple[str, ...] | None = None, path: str = "path",
@@ -48,9 +57,20 @@ def where_key(df: DataFrame, prefix: str = "", exts: tuple[str, ...] | None = No
 
 
 def read_objects(spark: SparkSession, keys: DataFrame, root: str, path: str = "path") -> DataFrame:
-    """Contents of the objects whose paths are in `keys`."""
-    return list_objects(spark, root, recursive=True, with_content=True).join(
-        keys.select(F.col(path).alias("path")), "path", "left_semi")
+    """Contents of the objects below `root` whose paths are in `keys`; no other object is opened."""
+    wanted = list_objects(spark, root, recursive=True).join(keys.select(F.col(path).alias("path")), "path", "left_semi")
+    return wanted.select("path", "length", "modificationTime").mapInArrow(_contents, f"{LISTING_ORDER}, content BINARY")
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        # an object at a time, so that a batch never holds several large ones
+        for i in range(len(batch)):
+            row = batch.slice(i, 1)
+            store, key = located(row.column("path")[0].as_py())
+            with store.open_input_stream(key) as reader:
+                content = pa.array([reader.read()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*row.columns, content], [*row.schema.names, "content"])
 
 
 def read_images(spark: SparkSession, root: str, exts: tuple[str, ...] = (".png", ".jpg")) -> DataFrame:

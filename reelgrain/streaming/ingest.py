@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import ARRIVAL_TIMEOUT_SECONDS, VIDEO_EXTENSIONS
+from ..functions.paths import below_root
 from ..functions.times import micros
 from ..operators.validate import gate, validate
 from ..sources.objects import LISTING, _glob
@@ -26,9 +27,9 @@ def watch_objects(spark: SparkSession, root: str, exts: tuple[str, ...] = VIDEO_
 
 
 def watch_path(spark: SparkSession, root: str, path: str) -> DataFrame:
-    """Arrival of one file below `root`."""
+    """Arrival of the file whose key below `root` is `path`."""
     suffix = "." + path.rsplit(".", 1)[-1]
-    return watch_objects(spark, root, (suffix,)).where(F.col("path").endswith(path))
+    return watch_objects(spark, root, (suffix,)).where(below_root(F.col("path"), root) == path.lstrip("/"))
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from reelgrain.constants import DURATION_SECONDS, FILE_BYTES, RESOLUTION_PATTERN
 from reelgrain.operators import annotate as an
-from reelgrain.operators import config, drift, profile, quality
+from reelgrain.operators import config, drift, profile, quality, sync
 from reelgrain.operators import geometry as g
 from reelgrain.operators import joins as j
 from reelgrain.operators import lifecycle as lc
 from reelgrain.operators import validate as vd
+from reelgrain.sources.discovery import latest
 
 
 @pytest.fixture()
@@ -63,18 +64,64 @@ def test_confidence_in_arrays(spark):
     assert len(vd.confident(df, "d").first().d) == 1
 
 
-@pytest.mark.parametrize("max_rules", [1000, 1])
-def test_retention(spark, max_rules):
+def test_retention(spark):
     objects = spark.sql("""SELECT path, TIMESTAMP'2024-03-31' - make_interval(0, 0, 0, age) AS modificationTime FROM VALUES
       ('temp/a', 29), ('temp/b', 30), ('temp/c', 31), ('keep/d', 400), ('temp/x/e', 6) AS t(path, age)""")
     rules = spark.createDataFrame([("temp/", 30), ("temp/x/", 5), ("te", 90)], "prefix STRING, days INT")
-    judged = lc.retention(objects, rules, F.lit("2024-03-31").cast("timestamp"), max_rules=max_rules)
+    judged = lc.retention(objects, rules, F.lit("2024-03-31").cast("timestamp"))
     assert {r.path: (r.retention_days, r.expired) for r in judged.collect()} == {
         "temp/a": (30, False), "temp/b": (30, False), "temp/c": (30, True), "keep/d": (None, False), "temp/x/e": (5, True)}
     gone, kept = lc.expire(objects, rules, F.lit("2024-03-31").cast("timestamp"))
     assert gone.count() == 2 and kept.count() == 3 and kept.columns == objects.columns
 
 
+def test_retention_with_many_rules(spark):
+    objects = spark.sql("SELECT repeat('k', CAST(id + 1 AS INT)) || '/x' AS path, TIMESTAMP'2024-01-01' AS modificationTime FROM range(1100)"
+                        " UNION ALL SELECT NULL, NULL UNION ALL SELECT 'other', NULL")
+    rules = spark.sql("SELECT repeat('k', CAST(id + 1 AS INT)) || '/' AS prefix, CAST(id AS INT) AS days FROM range(1100)")
+    judged = lc.retention(objects, rules, F.lit("2030-01-01").cast("timestamp")).collect()
+    assert len(judged) == 1102
+    assert {len(r.path) - 3: r.retention_days for r in judged if r.retention_days is not None} == {i: i for i in range(1100)}
+    assert lc.retention(objects, rules.limit(0), F.lit("2030-01-01").cast("timestamp")).where("expired").count() == 0
+
+
+def test_rules_of_one_name_hold_together(spark):
+    rows = "('r', 'v', 1D, NULL, NULL), ('r', 'v', NULL, 5D, NULL)" + "".join(f", ('n{i}', 'v', 0D, NULL, NULL)" for i in range(1050))
+    rules = spark.sql(f"SELECT * FROM VALUES {rows} AS t(rule, column, lo, hi, regex)")
+    got = vd.validate(spark.sql("SELECT * FROM VALUES (0D), (3D), (9D), (NULL) AS t(v)"), rules).collect()
+    assert {r.v: r.validation_results["r"] for r in got} == {0.0: False, 3.0: True, 9.0: False, None: False}
+
+
+def test_nulls_and_zeros_have_a_result(spark):
+    empty, full = spark.sql("SELECT CAST(NULL AS DOUBLE) AS v FROM range(3)"), spark.sql("SELECT CAST(id AS DOUBLE) AS v FROM range(3)")
+    for method in ("psi", "ks"):
+        assert drift.drift(full, empty, ["v"], 0.1, method).first().statistic is None
+        assert drift.drift(empty, empty, ["v"], 0.1, method).count() == 0
+    quotas = spark.createDataFrame([("a", 0)], "bucket STRING, quota BIGINT")
+    sizes = spark.createDataFrame([("a", 0)], "bucket STRING, length BIGINT")
+    assert quality.utilisation(sizes, quotas, "bucket", "length", "quota").first().utilisation is None
+    assert quality.efficiency(sizes, sizes, ["bucket"], "length").first().saved is None
+
+
+def test_asof_with_null_keys_and_text_ties(spark):
+    left = spark.createDataFrame([("a", 5), (None, 5)], "k STRING, t BIGINT")
+    right = spark.createDataFrame([("a", 3, "x"), ("a", 3, "y"), ("a", 7, "p"), ("a", 7, "q"), (None, 5, "z")], "k STRING, s BIGINT, id STRING")
+    for per_slice in (500_000, 1):
+        for direction, hit in (("backward", "y"), ("forward", "p"), ("nearest", "y")):
+            got = sync.asof(left, right, ["k"], "t", "s", ["id"], "id", direction=direction, per_slice=per_slice)
+            assert {r.k: r.id for r in got.collect()} == {"a": hit, None: None}
+    asked = left.withColumn("n", F.monotonically_increasing_id())
+    counts = sync.interval_counts(asked, right, ["k"], "n", "t", "s", 2).join(asked, "n")
+    assert {r.k: r.matches for r in counts.collect()} == {"a": 4, None: 0}
+
+
+def test_latest_of_text_dates_and_nulls(spark):
+    rows = spark.sql("""SELECT * FROM VALUES ('a', 'v1', DATE'2024-01-01', 'p'), ('a', 'v2', DATE'2024-02-01', 'r'),
+      ('a', 'v2', DATE'2024-02-01', 'q'), ('b', NULL, NULL, 's'), ('a', NULL, NULL, 'o') AS t(k, version, day, path)""")
+    for by in ("version", "day"):
+        assert {r.k: r.path for r in latest(rows, by, ["k"]).collect()} == {"a": "q", "b": "s"}
+
+
 def test_versions(spark):
     old = spark.createDataFrame([("a", b"1"), ("b", b"1"), ("c", b"1")], "path STRING, content BINARY")
     new = spark.createDataFrame([("a", b"1"), ("b", b"2"), ("d", b"1")], "path STRING, content BINARY")

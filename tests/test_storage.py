@@ -52,13 +52,16 @@ def test_length_filter_reaches_the_source(spark, videos):
 
 def test_read_objects(spark, videos):
     keys = obj.list_objects(spark, str(videos), exts=(".mov",)).select("path")
-    assert [bytes(r.content) for r in obj.read_objects(spark, keys, str(videos)).collect()] == [b"aa"]
+    read = obj.read_objects(spark, keys, str(videos))
+    assert [bytes(r.content) for r in read.collect()] == [b"aa"]
+    assert "content:binary" not in read._jdf.queryExecution().executedPlan().toString()
 
 
 def test_discovery(spark, videos):
     found = obj.list_objects(spark, str(videos), exts=VIDEO, recursive=True)
     roots = [f"file:{videos}/none", f"file:{videos}/deep", f"file:{videos}"]
     assert names(dis.first_nonempty(found, roots)) == ["w.avi"]
+    assert names(dis.first_nonempty(found, [f"{videos}/none", f"{videos}/deep"])) == ["w.avi"]
     assert names(dis.latest(found, "modificationTime")) == ["w.avi"]
     assert names(dis.first_by(found, "path")) == ["w.avi"]
     mp4 = found.where("path LIKE '%x.mp4'").first().path

@@ -25,6 +25,7 @@ def test_each_object_is_taken_once(spark, tmp_path):
     assert run() == ["a.mp4"]
     (root / "b.mov").write_bytes(b"22")
     assert run() == ["a.mp4", "b.mov"]
+    (root / "ab.mov").write_bytes(b"333")
     one = ing.watch_path(spark, str(root), "b.mov")
     ing.ingest(one, str(tmp_path / "one"), str(tmp_path / "log1")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "one")).count() == 1
