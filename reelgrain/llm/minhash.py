@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..session import cut_lineage
-from .common import lowered, mixed, run_hashes, slices, text_buffer, word_bounds, word_hashes
+from .common import give_back, lowered, mixed, run_hashes, slices, text_buffer, word_bounds, word_hashes
 
 #: 50 bands of 6 coordinates: two sets of similarity 0.8 share no band with probability 3e-7.
 BANDS, ROWS = 50, 6
+#: A block of documents that meet others in one task: rows and shingles it holds on average at most.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 _SHORT = 8  # multipliers of run_hashes from here on are for whole short texts
 
 
@@ -92,8 +95,8 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have at least `percent` hundredths of their union in common."""
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """`doc_id, shingles` of the documents whose id is wanted, computed from the whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
@@ -101,25 +104,118 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             sets = pa.ListArray.from_arrays(at.astype(np.int32), shingles.view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "shingles"])
 
+    once = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.mapInArrow(run, "doc_id bigint, shingles array<bigint>")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have at least `percent` hundredths of their union in common."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(run, "doc_id bigint, shingles array<bigint>")
-    sets = cut_lineage(sets)
+    sets = cut_lineage(_sets(docs, wanted, words))
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two")), "b")
     common = F.size(F.array_intersect("one", "two"))
     return both.where(100 * common >= percent * (F.size("one") + F.size("two") - common)).select("a", "b")
 
 
+def _spanning(ids: np.ndarray, parts: np.ndarray, blocks: np.ndarray, bands: np.ndarray, shingles: np.ndarray, at: np.ndarray,
+              percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of one pair of blocks as all links between its documents would.
+
+    Compared are documents of different components and, where there are two blocks, of different
+    blocks that share a band; two that a link found here has joined already need no other.
+    """
+    places, codes = np.unique(shingles, return_inverse=True)
+    sizes, inside = np.diff(at), np.zeros(len(places), bool)
+    several = blocks.min() != blocks.max()
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = x = top.get(up, up)
+        return x
+
+    found = []
+    for i in range(len(ids) - 1):
+        low, high = np.minimum(sizes[i + 1:], sizes[i]), np.maximum(sizes[i + 1:], sizes[i])
+        wanted = (parts[i + 1:] != parts[i]) & (low * 100 >= high * percent)
+        if several:
+            wanted &= blocks[i + 1:] != blocks[i]
+        near = i + 1 + np.flatnonzero(wanted)
+        near = near[(bands[near] == bands[i]).any(axis=1)]
+        if not len(near):
+            continue
+        own = codes[at[i]:at[i + 1]]
+        inside[own] = True
+        for j in near:
+            one, two = find(int(parts[i])), find(int(parts[j]))
+            if one == two:
+                continue
+            common = int(np.count_nonzero(inside[codes[at[j]:at[j + 1]]]))
+            if 100 * common >= percent * (int(sizes[i] + sizes[j]) - common):
+                top[two] = one
+                found.append((int(ids[i]), int(ids[j])))
+        inside[own] = False
+    return found
+
+
+def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that lie across the components found so far, enough of them to join what belongs together.
+
+    Documents of a bucket that holds several components are put in blocks of bounded size, by the
+    smallest id they share a bucket with. Two blocks that share a bucket meet in one task, each of
+    their documents once for every block it meets, so no pair of documents becomes a row.
+    """
+    of = groups.select(F.col("node").alias("rep"), "component")
+    placed = crowded.join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    placed = cut_lineage(placed.join(several.select("band"), "band"))
+    # the members of the smallest id's component apart from the others: among themselves they have nothing to compare
+    near = placed.groupBy("rep", "component").agg(F.min("first").alias("home"), F.max("n_shingles").alias("n"))
+    main = of.select(F.col("rep").alias("home"), F.col("component").alias("main"))
+    near = near.join(main, "home", "left").withColumn("inner", F.col("component") == F.coalesce("main", "home"))
+    parts = near.groupBy("home", "inner").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+    number = F.pmod(F.xxhash64("rep"), F.col("parts"))
+    blocks = cut_lineage(near.join(parts, ["home", "inner"]).select(
+        "rep", "component", "n", F.xxhash64("home", "inner", number).alias("block")))
+    seats = placed.select("band", "rep").join(blocks, "rep")
+    met = seats.groupBy("band", F.col("block").alias("other")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    visits = seats.join(met, "band").where("low <> component OR high <> component").select(
+        "rep", "component", "block", "n", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).distinct()
+    visits = cut_lineage(visits)
+    full = _sets(docs, visits.select(F.col("rep").alias("doc_id")).distinct(), words).withColumnRenamed("doc_id", "rep")
+    full = cut_lineage(full.join(sets.select("rep", "bands"), "rep"))
+    packs = max(1, math.ceil((visits.agg(F.sum(F.col("n") + BANDS)).first()[0] or 0) / BLOCK_SHINGLES))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("x", "ascending"), ("y", "ascending"), ("rep", "ascending")]).combine_chunks()
+        x, y, ids, parts, blocks = (table.column(c).to_numpy() for c in ("x", "y", "rep", "component", "block"))
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        lists = table.column("shingles").combine_chunks()
+        at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        shingles = lists.flatten().to_numpy()
+        begin = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+        found = []
+        for a, b in zip(begin, np.append(begin[1:], len(x)), strict=True):
+            if b - a > 1:
+                found += _spanning(ids[a:b], parts[a:b], blocks[a:b], bands[a:b], shingles[at[a]:at[b]], at[a:b + 1] - at[a], percent)
+        give_back()
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    rows = visits.drop("n").join(full, "rep").withColumn("pack", F.pmod(F.xxhash64("x", "y"), F.lit(packs)))
+    return cut_lineage(rows.groupBy("pack").applyInArrow(compare, "a bigint, b bigint"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` of every row: documents linked by shingle sets of high Jaccard similarity.
 
     Shingles are runs of `words` words, A to Z in lower case; a shorter text is one shingle of all its words.
     Texts without words, null texts and rows with a null id link with nothing and are kept (the latter
     have no component). Equal sets are linked at once and only one of them goes on. In every band bucket
-    all members are compared with the smallest id; then, in buckets that hold several components still, those
-    outside the smallest id's component with all others of another component. Pairs within a
-    component would change nothing, so no link between components is lost and no group is expanded
-    into all its pairs. Rows that repeat an id share its component. An empty table gives no rows.
+    all members are compared with the smallest id; then, in buckets that hold several components still, all members of
+    different components, block by block inside tasks. Pairs within a component would change
+    nothing, so no link between components is lost and no group is expanded into all its pairs. Rows that repeat an id share its component. An empty table gives no rows.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketches = cut_lineage(_sketches(source, words))
@@ -136,18 +232,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = cut_lineage(_confirmed(stars, source, words, percent))
     # components so far; then what lies across them within a bucket
     groups = components(links, "a", "b")
-    of = groups.select(F.col("node").alias("rep"), "component")
-    first_of = groups.select(F.col("node").alias("first"), F.col("component").alias("first_component"))
-    placed = crowded.join(of, "rep", "left").join(first_of, "first", "left").select(
-        "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"),
-        F.coalesce("first_component", "first").alias("first_component"))
-    outside = placed.where("component <> first_component").select(
-        "band", F.col("rep").alias("a"), F.col("n_shingles").alias("n"), F.col("component").alias("c"))
-    across = outside.join(placed, "band").where(
-        (F.col("c") != F.col("component")) & fits("n", "n_shingles")).select(
-        F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-    across = across.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = _confirmed(cut_lineage(across), source, words, percent)
+    more = _across(crowded, sets, groups, source, words, percent)
     groups = components(links.unionByName(more), "a", "b")
     named = sets.select("key_a", "key_b", "n_shingles", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key_a", "key_b", "n_shingles", F.coalesce("component", "rep").alias("component"))

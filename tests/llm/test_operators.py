@@ -100,6 +100,29 @@ def test_minhash(docs, texts, words):
         assert (r.component_id, r.kept) == ((None, True) if r.doc_id is None else (top[r.doc_id], top[r.doc_id] == r.doc_id))
 
 
+def test_minhash_chains(spark, monkeypatch):
+    """Families whose members are similar to their neighbours alone, in blocks of three documents."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
+    rng = random.Random(3)
+    rows, ids = [], rng.sample(range(10_000), 200)
+    for family in range(4):
+        for k in range(40):
+            # every fourth step is too wide for a link
+            first = k * 6 + k // 4 * 20
+            rows.append((ids.pop(), " ".join(f"{family}w{n}" for n in range(first, first + 100))))
+    rng.shuffle(rows)
+    sets = {k: frozenset(zip(t.split(), t.split()[1:])) for k, t in rows}
+    top = {k: k for k in sets}
+    for _ in range(8):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    top[a] = top[b] = min(top[a], top[b])
+    assert 4 < len(set(top.values())) < 60
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == top
+
+
 def test_packing(docs, texts):
     from tokenizers import Tokenizer
 
