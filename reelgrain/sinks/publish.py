@@ -66,9 +66,22 @@ def copy_objects(manifest: DataFrame, tasks: int | None = None) -> DataFrame:
 
 
 def publish_latest(df: DataFrame, root: str, model_key: str, version: str, tie: str) -> tuple[str, str]:
-    """Overwrite the models present in `df` under `versions/`, and the newest row of each under `latest/`."""
-    targets = (f"{root.rstrip('/')}/versions", f"{root.rstrip('/')}/latest")
-    for rows, target in zip((df, latest(df, version, [model_key], tie)), targets):
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(model_key).parquet(target))
-    return targets
+    """Write every version of the models in `df` under `versions/`, and the newest published one of each under `latest/`.
+
+    A version published again replaces the one before it; other versions stay, and an older version that
+    arrives late never becomes the latest. Each model is written by one group of tasks, so files stay few.
+    """
+    versions, newest = f"{root.rstrip('/')}/versions", f"{root.rstrip('/')}/latest"
+    stored = df.withColumn("_version", F.col(version).cast("string"))
+    _overwrite_parts(stored, versions, [model_key, "_version"])
+    # what lies there now, versions of earlier calls included, of the models given only
+    published = df.sparkSession.read.schema(stored.schema).parquet(versions).select(*df.columns)
+    published = published.join(df.select(model_key).distinct(), model_key, "left_semi")
+    _overwrite_parts(latest(published, version, [model_key], tie), newest, [model_key])
+    return versions, newest
+
+
+def _overwrite_parts(rows: DataFrame, target: str, parts: list[str]) -> None:
+    """Replace the partitions that `rows` has and leave the others."""
+    (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(target))

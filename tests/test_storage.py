@@ -156,3 +156,8 @@ def test_publish_latest(spark, tmp_path):
     pub.publish_latest(first, str(tmp_path), "model", "version", "path")
     _, latest = pub.publish_latest(spark.createDataFrame([("m1", 3, "d")], first.schema), str(tmp_path), "model", "version", "path")
     assert {(r.model, r.version) for r in spark.read.parquet(latest).collect()} == {("m1", 3), ("m2", 1)}
+    late = spark.createDataFrame([("m1", 2, "again"), ("m2", 2, "e")], first.schema)
+    versions, latest = pub.publish_latest(late, str(tmp_path), "model", "version", "path")
+    assert {tuple(r) for r in spark.read.parquet(latest).select(*first.columns).collect()} == {("m1", 3, "d"), ("m2", 2, "e")}
+    assert {tuple(r) for r in spark.read.parquet(versions).select(*first.columns).collect()} == {
+        ("m1", 1, "a"), ("m1", 2, "again"), ("m1", 3, "d"), ("m2", 1, "c"), ("m2", 2, "e")}
