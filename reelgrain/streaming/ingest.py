@@ -39,6 +39,28 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, every: str | None =
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def ingest_updates(stream: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write the groups that each batch changed, windows that are still open included.
+
+    The table is partitioned by batch, so a batch that is replayed replaces its own rows. Read it with
+    `current_rows`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def current_rows(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest row of every group in a table of `ingest_updates`."""
+    others = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
 def validate_stream(stream: DataFrame, rules: DataFrame, good: str, quarantine: str, checkpoint: str,
                     every: str | None = None) -> StreamingQuery:
     """Split a stream by validation rules into two tables.

@@ -64,6 +64,11 @@ def test_windows_on_a_stream_match_the_table(spark, tmp_path):
     want = table.where(F.unix_timestamp("window_start") + 60 <= closed)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert 0 < got.count() < table.count()
+    # the other way to read it holds the open windows as well
+    target = str(tmp_path / "updates")
+    ing.ingest_updates(win.window_metrics(stream, "ts", "1 minute", ["cam"], "v"), target, str(tmp_path / "log_u")).awaitTermination()
+    every = ing.current_rows(spark.read.parquet(target), ["cam", "window_start"])
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, table.collect()))
     picked = _run(spark, win.sample_stream(stream, "cam", "ts", "id", "1 minute"), tmp_path, "s")
     assert [r.id for r in picked.orderBy("id").limit(3).collect()] == [0, 3, 6]
 
