@@ -3,14 +3,15 @@
 The standard-library parser streams over a page; every block-level tag ends a line. A line's ratio is its
 text length over its tags. Ratios are smoothed by a Gaussian along the page and split in two clusters by
 a threshold; lines of the upper cluster mark content regions. Parts that the markup itself names as menus,
-adverts, forms, comments and the like take no part.
+adverts, forms, comments and the like take no part. A class or id alone never takes out an article or main
+element, what holds one, or what holds most of an article's text or, without articles, of the page's.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,40 +29,62 @@ MAIN = frozenset(("article", "main"))
 HINTS = frozenset("ad ads advert adverts advertisement aside banner breadcrumb breadcrumbs comment comments consent cookie "
                   "cookies disqus footer form header login masthead menu modal nav navbar navigation newsletter notice "
                   "popup promo related reply replies search share sharing sidebar signup social sponsor sponsored "
-                  "subscribe toolbar widget".split())
+                  "subscribe toolbar widget "
+                  "ad-container ad-slot comment-list cookie-banner cookie-consent cookie-notice main-nav nav-menu "
+                  "related-articles related-posts share-buttons sidebar-left sidebar-right site-footer site-nav social-share".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Tags whose end tag may be missing: a new one of the group closes an open one.
 LOOSE = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold the lines of a region together; the other blocks are lines of the one they are in.
+HOLDERS = frozenset("body center details div html section td th".split())
 #: Width of the smoothing, in lines.
 SIGMA = 1.0
 PIECE = 1 << 16
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    #: The innermost article or main element, part named by a class or id, and holder; 0 where there is none.
+    region: int
+    part: int
+    holder: int
+    heading: bool
+    #: All its text is in links.
+    linked: bool
+
+
 class Lines(HTMLParser):
-    """Lines of a page: text, number of tags, dropped or not, and the main element they are in."""
+    """Lines of a page outside dropped elements, and what they are in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
-        self.open: list[tuple[str, bool, bool]] = []
-        self.dropped = self.tags = self.regions = 0
-        self.inside: list[int] = []
+        self.lines: list[Line] = []
+        # tag, dropped, region, part, holder and heading of the open elements
+        self.open: list[tuple[str, bool, int, int, int, bool]] = []
+        self.dropped = self.tags = self.regions = self.elements = self.links = self.unlinked = 0
+        #: The part and the region around each part, whether an article or main element is in it; the region around each region.
+        self.around, self.within, self.main, self.outer = [0], [0], [False], [0]
         self.text: list[str] = []
+        self.place = (0, 0, 0, False)
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, max(1, self.tags), self.inside[-1] if self.inside else 0))
-        self.text, self.tags = [], 0
+            self.lines.append(Line(text, max(1, self.tags), *self.place, not self.unlinked))
+        self.text, self.tags, self.unlinked = [], 0, 0
 
     def _close(self) -> None:
-        tag, dropped, main = self.open.pop()
-        if tag in BLOCKS or dropped:
+        tag, dropped, _, part, _, _ = self.open.pop()
+        if tag in BLOCKS or dropped or part != self._place()[1]:
             self._end_line()
         self.dropped -= dropped
-        if main:
-            self.inside.pop()
+        self.links -= tag == "a"
+
+    def _place(self) -> tuple[int, int, int, bool]:
+        return self.open[-1][2:] if self.open else (0, 0, 0, False)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -82,17 +105,27 @@ class Lines(HTMLParser):
                 if name in BLOCKS:
                     break
         named = dict(attrs)
-        words = set(re.split(r"[^a-z]+", f"{named.get('class') or ''} {named.get('id') or ''}".lower()))
-        main = tag in MAIN
-        dropped = tag in DROPPED or "hidden" in named or (named.get("role") or "").lower() in ROLES or (
-            bool(words & HINTS) and tag not in ("html", "body"))
-        if dropped:
+        names = f"{named.get('class') or ''} {named.get('id') or ''}".lower().split()
+        dropped = tag in DROPPED or "hidden" in named or (named.get("role") or "").lower() in ROLES
+        hinted = not HINTS.isdisjoint(names) and tag not in MAIN and tag not in ("html", "body")
+        if dropped or hinted:
             self._end_line()
-        self.open.append((tag, dropped, main))
-        self.dropped += dropped
-        if main:
+        region, part, holder, heading = self._place()
+        self.elements += 1
+        if hinted:
+            self.around.append(part)
+            self.within.append(region)
+            self.main.append(False)
+            part = len(self.around) - 1
+        if tag in MAIN and not dropped and not self.dropped:
             self.regions += 1
-            self.inside.append(self.regions)
+            self.outer.append(region)
+            region, self.main[part] = self.regions, True
+        if tag in HOLDERS or tag in MAIN:
+            holder = self.elements
+        self.open.append((tag, dropped, region, part, holder, tag in HEADINGS if tag in BLOCKS else heading))
+        self.dropped += dropped
+        self.links += tag == "a"
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -109,13 +142,30 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         if not self.dropped:
+            if not data.isspace():
+                self.place = self._place()
+                self.unlinked += not self.links
             self.text.append(data)
 
-    def finished(self) -> list[tuple[str, int, int]]:
+    def finished(self) -> list[Line]:
+        """The lines that no part takes out; all lines if the parts would leave none."""
         while self.open:
             self._close()
         self._end_line()
-        return self.lines
+        held, main, total = [0] * len(self.around), list(self.main), [0] * len(self.outer)
+        for line in self.lines:
+            held[line.part] += len(line.text)
+            total[line.region] += len(line.text)
+        for part in range(len(held) - 1, 0, -1):
+            held[self.around[part]] += held[part]
+            main[self.around[part]] |= main[part]
+        named = sum(total[1:])
+        for region in range(len(total) - 1, 0, -1):
+            total[self.outer[region]] += total[region]
+        # most of what: of the article that the part is in; of the page where no article has text
+        most = [2 * held[part] > total[r] and (r > 0 or not named) for part, r in enumerate(self.within)]
+        stay = [part == 0 or main[part] or most[part] for part in range(len(held))]
+        return [line for line in self.lines if stay[line.part]] or self.lines
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -145,20 +195,27 @@ def main_text(html: str) -> str:
     lines = parser.finished()
     if not lines:
         return ""
-    ratio = smooth(np.array([len(text) / tags for text, tags, _ in lines]))
+    ratio = smooth(np.array([len(line.text) / line.tags for line in lines]))
     chosen = ratio >= threshold(ratio)
-    regions = {region for (_, _, region), c in zip(lines, chosen, strict=True) if c}
-    if regions - {0}:
-        # a content line speaks for the article that it is in, short headings included
-        return "\n".join(text for text, _, region in lines if region and region in regions)
     at = np.flatnonzero(chosen)
-    return "\n".join(text for text, _, _ in lines[at[0]:at[-1] + 1])
+    begin, end = int(at[0]), int(at[-1]) + 1
+    if any(line.region for line in lines):
+        # the markup names the articles: all their lines count, and what is outside only where no article has a content line
+        inside = any(line.region and c for line, c in zip(lines, chosen, strict=True))
+        return "\n".join(line.text for n, line in enumerate(lines) if line.region or (not inside and begin <= n < end))
+    # headings above the content, and what stands beside its ends in the same element, belong to it
+    first, last = lines[begin].holder, lines[end - 1].holder
+    while begin and (lines[begin - 1].heading or (lines[begin - 1].holder == first and not lines[begin - 1].linked)):
+        begin -= 1
+    while end < len(lines) and not lines[end].linked and lines[end].holder == last:
+        end += 1
+    return "\n".join(line.text for line in lines[begin:end])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """`page_id, url, text, n_chars` of every page.
 
-    A null or empty page, and one without text outside dropped parts, has an empty text. Repeated rows
+    A null or empty page, and one without text outside dropped elements, has an empty text. Repeated rows
     stay apart, other columns are not kept, an empty table gives no rows. Pages stay where they are read.
     """
 

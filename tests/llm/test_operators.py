@@ -245,6 +245,27 @@ def test_html(spark):
     assert [r.text for r in got] == [text, "", "", "", text] and all(r.n_chars == len(r.text) for r in got)
 
 
+def test_html_names_and_regions():
+    """Names of a page's layout, articles without a content line, headings and ends of unmarked content."""
+    long = "A sentence of the story that is long enough to be content of its own. "
+    story, lines = f"<h1>Head</h1><p>{long * 3}<p>{long * 2}<p>The end.", f"Head\n{(long * 3).strip()}\n{(long * 2).strip()}\nThe end."
+    menu = "<ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul>"
+    for start, end in (("<div class='page has-sidebar'>", "</div>"), ("<main class='no-sidebar'>", "</main>"), ("<div id='header-and-content'>", "</div>"),
+                       ("<article class='post category-search'>", "</article>"), ("<div class='search'><article class='search'>", "</article></div>"),
+                       ("<div class='header'>", "</div>"), ("<div>", "</div>")):
+        assert html_text.main_text(f"<body>{menu}{start}{story}{end}<div class='comments'>Nice</div></body>") == lines, start
+    # two halves under names that would both go
+    assert html_text.main_text("<div class=share><p>One text</p></div><div class=related><p>One more</p></div>") == "One text\nOne more"
+    short = "<article><h2>News</h2><p>Small.</p></article>"
+    assert html_text.main_text(f"{menu}{short}<article>{story}</article>") == f"News\nSmall.\n{lines}"
+    notice = html_text.main_text(f"<div>{long * 9}</div>{menu}<p>x</p>{short}")
+    assert notice == f"{(long * 9).strip()}\nNews\nSmall."
+    assert html_text.main_text(f"<main><article>{story}</article><div class=sidebar>Buy</div></main>") == lines
+    assert html_text.main_text(f"<article><div class=search>{story}</div><p>x</p></article>") == f"{lines}\nx"
+    # an advert longer than the article stays out
+    assert html_text.main_text(f"<div class=ad>{long}</div>{short}") == "News\nSmall."
+
+
 def test_toxicity_and_language(spark, folder):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     held = part("doc_id", 4, 2)
