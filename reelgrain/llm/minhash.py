@@ -77,43 +77,52 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
             shingles, at = shingle_sets(batch.column("text"), words)
-            n = len(batch)
             sums = []
             for salt in (0x1234567, 0x7654321):
                 total = np.concatenate([[0], np.cumsum(mixed(shingles ^ np.uint64(salt)))]).astype(np.uint64)
                 sums.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
-            # the first of equal texts in a batch stands for all: the others' bands would be the same
+            # the first of equal texts with an id in a slice stands for all: the others' bands would be the same
             bands, seen = [], set()
-            for r in range(n):
+            for r, known in enumerate(batch.column("doc_id").is_valid().to_pylist()):
                 key = (sums[0][r], sums[1][r])
-                bands.append(None if at[r] == at[r + 1] or key in seen else band_keys(signature(shingles[at[r]:at[r + 1]])))
+                if not known or at[r] == at[r + 1] or key in seen:
+                    bands.append(None)
+                    continue
+                bands.append(band_keys(signature(shingles[at[r]:at[r + 1]])))
                 seen.add(key)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(at)), pa.array(sums[0]), pa.array(sums[1]), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "key_a", "key_b", "bands"])
+                [batch.column("doc_id"), batch.column("hash"), pa.array(np.diff(at)), pa.array(sums[0]), pa.array(sums[1]),
+                 pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "hash", "n_shingles", "key_a", "key_b", "bands"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, hash bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>")
+
+
+def _with_twin(rows: DataFrame, multi: DataFrame) -> DataFrame:
+    """`twin` tells the texts of one id apart: their hash where an id has several, else 0."""
+    mark = multi.withColumn("several", F.lit(True))
+    return rows.join(mark, "doc_id", "left").withColumn("twin", F.when(F.col("several"), F.col("hash")).otherwise(F.lit(0))).drop("several", "hash")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """`doc_id, shingles` of the documents whose id is wanted, computed from the whole texts."""
+    """`doc_id, twin, shingles` of the texts whose `doc_id, twin` is wanted, computed from the whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
             shingles, at = shingle_sets(batch.column("text"), words)
             sets = pa.ListArray.from_arrays(at.astype(np.int32), shingles.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("twin"), sets], ["doc_id", "twin", "shingles"])
 
-    once = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.mapInArrow(run, "doc_id bigint, shingles array<bigint>")
+    once = docs.join(wanted, ["doc_id", "twin"], "left_semi").dropDuplicates(["doc_id", "twin"])
+    return once.mapInArrow(run, "doc_id bigint, twin bigint, shingles array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have at least `percent` hundredths of their union in common."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    """The pairs (a, b) whose texts' full sets have at least `percent` hundredths of their union in common."""
+    ends = F.array(F.struct(F.col("a").alias("doc_id"), F.col("twin_a").alias("twin")), F.struct(F.col("b").alias("doc_id"), F.col("twin_b").alias("twin")))
+    wanted = pairs.select(F.inline(ends)).distinct()
     sets = cut_lineage(_sets(docs, wanted, words))
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two")), "b")
+    both = pairs.join(sets.toDF("a", "twin_a", "one"), ["a", "twin_a"]).join(sets.toDF("b", "twin_b", "two"), ["b", "twin_b"])
     common = F.size(F.array_intersect("one", "two"))
     return both.where(100 * common >= percent * (F.size("one") + F.size("two") - common)).select("a", "b")
 
@@ -171,21 +180,21 @@ def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, docs: DataFr
     several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     placed = cut_lineage(placed.join(several.select("band"), "band"))
     # the members of the smallest id's component apart from the others: among themselves they have nothing to compare
-    near = placed.groupBy("rep", "component").agg(F.min("first").alias("home"), F.max("n_shingles").alias("n"))
+    near = placed.groupBy("rep", "twin", "component").agg(F.min("first").alias("home"), F.max("n_shingles").alias("n"))
     main = of.select(F.col("rep").alias("home"), F.col("component").alias("main"))
     near = near.join(main, "home", "left").withColumn("inner", F.col("component") == F.coalesce("main", "home"))
     parts = near.groupBy("home", "inner").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
-    number = F.pmod(F.xxhash64("rep"), F.col("parts"))
+    number = F.pmod(F.xxhash64("rep", "twin"), F.col("parts"))
     blocks = cut_lineage(near.join(parts, ["home", "inner"]).select(
-        "rep", "component", "n", F.xxhash64("home", "inner", number).alias("block")))
-    seats = placed.select("band", "rep").join(blocks, "rep")
+        "rep", "twin", "component", "n", F.xxhash64("home", "inner", number).alias("block")))
+    seats = placed.select("band", "rep", "twin").join(blocks, ["rep", "twin"])
     met = seats.groupBy("band", F.col("block").alias("other")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
     visits = seats.join(met, "band").where("low <> component OR high <> component").select(
-        "rep", "component", "block", "n", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).distinct()
+        "rep", "twin", "component", "block", "n", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).distinct()
     visits = cut_lineage(visits)
-    full = _sets(docs, visits.select(F.col("rep").alias("doc_id")).distinct(), words).withColumnRenamed("doc_id", "rep")
-    full = cut_lineage(full.join(sets.select("rep", "bands"), "rep"))
+    full = _sets(docs, visits.select(F.col("rep").alias("doc_id"), "twin").distinct(), words).withColumnRenamed("doc_id", "rep")
+    full = cut_lineage(full.join(sets.select("rep", "twin", "bands"), ["rep", "twin"]))
     packs = max(1, math.ceil((visits.agg(F.sum(F.col("n") + BANDS)).first()[0] or 0) / BLOCK_SHINGLES))
 
     def compare(table: pa.Table) -> pa.Table:
@@ -203,7 +212,7 @@ def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, docs: DataFr
         give_back()
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
-    rows = visits.drop("n").join(full, "rep").withColumn("pack", F.pmod(F.xxhash64("x", "y"), F.lit(packs)))
+    rows = visits.drop("n").join(full, ["rep", "twin"]).withColumn("pack", F.pmod(F.xxhash64("x", "y"), F.lit(packs)))
     return cut_lineage(rows.groupBy("pack").applyInArrow(compare, "a bigint, b bigint"))
 
 
@@ -215,29 +224,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     have no component). Equal sets are linked at once and only one of them goes on. In every band bucket
     all members are compared with the smallest id; then, in buckets that hold several components still, all members of
     different components, block by block inside tasks. Pairs within a component would change
-    nothing, so no link between components is lost and no group is expanded into all its pairs. Rows that repeat an id share its component. An empty table gives no rows.
+    nothing, so no link between components is lost and no group is expanded into all its pairs. Rows that repeat an id share its component, also
+    where their texts differ: then each text is compared, and what it links with is linked to the id. An empty table gives no rows.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    source = source.withColumn("hash", F.xxhash64("text"))
     sketches = cut_lineage(_sketches(source, words))
-    linkable = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
-    sets = linkable.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("bands").alias("bands"))
-    sets = cut_lineage(sets)
-    members = sets.select("rep", "n_shingles", F.explode("bands").alias("band"))
-    firsts = members.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    keyed = sketches.where("doc_id IS NOT NULL")
+    multi = cut_lineage(keyed.groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low <> high").select("doc_id"))
+    linkable, source = _with_twin(keyed.where("n_shingles > 0"), multi), _with_twin(source, multi)
+    sets = linkable.groupBy("key_a", "key_b", "n_shingles").agg(F.min(F.struct("doc_id", "twin")).alias("own"), F.max("bands").alias("bands"))
+    sets = cut_lineage(sets.select("key_a", "key_b", "n_shingles", F.col("own.doc_id").alias("rep"), F.col("own.twin").alias("twin"), "bands"))
+    # the sets of one id belong together
+    repeated = cut_lineage(keyed.where("n_shingles > 0").join(multi, "doc_id", "left_semi").select("doc_id", "key_a", "key_b", "n_shingles"))
+    shared = repeated.join(sets.drop("bands", "twin"), ["key_a", "key_b", "n_shingles"]).where("doc_id <> rep").select(
+        F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    members = sets.select("rep", "twin", "n_shingles", F.explode("bands").alias("band"))
+    firsts = members.groupBy("band").agg(F.min(F.struct("rep", "twin")).alias("own"), F.count("*").alias("n")).where("n > 1").select(
+        "band", F.col("own.rep").alias("first"), F.col("own.twin").alias("first_twin"))
     crowded = cut_lineage(members.join(firsts, "band"))
-    sizes = sets.select(F.col("rep").alias("first"), F.col("n_shingles").alias("first_n"))
+    sizes = sets.select(F.col("rep").alias("first"), F.col("twin").alias("first_twin"), F.col("n_shingles").alias("first_n"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    stars = crowded.where("rep <> first").select("rep", "n_shingles", "first").distinct().join(sizes, "first")
-    stars = cut_lineage(stars.where(fits("n_shingles", "first_n")).select(F.col("rep").alias("a"), F.col("first").alias("b")))
-    links = cut_lineage(_confirmed(stars, source, words, percent))
+    stars = crowded.where("rep <> first").select("rep", "twin", "n_shingles", "first", "first_twin").distinct().join(sizes, ["first", "first_twin"])
+    stars = cut_lineage(stars.where(fits("n_shingles", "first_n")).select(
+        F.col("rep").alias("a"), F.col("twin").alias("twin_a"), F.col("first").alias("b"), F.col("first_twin").alias("twin_b")))
+    links = cut_lineage(_confirmed(stars, source, words, percent).unionByName(shared))
     # components so far; then what lies across them within a bucket
     groups = components(links, "a", "b")
     more = _across(crowded, sets, groups, source, words, percent)
     groups = components(links.unionByName(more), "a", "b")
     named = sets.select("key_a", "key_b", "n_shingles", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key_a", "key_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    keyed = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    rows = sketches.drop("bands").withColumn("key_a", F.when(keyed, F.col("key_a")))
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    rows = sketches.drop("bands", "hash").withColumn("key_a", F.when(linked, F.col("key_a")))
     out = rows.join(named, ["key_a", "key_b", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

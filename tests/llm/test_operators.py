@@ -123,6 +123,20 @@ def test_minhash_chains(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == top
 
 
+def test_minhash_null_ids_and_texts_of_one_id(spark):
+    """A null-id row ahead of its copy, and ids with several texts, each of which has near copies."""
+    text = lambda name, n=60: " ".join(f"{name}{k}" for k in range(n))
+    rows = [(None, text("a")), (7, text("a")), (8, text("a") + " more")]
+    rows += [(20, text("b")), (20, text("c")), (21, text("b") + " x"), (22, text("c") + " y")]
+    # 31 has a copy of 30's text and one of its own, whose near copy has the smallest id of all
+    rows += [(30, text("d")), (31, text("d")), (31, text("e")), (3, text("e") + " z"), (40, text("f")), (41, text("g")), (41, "")]
+    want = {7: 7, 8: 7, 20: 20, 21: 20, 22: 20, 30: 3, 31: 3, 3: 3, 40: 40, 41: 41, None: None}
+    for table in (rows, rows[:3] + rows[:2:-1]):
+        got = minhash.near_duplicates(spark.createDataFrame(table, "doc_id bigint, text string").coalesce(1)).collect()
+        assert len(got) == len(table)
+        assert all(r.component_id == want[r.doc_id] and r.kept == (r.doc_id == want[r.doc_id] or r.doc_id is None) for r in got), got
+
+
 def test_packing(docs, texts):
     from tokenizers import Tokenizer
 
