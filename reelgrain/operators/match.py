@@ -237,9 +237,10 @@ def match(features: DataFrame, id: str, scene: str, vec: str, ratio: float | Non
 
 def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bucket_length: float = 1.0,
                    tables: int = 3, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Like `nearest`, but compares only images that share a random-projection bucket.
+    """Like `nearest`, but in scenes of more than `block_rows` images compares only those that share a bucket.
 
-    Faster on large scenes; may miss partners. Big buckets are cut into blocks as in `nearest`.
+    Buckets are random projections and may miss partners; smaller scenes are compared whole, so there the
+    result is exact. Big buckets are cut into blocks as in `nearest`.
     """
     kind = features.schema[id].dataType.simpleString()
     label = features.schema[scene].dataType.simpleString()
@@ -252,8 +253,10 @@ def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int =
     lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hash", bucketLength=bucket_length,
                                       numHashTables=tables, seed=seed)
     hashed = lsh.fit(rows).transform(rows)
-    spots = hashed.select("scene", "id", "vec", F.posexplode("_hash").alias("_table", "_value"))
-    spots = spots.withColumn("cell", F.concat_ws(":", "_table", F.col("_value").cast("string"))).select("scene", "id", "vec", "cell")
+    sizes = rows.groupBy("scene").agg((F.count(F.lit(1)) <= block_rows).alias("_whole"))
+    spots = hashed.join(sizes, "scene").select("scene", "id", "vec", "_whole", F.posexplode("_hash").alias("_table", "_value"))
+    cell = F.when(F.col("_whole"), F.lit("whole")).otherwise(F.concat_ws(":", "_table", F.col("_value").cast("string")))
+    spots = spots.where("NOT _whole OR _table = 0").select("scene", "id", "vec", cell.alias("cell"))
     # hashed once, then read for the block sizes and for both sides
     spots = cut_lineage(spots)
     queries = spots.select("scene", "cell", F.col("id").alias("src"), F.col("id").cast("string").alias("sig"), "vec",

@@ -61,6 +61,12 @@ def test_approximate_finds_copies(spark):
     assert got.where("src >= 200 AND src < 240 AND rank = 1 AND score > 0.999").count() == 40
 
 
+def test_approximate_is_exact_in_small_scenes(spark):
+    rows = features(spark).where("label IS NOT NULL")
+    lists = [{tuple(r) for r in f(rows, "vec_id", "label", "embedding", 2).select("src", "dst", "rank").collect()} for f in (m.nearest, m.approx_nearest)]
+    assert lists[0] == lists[1]
+
+
 def test_pair_counts(spark):
     got = {r.label: (r.images, r.pairs) for r in m.pair_counts(features(spark), "label").collect()}
     assert got == {0: (160, 160 * 159 // 2), 1: (9, 36), 2: (1, 0), None: (3, 3)}
