@@ -97,12 +97,12 @@ def op9_main_text(pages: DataFrame) -> DataFrame:
 
 _TOP_K = """
 WITH q AS (
-  SELECT vec_id, list_transform(embedding, e -> CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0 AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(embedding) > 0
 ), p AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(a.x, b.x), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
 ), r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
