@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, html_text, knn_join, language, minhash, near_vectors, packing, sentencepieces, substrings, toxicity
+from . import bpe, ctw, html_text, knn_join, language, minhash, near_vectors, packing, sentencepieces, substrings, toxicity
 from .common import part
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ WITH q AS (
 @query("embeddings", _TOP_K)
 def op10_top_k(vectors: DataFrame) -> DataFrame:
     return knn_join.top_k(vectors, k=20, every=20, scale=64)
+
+
+@query("documents")
+def op11_bpe(docs: DataFrame) -> DataFrame:
+    coded = bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), decoded=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
