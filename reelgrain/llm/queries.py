@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, html_text, knn_join, language, minhash, near_vectors, packing, sentencepieces, substrings, toxicity
+from . import bpe, clusters, ctw, html_text, knn_join, language, minhash, near_vectors, packing, resample, sentencepieces, substrings, toxicity
 from .common import part
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,43 @@ def op10_top_k(vectors: DataFrame) -> DataFrame:
 def op11_bpe(docs: DataFrame) -> DataFrame:
     coded = bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _clusters_sql(k: int, rounds: int, dim: int, scale: int, seed: int) -> str:
+    """The rounds of op12, one after the other."""
+    parts = [f"""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+)""", f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), x) - 1 AS c, x FROM v ORDER BY c LIMIT {k}
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, v.x, min({{'d': CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'c': c.c}}) AS m
+  FROM v, c{r} c GROUP BY vec_id, v.x
+)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (
+  SELECT m.c AS c, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM a{r}, range(1, {dim + 1}) t(i) GROUP BY ALL
+), n{r} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{r} GROUP BY c
+), c{r + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(n.x, c.x) AS x FROM c{r} c LEFT JOIN n{r} n ON n.c = c.c
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.m.c"""
+
+
+@query("embeddings", _clusters_sql(40, 5, 64, 256, 2))
+def op12_clusters(vectors: DataFrame) -> DataFrame:
+    found = clusters.cluster(vectors, k=40, rounds=5, dim=64, scale=256, seed=2)
+    name = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", name).drop("centroid")
+
+
+@query(("documents", "benchmark"))
+def op13_resampling(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    drawn = resample.resample(docs, benchmark, percent=5, least_words=20, buckets=10_000, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
