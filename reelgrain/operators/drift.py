@@ -15,11 +15,9 @@ SHARE_FLOOR = 1e-6
 def ecdf(df: DataFrame, columns: list[str], per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Cumulative share at each distinct value of each column."""
     long = to_long(df, columns).where(F.col("value").isNotNull())
-    rows = df.count() * len(columns)
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    if rows > per_slice:
-        counts, rows = cut_lineage(counts), None
-    steps = running_total(counts, ["column"], ["value"], F.col("n"), "_upto", "_all", per_slice, rows)
+    # counted once, then read for the sizes, the slices and the sums
+    counts = cut_lineage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    steps = running_total(counts, ["column"], ["value"], F.col("n"), "_upto", "_all", per_slice)
     return steps.select("column", "value", "n", (F.col("_upto") / F.col("_all")).alias("cdf"))
 
 
@@ -54,16 +52,13 @@ def ks(reference: DataFrame, current: DataFrame, columns: list[str], per_slice:
     where a side has no values.
     """
     long = _sides(reference, current, columns)
-    rows = (reference.count() + current.count()) * len(columns)
-    counts = long.groupBy("column", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    if rows > per_slice:
-        # counted once, then read for the sizes, the slices and the sums
-        counts, rows = cut_lineage(counts), None
+    # counted once, then read for the sizes, the slices and the sums
+    counts = cut_lineage(long.groupBy("column", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c")))
     # one row per listed column, so the broadcast is bounded
     sizes = F.broadcast(counts.groupBy("column").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc")))
     shares = counts.join(sizes, "column").select(
         "column", "value", (F.try_divide("r", "nr") - F.try_divide("c", "nc")).alias("_d"))
-    steps = running_total(shares, ["column"], ["value"], F.col("_d"), "_gap", None, per_slice, rows)
+    steps = running_total(shares, ["column"], ["value"], F.col("_d"), "_gap", None, per_slice)
     return steps.groupBy("column").agg(F.max(F.abs("_gap")).alias("statistic"))
 
 

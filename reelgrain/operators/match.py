@@ -13,8 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +29,10 @@ SLACK = 1e-6
 PIECE_ROWS = 1024
 VISIT_ROWS = 20_000
 WHOLE_SCENE = -1
+#: Images that a bucket of the approximate search should hold, projections and tables at most.
+BUCKET_ROWS, MAX_BITS, MAX_TABLES = 512, 24, 8
+#: Boundaries that probes may cross, sampled queries per number of bits, and probes that are written at once.
+FLIPPED, SAMPLED, PROBES_AT_ONCE = 12, 256, 64
 
 
 def pair_counts(frames: DataFrame, scene: str) -> DataFrame:
@@ -135,6 +139,38 @@ def _visits(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     return rows.mapInPandas(task, rows.schema)
 
 
+def _found_schema(features: DataFrame, id: str, scene: str) -> str:
+    kind, label = features.schema[id].dataType.simpleString(), features.schema[scene].dataType.simpleString()
+    return f"scene {label}, sig string, src {kind}, bound double, dst {kind}, score double"
+
+
+def _signed(features: DataFrame, id: str, scene: str, vec: str) -> DataFrame:
+    """`scene, id, vec, sig`: images with a scene, and one signature per distinct vector."""
+    rows = features.where(F.col(scene).isNotNull()).select(F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
+    return rows.withColumn("sig", F.sha2(F.to_json(F.struct("vec")), 256))
+
+
+def _reduced(rows: DataFrame, k: int, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Images that can be in a list, k + 1 for each vector, and one query for each of them and for all other copies together."""
+    targets = top_n(rows, ["scene", "sig"], [F.asc("id")], k + 1)
+    spare = rows.groupBy("scene", "sig").agg(F.count(F.lit(1)).alias("_n"), F.min_by("vec", "id").alias("vec"))
+    # copies that are not targets search as one query without an id
+    spare = spare.where(F.col("_n") > k + 1).select("scene", F.lit(None).cast(kind).alias("src"), "vec", "sig")
+    return targets, targets.select("scene", F.col("id").alias("src"), "vec", "sig").unionByName(spare)
+
+
+def _spread(found: DataFrame, rows: DataFrame, targets: DataFrame, k: int, scene: str, kind: str) -> DataFrame:
+    """Lists of all images: a target takes its own, a further copy that of the search without an id."""
+    ranked = top_n(found, ["scene", "sig", "src"], [F.desc("score"), F.asc("dst")], k, "rank")
+    own = targets.select("scene", "sig", "id", F.col("id").alias("src"))
+    copies = rows.select("scene", "sig", "id").join(own.select("scene", "id"), ["scene", "id"], "left_anti")
+    members = own.unionByName(copies.withColumn("src", F.lit(None).cast(kind)))
+    same = (F.col("m.scene").eqNullSafe(F.col("r.scene")) & (F.col("m.sig") == F.col("r.sig"))
+            & F.col("m.src").eqNullSafe(F.col("r.src")))
+    lists = members.alias("m").join(ranked.alias("r"), same)
+    return lists.select(F.col("m.scene").alias(scene), F.col("m.id").alias("src"), "r.dst", "r.score", "r.rank")
+
+
 def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, block_rows: int = BLOCK_ROWS,
             pivots: int | None = None) -> DataFrame:
     """The `k` most similar images of the same scene for every image: (scene, src, dst, score, rank).
@@ -144,27 +180,11 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
     one search, so a large group of copies costs no more than a single image. Scenes that fit a
     block are compared at once; only bigger ones are grouped around pivots.
     """
-    rows = features.where(F.col(scene).isNotNull()).select(
-        F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
-    # one signature per distinct vector
-    rows = rows.withColumn("sig", F.sha2(F.to_json(F.struct("vec")), 256))
+    rows = _signed(features, id, scene, vec)
     kind = features.schema[id].dataType.simpleString()
-    label = features.schema[scene].dataType.simpleString()
-    schema = f"scene {label}, sig string, src {kind}, bound double, dst {kind}, score double"
-
+    schema = _found_schema(features, id, scene)
     total = rows.count()
-    if total <= block_rows:
-        # everything fits one block, so a scene does
-        whole = rows.select("scene", "sig", F.col("id").alias("src"), "id", "vec", F.lit(float("-inf")).alias("bound"))
-        found = whole.groupBy("scene").applyInPandas(lambda block: _best(k)(block, block), schema)
-        ranked = top_n(found, ["scene", "src"], [F.desc("score"), F.asc("dst")], k, "rank")
-        return ranked.select(F.col("scene").alias(scene), "src", "dst", "score", "rank")
-
-    targets = top_n(rows, ["scene", "sig"], [F.asc("id")], k + 1)
-    # copies that are not targets search as one query without an id
-    spare = rows.groupBy("scene", "sig").agg(F.count(F.lit(1)).alias("_n"), F.min_by("vec", "id").alias("vec"))
-    spare = spare.where(F.col("_n") > k + 1).select("scene", F.lit(None).cast(kind).alias("src"), "vec", "sig")
-    queries = targets.select("scene", F.col("id").alias("src"), "vec", "sig").unionByName(spare)
+    targets, queries = _reduced(rows, k, kind)
 
     large = targets.groupBy("scene").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
     large = large.select("scene", F.lit(True).alias("_large"))
@@ -199,16 +219,7 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
         second = _compare(_visits(open_, centre), t, k, block_rows, schema)
         found = first.unionByName(second.where(F.col("score") >= F.col("bound") - SLACK))
 
-    order = [F.desc("score"), F.asc("dst")]
-    ranked = top_n(found, ["scene", "sig", "src"], order, k, "rank")
-    # a target takes its own list, a further copy the list of the search without an id
-    own = targets.select("scene", "sig", "id", F.col("id").alias("src"))
-    copies = rows.select("scene", "sig", "id").join(own.select("scene", "id"), ["scene", "id"], "left_anti")
-    members = own.unionByName(copies.withColumn("src", F.lit(None).cast(kind)))
-    same = (F.col("m.scene").eqNullSafe(F.col("r.scene")) & (F.col("m.sig") == F.col("r.sig"))
-            & F.col("m.src").eqNullSafe(F.col("r.src")))
-    lists = members.alias("m").join(ranked.alias("r"), same)
-    return lists.select(F.col("m.scene").alias(scene), F.col("m.id").alias("src"), "r.dst", "r.score", "r.rank")
+    return _spread(found, rows, targets, k, scene, kind)
 
 
 def match(features: DataFrame, id: str, scene: str, vec: str, ratio: float | None = 0.8, mutual: bool = True,
@@ -235,32 +246,138 @@ def match(features: DataFrame, id: str, scene: str, vec: str, ratio: float | Non
     return ends.where("_n = 2 AND _ok").select(scene, F.col("a").alias("src"), F.col("b").alias("dst"), "score")
 
 
-def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bucket_length: float = 1.0,
-                   tables: int = 3, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Like `nearest`, but in scenes of more than `block_rows` images compares only those that share a bucket.
+def _planes(dim: int, seed: int, tables: int) -> np.ndarray:
+    """Random directions of every table: the first ones of a table make its key, as many as a scene needs."""
+    return np.random.default_rng(seed).normal(size=(tables, dim, MAX_BITS))
+
 
-    Buckets are random projections and may miss partners; smaller scenes are compared whole, so there the
-    result is exact. Big buckets are cut into blocks as in `nearest`.
+def _masks(bits: int) -> np.ndarray:
+    """All choices of the bits that are nearest to their boundary, as rows of 0 and 1; the empty one first."""
+    few = min(bits, FLIPPED)
+    return (np.arange(1 << few)[:, None] >> np.arange(few)) & 1
+
+
+def _probes(places: np.ndarray, probes: int) -> np.ndarray:
+    """Keys of the buckets that a query visits: its own, then those across the boundaries that are nearest to it together."""
+    bits = places.shape[1]
+    own = (places > 0) @ (1 << np.arange(bits, dtype=np.int64))
+    if probes == 1 or not bits:
+        return own[:, None]
+    masks = _masks(bits)
+    near = np.argsort(np.abs(places), axis=1)[:, :masks.shape[1]]
+    cost = np.take_along_axis(places, near, axis=1) ** 2 @ masks.T
+    order = np.argsort(cost, axis=1, kind="stable")[:, :probes]
+    flips = (1 << near) @ masks.T
+    return own[:, None] ^ np.take_along_axis(flips, order, axis=1)
+
+
+def _calibrated(queries: DataFrame, targets: DataFrame, k: int, planes: np.ndarray, recall: float) -> dict[int, tuple[int, int]]:
+    """Tables and probes for each number of bits: the least work that finds `recall` of the partners of a sample.
+
+    The sample is SAMPLED queries for each number of bits, at most MAX_BITS of those; its true partners come from one
+    pass over all images of scenes with buckets.
     """
-    kind = features.schema[id].dataType.simpleString()
-    label = features.schema[scene].dataType.simpleString()
-    schema = f"scene {label}, sig string, src {kind}, bound double, dst {kind}, score double"
-    rows = features.select(F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
-    dim = F.size("vec")
+    sample = top_n(queries.where("bits > 0 AND src IS NOT NULL"), ["bits"], [F.xxhash64("src", "scene")], SAMPLED).collect()
+    if not sample:
+        return {}
+    spots = np.array([r.place for r in sample])
+    unit = _unit(pd.Series([r.vec for r in sample]))
+    by_scene: dict = {}
+    for i, r in enumerate(sample):
+        by_scene.setdefault(r.scene, []).append(i)
+    ids = [r.src for r in sample]
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, list] = {}
+        for piece in _pieces(batches):
+            for scene, part in piece.groupby("scene"):
+                mine = by_scene.get(scene)
+                if mine is None:
+                    continue
+                scores = np.round(unit[mine] @ _unit(part["vec"]).T, DIGITS)
+                dst, place = part["id"].tolist(), part["place"].tolist()
+                for row, i in zip(scores, mine, strict=True):
+                    for j in np.argsort(-row, kind="stable")[:k + 1]:
+                        if dst[j] != ids[i]:
+                            best.setdefault(i, []).append((-row[j], dst[j], place[j]))
+                    best[i] = sorted(best.get(i, []), key=lambda b: b[:2])[:k]
+        rows = [(i, -b[0], b[2]) for i, found in best.items() for b in found]
+        yield pd.DataFrame({"i": [r[0] for r in rows], "score": [r[1] for r in rows], "place": [r[2] for r in rows]}).astype({"i": "int32", "score": float})
+
+    scored = targets.where("bits > 0").select("scene", "id", "vec", "place").mapInPandas(task, "i int, score double, place array<double>")
+    pairs = top_n(scored, ["i"], [F.desc("score")], k).collect()
+    plan: dict[int, tuple[int, int]] = {}
+    for bits in sorted({r.bits for r in sample}):
+        mine = [p for p in pairs if sample[p.i].bits == bits]
+        if not mine:
+            plan[bits] = (1, 1)
+            continue
+        a, b = spots[[p.i for p in mine]], np.array([p.place for p in mine])
+        first = np.full((len(planes), len(mine)), 1 << bits)
+        for t, plane in enumerate(planes):
+            keys = (b @ plane[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
+            seen = _probes(a @ plane[:, :bits], 1 << min(bits, FLIPPED)) == keys[:, None]
+            first[t] = np.where(seen.any(axis=1), seen.argmax(axis=1), 1 << bits)
+        options = []
+        for tables in range(1, len(planes) + 1):
+            needed = int(np.quantile(first[:tables].min(axis=0), recall, method="higher")) + 1
+            options.append((tables * min(needed, 1 << min(bits, FLIPPED)), tables, min(needed, 1 << min(bits, FLIPPED))))
+        _, tables, probes = min(options)
+        plan[bits] = (tables, probes)
+    return plan
+
+
+def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bucket_rows: int = BUCKET_ROWS,
+                   recall: float = 0.97, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Like `nearest`, but an image meets only those in the buckets that it probes, so it may miss partners.
+
+    Vectors are measured from the mean of their scene. Random projections joined into one key deal a scene into buckets of
+    about `bucket_rows` images, so the number of projections follows from its size; a query visits its own bucket and those across
+    the nearest boundaries (the multi-probe scheme of Lv et al. 2007). How many tables and probes it takes is
+    measured on a bounded sample of queries against all images, as the cheapest way to `recall` of their partners. Where
+    vectors have clusters, that is a few buckets whatever the size; where they have no structure at all it
+    goes up to all buckets of one table, which is the exact search. Scenes of one bucket are compared
+    whole. Equal vectors share a search, and big buckets are cut into blocks, as in `nearest`. Images without a vector have no list.
+    """
+    kind, schema = features.schema[id].dataType.simpleString(), _found_schema(features, id, scene)
+    rows = _signed(features.where(F.size(vec) > 0), id, scene, vec)
+    targets, queries = _reduced(rows, k, kind)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     unit = F.transform("vec", lambda x: x.cast("double") / F.when(norm > 0, norm).otherwise(F.lit(1.0)))
-    rows = rows.where(dim > 0).withColumn("_unit", array_to_vector(unit))
-    lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hash", bucketLength=bucket_length,
-                                      numHashTables=tables, seed=seed)
-    hashed = lsh.fit(rows).transform(rows)
-    sizes = rows.groupBy("scene").agg((F.count(F.lit(1)) <= block_rows).alias("_whole"))
-    spots = hashed.join(sizes, "scene").select("scene", "id", "vec", "_whole", F.posexplode("_hash").alias("_table", "_value"))
-    cell = F.when(F.col("_whole"), F.lit("whole")).otherwise(F.concat_ws(":", "_table", F.col("_value").cast("string")))
-    spots = spots.where("NOT _whole OR _table = 0").select("scene", "id", "vec", cell.alias("cell"))
-    # hashed once, then read for the block sizes and for both sides
-    spots = cut_lineage(spots)
-    queries = spots.select("scene", "cell", F.col("id").alias("src"), F.col("id").cast("string").alias("sig"), "vec",
-                           F.lit(float("-inf")).alias("bound"))
-    found = _compare(queries, spots, k, block_rows, schema).select("scene", "src", "dst", "score").distinct()
-    ranked = top_n(found, ["scene", "src"], [F.desc("score"), F.asc("dst")], k, "rank")
-    return ranked.withColumnRenamed("scene", scene)
+    means = targets.groupBy("scene").agg(F.count(F.lit(1)).alias("_n"), Summarizer.mean(array_to_vector(unit)).alias("_m"))
+    bits = F.least(F.greatest(F.floor(F.log2(F.col("_n") / F.lit(float(bucket_rows)))), F.lit(0)), F.lit(MAX_BITS)).cast("int")
+    means = cut_lineage(means.select(F.col("scene").alias("_of"), vector_to_array("_m").alias("_mean"), bits.alias("bits")))
+
+    def placed(part: DataFrame) -> DataFrame:
+        # one row per scene; broadcast by Spark's own check of its size
+        return part.join(means, F.col("scene") == F.col("_of")).withColumn(
+            "place", F.zip_with(unit, "_mean", lambda x, m: x - m)).drop("_of", "_mean")
+
+    targets, queries = cut_lineage(placed(targets)), cut_lineage(placed(queries))
+    first = targets.select(F.size("vec")).first()
+    planes = _planes(first[0] if first else 1, seed, MAX_TABLES)
+    plan = _calibrated(queries, targets, k, planes, recall)
+
+    def bucketed(all_probes: bool):
+        def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for piece in _pieces(batches):
+                for b, part in piece.groupby("bits"):
+                    tables, probes = plan.get(int(b), (1, 1))
+                    place = np.array(part["place"].tolist(), dtype=np.float64)
+                    for t in range(tables if b else 1):
+                        keys = _probes(place @ planes[t][:, :int(b)], probes if all_probes else 1)
+                        flat = part.drop(columns=["bits", "place"])
+                        for start in range(0, keys.shape[1], PROBES_AT_ONCE):
+                            some = keys[:, start:start + PROBES_AT_ONCE]
+                            out = flat.iloc[np.repeat(np.arange(len(flat)), some.shape[1])]
+                            yield out.assign(cell=(t << MAX_BITS) + some.ravel())
+        return task
+
+    def spots(part: DataFrame, all_probes: bool) -> DataFrame:
+        fields = [f for f in part.schema.fields if f.name not in ("bits", "place")]
+        return part.mapInPandas(bucketed(all_probes), T.StructType([*fields, T.StructField("cell", T.LongType())]))
+
+    visits = spots(queries, True).withColumn("bound", F.lit(float("-inf")))
+    # both are read for the sizes of blocks and for the comparison
+    found = _compare(cut_lineage(visits), cut_lineage(spots(targets, False)), k, block_rows, schema).distinct()
+    return _spread(found, rows, targets, k, scene, kind)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import ROWS_PER_SLICE, quantiles
+from .sketches import read, sketch
 
 
 def missing_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -32,20 +33,12 @@ def _moments(value: Column) -> dict[str, Column]:
 def profile(df: DataFrame, columns: list[str], exact: bool = False, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Count, nulls, distinct values, range, mean, deviation and quartiles of numeric columns.
 
-    By default distinct counts and quartiles are sketches from the same single pass; `exact`
+    By default distinct counts and quartiles are read from mergeable sketches of a single pass (`sketches`); `exact`
     counts every value.
     """
     marks = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     if not exact:
-        # one row of aggregates, so the input is not multiplied by the number of columns
-        parts = []
-        for c in columns:
-            value = F.col(c).cast("double")
-            moments = [agg.alias(name) for name, agg in _moments(value).items()]
-            quartiles = F.percentile_approx(value, list(marks.values()), 10_000).alias("_q")
-            parts.append(F.struct(F.lit(c).alias("column"), *moments, F.approx_count_distinct(value).alias("distinct"), quartiles))
-        row = df.agg(F.array(*parts).alias("_all")).select(F.explode("_all").alias("_r")).select("_r.*")
-        return row.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(marks)]).drop("_q")
+        return read(sketch(df, columns), marks)
     long = to_long(df, columns)
     basic = quantiles(long, "value", marks, ["column"], _moments(F.col("value")), per_slice)
     # distinct first, so that no task holds a column's values

@@ -10,6 +10,7 @@ from ..constants import LAG_SECONDS, POLYGON_DRIFT, SLA_SECONDS, SLOW_RUN_FACTOR
 from ..functions.times import micros, seconds_between
 from ..sources.discovery import latest
 from .ordered import ROWS_PER_SLICE, quantiles, rolling
+from .sketches import QUANTILE_K
 
 
 def interval_seconds(interval: Column) -> Column:
@@ -22,7 +23,7 @@ def quality_metrics(jobs: DataFrame, polygons: str = "polygon_count", time: str
                     keys: list[str] | None = None, exact: bool = True, per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Mean polygon count and a quantile of the processing time, overall or per key.
 
-    The quantile is interpolated and exact; `exact=False` takes Spark's sketch in the same pass.
+    The quantile is interpolated and exact; `exact=False` takes a KLL sketch in the same pass.
     Interval columns give an interval.
     """
     keys = keys or []
@@ -33,7 +34,9 @@ def quality_metrics(jobs: DataFrame, polygons: str = "polygon_count", time: str
         stats = quantiles(timed, "_time", {name: p}, keys, {"avg_polygons": F.avg(polygons)}, per_slice)
         stats = stats.select(*keys, "avg_polygons", name)
     else:
-        stats = timed.groupBy(*keys).agg(F.avg(polygons).alias("avg_polygons"), F.percentile_approx("_time", p).alias(name))
+        stats = timed.groupBy(*keys).agg(F.avg(polygons).alias("avg_polygons"), F.kll_sketch_agg_double("_time", F.lit(QUANTILE_K)).alias("_sketch"), F.count("_time").alias("_n"))
+        value = F.when(F.col("_n") > 0, F.kll_sketch_get_quantile_double("_sketch", F.lit(float(p))))
+        stats = stats.select(*keys, "avg_polygons", value.alias(name))
     if spans:
         stats = stats.withColumn(name, F.make_dt_interval(secs=F.col(name).cast("decimal(18,6)")))
     return stats

@@ -54,15 +54,12 @@ def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, rig
     rrows = rrows.where(F.col("_t").isNotNull()).dropna(subset=list(on))
     both = lrows.unionByName(rrows, allowMissingColumns=True)
     order = [F.col("_t"), F.col("_side"), F.col("_tie").asc() if sign == 1 else F.col("_tie").desc_nulls_first()]
-    sliced = slice_rows(both, on, ["_t"], per_slice)
-    rows = sliced.df
-    if sliced.cut:
-        here = F.col("_right").isNotNull()
-        latest = (F.max_by("_right", F.when(here, F.struct("_t", "_tie"))) if sign == 1 else
-                  F.min_by("_right", F.when(here, F.struct(-F.col("_t"), F.col("_tie").isNull(), "_tie"))))
-        rows = with_carry(rows, on, latest, lambda part: F.last(part, ignorenulls=True))
-        rows = rows.withColumn("_right", F.when(F.col(MARK), F.col(CARRY)).otherwise(F.col("_right")))
-        order = [F.desc(MARK), *order]
+    here = F.col("_right").isNotNull()
+    latest = (F.max_by("_right", F.when(here, F.struct("_t", "_tie"))) if sign == 1 else
+              F.min_by("_right", F.when(here, F.struct(-F.col("_t"), F.col("_tie").isNull(), "_tie"))))
+    rows = with_carry(slice_rows(both, on, ["_t"], per_slice), on, latest, lambda part: F.last(part, ignorenulls=True))
+    rows = rows.withColumn("_right", F.when(F.col(MARK), F.col(CARRY)).otherwise(F.col("_right")))
+    order = [F.desc(MARK), *order]
     seen = Window.partitionBy(*on, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_hit", F.last("_right", ignorenulls=True).over(seen)).where(F.col("_left").isNotNull())
     hit = F.col("_hit")

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as d
 from ..operators import profile as pr
+from ..operators import sketches as sk
 from ..operators.quality import metric_drift
+from ..session import cut_lineage
 from .registry import Tables, query
 
 
@@ -36,9 +38,39 @@ def e12(t: Tables):
     return rows.withColumns({c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
-@query("e12_profile_sketched")
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+SKETCHED = """
+WITH u AS (SELECT {keys}unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS "column",
+                  unnest([CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE), CAST(l_discount AS DOUBLE), CAST(l_tax AS DOUBLE)]) AS v FROM lineitem)
+SELECT {keys}"column", count(v) AS n, count(*) - count(v) AS nulls, min(v) AS "min", max(v) AS "max", round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+       true AS q25_held, true AS q50_held, true AS q75_held, true AS distinct_held
+FROM u GROUP BY {keys}"column"
+"""
+
+
+def held(rows, keys=()):
+    """What a sketch gives exactly, and whether its estimates kept their bounds on all rows."""
+    flags = [c for c in rows.columns if c.endswith("_held")]
+    return rows.select(*keys, "column", "n", "nulls", "min", "max", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), *flags)
+
+
+@query("e12_profile_sketched", SKETCHED.format(keys=""))
 def e12_fast(t: Tables):
-    return pr.profile(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return held(sk.judged(sk.sketch(t.lineitem, MEASURES), t.lineitem, MEASURES, QUARTILES))
+
+
+@query("e12_sketches_by_key", SKETCHED.format(keys="l_returnflag, "))
+def e12_by_key(t: Tables):
+    found = sk.sketch(t.lineitem, MEASURES, ["l_returnflag"])
+    return held(sk.judged(found, t.lineitem, MEASURES, QUARTILES, ["l_returnflag"]), ["l_returnflag"])
+
+
+@query("e12_sketches_merged", SKETCHED.format(keys="l_returnflag, "))
+def e12_merged(t: Tables):
+    # a stored table of daily sketches, merged to one profile of each flag
+    daily = cut_lineage(sk.sketch(t.lineitem, MEASURES, ["l_returnflag", "l_shipdate"]))
+    return held(sk.judged(sk.merge(daily, ["l_returnflag"]), t.lineitem, MEASURES, QUARTILES, ["l_returnflag"]), ["l_returnflag"])
 
 
 @query("e12_sketch_accuracy", """

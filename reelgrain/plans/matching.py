@@ -9,6 +9,8 @@ from .registry import Tables, query
 
 #: Share of the exact partners of a scene that the approximate search has to find.
 RECALL = 0.9
+#: Images in a bucket there.
+SMALL_BUCKET = 8
 
 NEIGHBOURS = """
 WITH u AS (SELECT label, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
@@ -62,15 +64,19 @@ def j12(t: Tables):
     return m.approx_nearest(t.embeddings, "vec_id", "label", "embedding", 2)
 
 
-@query("j12_recall", """
-SELECT label, count(*) AS images, true AS sound, true AS half_found FROM embeddings GROUP BY label
+@query("j12_recall", f"""
+WITH e AS (SELECT label, vec_id FROM embeddings WHERE label IS NOT NULL), n AS (SELECT label, count(*) AS images FROM e GROUP BY label)
+SELECT label, images, CAST(floor(log2(images / {SMALL_BUCKET}.0)) AS INTEGER) AS bits, images * least(images - 1, 2) AS partners, true AS sound, true AS enough
+FROM n
 """)
 def j12_recall(t: Tables):
-    # the setting of j12_approximate_neighbours against exact lists; half_found holds the bound asked for, 0.9 of a scene's partners
+    # buckets so small that all scenes of the given tables have several
     exact = m.nearest(t.embeddings, "vec_id", "label", "embedding", 2).select("src", "dst", "rank", F.col("score").alias("top"))
-    found = cut_lineage(j12(t).select("src", "dst", "rank", "score"))
-    rows = t.embeddings.select("label", F.col("vec_id").alias("src")).join(exact, "src", "left")
+    found = cut_lineage(m.approx_nearest(t.embeddings, "vec_id", "label", "embedding", 2, bucket_rows=SMALL_BUCKET).select("src", "dst", "rank", "score"))
+    rows = t.embeddings.where("label IS NOT NULL").select("label", F.col("vec_id").alias("src")).join(exact, "src", "left")
     rows = rows.join(found.select("src", "dst", F.lit(1).alias("hit")), ["src", "dst"], "left").join(found.select("src", "rank", "score"), ["src", "rank"], "left")
+    images = F.countDistinct("src")
     return rows.groupBy("label").agg(
-        F.countDistinct("src").alias("images"), F.bool_and(F.coalesce(F.col("score") <= F.col("top") + 1e-9, F.lit(True))).alias("sound"),
-        F.coalesce(F.sum(F.coalesce("hit", F.lit(0))) >= RECALL * F.count("dst"), F.lit(True)).alias("half_found"))
+        images.alias("images"), F.floor(F.log2(images / SMALL_BUCKET)).cast("int").alias("bits"), F.count("dst").alias("partners"),
+        F.bool_and(F.coalesce(F.col("score") <= F.col("top") + 1e-9, F.lit(True))).alias("sound"),
+        F.coalesce(F.sum(F.coalesce("hit", F.lit(0))) >= RECALL * F.count("dst"), F.lit(True)).alias("enough"))

@@ -26,20 +26,45 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-def test_slices_bound_the_groups(spark):
-    sliced = o.slice_rows(skewed(spark), ["key"], ["t", "id"], SMALL)
-    assert sliced.cut
-    assert sliced.df.groupBy("key", o.SLICE).count().agg(F.max("count")).first()[0] < 4 * SMALL
-    assert sliced.df.count() == 1200
-
-
-def test_slices_follow_the_order(spark):
-    sliced = o.slice_rows(skewed(spark), ["key"], ["t", "id"], SMALL).df
-    w = Window.partitionBy("key").orderBy("t", "id")
+@pytest.mark.parametrize("order", [["t", "id"], ["name", "id"], ["day", "name"], ["flag", "x", "id"], ["price", "id"], ["raw"]])
+def test_slices_are_bounded_and_follow_the_order(spark, order):
+    df = skewed(spark).select(
+        "*", F.xxhash64("id", F.lit(9)).alias("h")).select(
+        "*", F.concat(F.lit("s3://media/2024/" * 40), F.when(F.col("id") % 5 > 0, F.lit("é/" * o.TEXT_BLOCK)).otherwise(F.lit("")),
+                      F.lpad("v", 3, "0"), F.lpad("id", 5, "0")).alias("name"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("h", F.lit(3)).cast("int")).alias("day"), (F.col("id") % 2 == 0).alias("flag"),
+        F.when(F.col("id") % 9 == 0, F.lit(float("nan"))).otherwise(F.pmod("h", F.lit(4)).cast("double")).alias("x"),
+        (F.pmod("h", F.lit(7)) / 3).cast("decimal(12,4)").alias("price"), F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("raw"))
+    sliced = o.slice_rows(df, ["key"], order, SMALL).cache()
+    sizes = {(r["key"], r[o.SLICE]): r["count"] for r in sliced.groupBy("key", o.SLICE).count().collect()}
+    assert sum(sizes.values()) == 1200 and max(sizes.values()) <= SMALL
+    w = Window.partitionBy("key").orderBy(*order)
     steps = sliced.withColumn("back", F.col(o.SLICE) < F.lag(o.SLICE).over(w))
     assert steps.where("back").count() == 0
 
 
+def test_any_number_of_big_keys_is_cut(spark):
+    """1,500 keys of 200 rows each above a limit of 100, with unlike ranges of their own."""
+    df = spark.range(300_000).select(F.pmod("id", F.lit(1500)).alias("key"), (F.hash("id") + F.pmod("id", F.lit(1500)) * 10_000_000_000).alias("t"), "id")
+    sliced = o.slice_rows(df, ["key"], ["t", "id"], 100)
+    sizes = sliced.groupBy("key", o.SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
+    assert sizes.groupBy("key").count().where("count < 2").count() == 0
+
+
+def test_close_values_of_a_far_range(spark):
+    """Whole numbers that a double can't tell apart are told apart from their own start."""
+    df = spark.range(500).select(F.lit(1).alias("key"), (F.col("id") + F.lit(2**62)).alias("t"))
+    df = df.unionByName(spark.range(5).select(F.lit(1).alias("key"), (-F.col("id") - F.lit(2**62)).alias("t")))
+    sizes = o.slice_rows(df, ["key"], ["t"], SMALL).groupBy(o.SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= SMALL
+
+
+def test_without_big_keys_the_plan_has_one_branch(spark):
+    got = o.running_total(skewed(spark), ["key"], ["t", "id"], F.col("v"), "r", "all", 10_000)
+    assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("per_slice", [SMALL, 10_000])
 def test_running_total(spark, per_slice):
     df = skewed(spark)
