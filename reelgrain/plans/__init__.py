@@ -3,7 +3,7 @@
 from importlib import import_module
 
 AREAS = ("quality", "frames", "catalog", "validation", "relations", "annotations", "drift", "geometry", "matching",
-         "images", "storage", "streams")
+         "images", "storage", "streams", "sliced")
 
 
 def load_all() -> None:
