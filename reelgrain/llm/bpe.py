@@ -88,7 +88,8 @@ class ChunkEncoder:
         self.marks = re.compile("|".join(re.escape(t["content"]) for t in self.spec.get("added_tokens", [])) or "(?!)")
         return bool(local and parted and plain)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """What the library gives for whole texts."""
         out = []
         for at in range(0, len(texts), 10_000):
             found = self.library.encode_batch(texts[at:at + 10_000], add_special_tokens=False)
@@ -110,11 +111,11 @@ class ChunkEncoder:
             else:
                 whole.append(w)
         new = list({p for found in cut.values() for p in found} - self.parts.keys())
-        self.parts.update(zip(new, self._library(new), strict=True))
+        self.parts.update(zip(new, self.ids_of(new), strict=True))
         parts = self.parts
         for w, found in cut.items():
             self.words[w] = parts[found[0]] if len(found) == 1 else b"".join([parts[p] for p in found])
-        self.words.update(zip(whole, self._library([w.decode() for w in whole]), strict=True))
+        self.words.update(zip(whole, self.ids_of([w.decode() for w in whole]), strict=True))
 
     def _entry(self, chunk: bytes, words: list[bytes]) -> tuple:
         """Open head, ids of the whole words, open tail, first and last whole word; None for ids where no white space parts it."""
@@ -130,7 +131,7 @@ class ChunkEncoder:
         """Packed ids of every text; null counts as empty."""
         raw, offsets = text_buffer(texts)
         if not self.by_words:
-            return self._library([t or "" for t in texts.to_pylist()])
+            return self.ids_of([t or "" for t in texts.to_pylist()])
         if not len(raw):
             return [b""] * len(texts)
         bounds = np.union1d(offsets, cut_points(raw, offsets))
@@ -160,7 +161,7 @@ class ChunkEncoder:
                 wrong.append(row)
                 ids = []
             out.append(b"".join(ids))
-        for row, ids in zip(wrong, self._library([raw[offsets[r]:offsets[r + 1]].tobytes().decode() for r in wrong]), strict=True):
+        for row, ids in zip(wrong, self.ids_of([raw[offsets[r]:offsets[r + 1]].tobytes().decode() for r in wrong]), strict=True):
             out[row] = ids
         return out
 
@@ -185,7 +186,7 @@ class ChunkEncoder:
 
     def _repair(self, windows: list[tuple[bytes, bytes, bytes]]) -> list[bytes | None]:
         """Ids of the words across joins; None where a neighbour's ids differ from those in its chunk."""
-        found = self._library([b" ".join(w for w in window if w).decode() for window in windows])
+        found = self.ids_of([b" ".join(w for w in window if w).decode() for window in windows])
         out: list[bytes | None] = []
         for (before, _, behind), ids in zip(windows, found, strict=True):
             left, right = self.words[before] if before else b"", self.words[behind] if behind else b""

@@ -9,6 +9,7 @@ algorithm gives every word's chances, and a document the language of most of its
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +25,8 @@ SAMPLE, BLOCK = 3000, 32
 #: Feature weights for each language are kept in so many places, found by hash.
 PLACES = 1 << 18
 AFFIXES, GRAMS = (1, 2, 3, 4), (2, 3)
+#: Parts of a language whose blocks are numbered before those of all parts.
+PARTS = 64
 UNKNOWN = "und"
 
 
@@ -178,27 +181,36 @@ def train(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     labelled = labelled.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, dict[int, bytes]] = {}
         for batch in (part for whole in batches for part in slices(whole)):
             raw, starts, ends, rows = words_of(batch.column("text"))
             row, first, size = blocks_of(rows)
-            data = raw.tobytes()
-            # a hash of the first words picks blocks cheaply; a picked one keeps all its words
-            key = mixed(word_hashes(raw, starts, ends)[first] + size.astype(np.uint64)) if len(first) else np.zeros(0, np.uint64)
-            names = batch.column("lang").to_pylist()
-            best: dict[str, list[int]] = {}
+            if not len(first):
+                continue
+            data, names = raw.tobytes(), batch.column("lang").to_pylist()
+            # a hash of all words of a block; those of one hash are told apart by their text
+            key = mixed(np.add.reduceat(word_hashes(raw, starts, ends), first) + size.astype(np.uint64))
+            taken = Counter()
             for b in np.argsort(key, kind="stable").tolist():
-                of = best.setdefault(names[row[b]], [])
-                if len(of) < sample:
-                    of.append(b)
-            chosen = [b for of in best.values() for b in of]
-            blocks = [data[starts[first[b]]:ends[first[b] + size[b] - 1]] for b in chosen]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.binary()), pa.array([names[row[b]] for b in chosen], pa.string()), pa.array(key[chosen].view(np.int64))],
-                ["block", "lang", "key"])
-
-    blocks = labelled.mapInArrow(cut, "block binary, lang string, key bigint").dropDuplicates(["lang", "key"])
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    table = blocks.withColumn("nth", nth).where(F.col("nth") <= sample).orderBy("lang", "key").toArrow()
+                name = names[row[b]]
+                taken[name] += 1
+                if taken[name] <= sample:
+                    block, mine = data[starts[first[b]]:ends[first[b] + size[b] - 1]], best.setdefault(name, {})
+                    mine[int(key[b])] = min(block, mine.get(int(key[b]), block))
+            for name, mine in best.items():
+                best[name] = dict(sorted(mine.items())[:sample])
+        rows = [(block, name, key) for name, mine in best.items() for key, block in mine.items()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.string()),
+             pa.array(np.array([r[2] for r in rows], np.uint64).view(np.int64))], ["block", "lang", "key"])
+
+    blocks = labelled.mapInArrow(cut, "block binary, lang string, key bigint").groupBy("lang", "key").agg(F.min("block").alias("block"))
+    order = F.expr("shiftrightunsigned(key, 1)")
+    # parts of a language first, so that no task sorts what all tasks found of it
+    part = F.pmod("key", F.lit(PARTS))
+    within, over = Window.partitionBy("lang", part).orderBy(order, "key"), Window.partitionBy("lang").orderBy(order, "key")
+    some = blocks.withColumn("nth", F.row_number().over(within)).where(F.col("nth") <= sample)
+    table = some.withColumn("nth", F.row_number().over(over)).where(F.col("nth") <= sample).orderBy("lang", order, "key").toArrow()
     languages = sorted(set(table.column("lang").to_pylist()))
     if not languages:
         return Model([], np.zeros((PLACES, 0), np.float32), np.zeros((0, 0)))

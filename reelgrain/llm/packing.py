@@ -2,26 +2,32 @@
 
 A document of n tokens is cut into whole pieces of the longest length, and its rest into one piece for
 each binary digit of what is left. Every length is a power of two and pieces of one length form one
-bucket, so each piece is a sequence of its own: no sequence crosses documents, none is padded.
+bucket, with a range of sequence ids of its own: no sequence crosses documents, none is padded.
 """
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back
+from .bpe import kept_encoder
+from .common import slices
 
-#: Words a task keeps the ids of; they are dropped together when there are more.
-CACHED_WORDS = 500_000
-#: A dot or comma behind a letter or digit is a word of its own for the tokenizer.
-STOP = re.compile(rb"[.,](?<=[a-z0-9][.,])")
+#: Word parts that a worker keeps the ids of; they are dropped together when there are more.
+CACHED_PARTS = 800_000
+#: Parts that the tokenizer takes at once, joined by spaces.
+LINE = 200
+#: Texts of these characters only have one normal form; the word pattern finds these parts in them. Marks of special tokens need others.
+PLAIN = re.compile("[ \t\n\r\x0b\x0c!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z\u00c0-\u00ff]+|[0-9]|[^ \t\n\r\x0b\x0cA-Za-z0-9\u00c0-\u00ff]+")
+#: Sequences of one length have ids from its power of two times this on.
+BUCKET = 1 << 58
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:
@@ -32,50 +38,77 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return [longest] * whole + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-class WordIds:
-    """Token ids of whole texts as packed bytes, word by word.
+class TextIds:
+    """Token ids of whole texts as packed bytes.
 
-    The tokenizer never merges across white space, so a text's ids are those of its words in turn. It
-    lowers cases and parts letters from signs itself: doing some of it first leaves fewer different words.
+    Plain texts are cut into the parts that the tokenizer's pattern finds, and each different part is encoded once. All other
+    texts, and all texts of files with other rules, are encoded by `bpe.ChunkEncoder`.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        self.others = kept_encoder(path)
+        self.known: dict[str, bytes] = {}
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def encode(self, text: bytes) -> bytes:
-        # special tokens are looked for in the text as it is
-        words = text.split() if b"<|" in text else STOP.sub(rb" \g<0>", text.lower()).split()
-        if len(self.known) > CACHED_WORDS:
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        if len(self.known) > CACHED_PARTS:
             self.known.clear()
-        new = [*set(words).difference(self.known)]
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
-        return b"".join(map(self.known.__getitem__, words))
+        out: list[bytes] = [b""] * len(texts)
+        cut, rest = {}, []
+        for i, t in enumerate(texts.to_pylist()):
+            if t and self.others.by_words and PLAIN.fullmatch(t) and not self.others.marks.search(t):
+                cut[i] = PARTS.findall(t.lower() if self.others.lowers else t)
+            elif t:
+                rest.append(i)
+        new = list(set().union(*cut.values()) - self.known.keys())
+        self.known.update(zip(new, self._learnt(new), strict=True))
+        for i, parts in cut.items():
+            out[i] = b"".join(map(self.known.__getitem__, parts))
+        for i, ids in zip(rest, self.others.encode(texts.take(pa.array(rest, pa.int64()))), strict=True):
+            out[i] = ids
+        return out
+
+
+    def _learnt(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts, each of which is one word to the tokenizer: many in one line, told apart by the word that a token is of."""
+        lines = [parts[at:at + LINE] for at in range(0, len(parts), LINE)]
+        out: list[bytes] = []
+        for at in range(0, len(lines), 100):
+            found = self.others.library.encode_batch([" ".join(line) for line in lines[at:at + 100]], add_special_tokens=False)
+            for line, e in zip(lines[at:at + 100], found, strict=True):
+                ids, word = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids)
+                begin = np.flatnonzero(np.diff(word, prepend=-1, append=-1)) * 4
+                if len(begin) == len(line) + 1:
+                    cuts = begin.tolist()
+                    out += [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                else:
+                    out += self.others.ids_of(line)
+        return out
+
+
+@lru_cache(maxsize=2)
+def kept_ids(path: str) -> TextIds:
+    """The ids of a file's parts, kept by the worker from task to task."""
+    return TextIds(path)
 
 
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2,
          longest: int = 4096) -> DataFrame:
-    """Pieces of every document: `doc_id, start, length, ids, doc_tokens, sequence_id, offset`.
+    """Pieces of every document: `doc_id, start, length, ids, doc_tokens, bucket, sequence_id, offset`.
 
     `tokenizer` is the path of a `tokenizers` file that every executor has. `ids` are packed as
     little-endian unsigned 32-bit numbers, as token files hold them. A null text counts as empty: its only
     token is the end id. Rows that repeat, also with equal or null ids, are packed each for itself; an empty
     table gives no rows. Columns other than the two named are not kept. Nothing is shuffled: a
-    document is cut where it is read, and the bucket of a sequence is its length (`partitionBy("length")`).
+    document is cut where it is read. `bucket` is the power of two of a length: sequences of one length have
+    ids of one range, and a table `partitionBy("bucket")` has them in one folder. A text is handled as a whole and has to fit a worker.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            give_back()
+        known, end = kept_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        for batch in (part for whole in batches for part in slices(whole)):
             rows, held = [], 0
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True):
-                ids = words.encode(raw.as_py() or b"") + end
+            for key, ids in zip(batch.column(0).to_pylist(), known.encode(batch.column(1)), strict=True):
+                ids += end
                 start, n = 0, len(ids) // 4
                 for size in piece_lengths(n, longest):
                     rows.append((key, start, size, ids[4 * start:4 * (start + size)], n))
@@ -97,4 +130,6 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
                                           ["doc_id", "start", "length", "ids", "doc_tokens"])
 
     pieces = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(cut, schema)
-    return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    numbered = pieces.withColumn("bucket", F.log2("length").cast("int")).withColumn(
+        "sequence_id", F.col("bucket").cast("long") * BUCKET + F.monotonically_increasing_id())
+    return numbered.withColumn("offset", F.lit(0).cast("long"))

@@ -67,6 +67,7 @@ class Windows:
         key = ids.to_numpy() if not ids.null_count else ids.fill_null(NO_ID).to_numpy()
         self.order = np.argsort(key, kind="stable")
         self.ids = key[self.order]
+        self.missing = texts.is_null().to_numpy()[self.order]
         self.raw, self.offsets = text_buffer(texts.take(pa.array(self.order)))
         self.starts, self.ends, self.rows = word_bounds(self.raw, self.offsets)
         hashes = word_hashes(self.raw, self.starts, self.ends)
@@ -96,14 +97,14 @@ class Windows:
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 13,
-                    carry: tuple[str, ...] = ()) -> DataFrame:
+                    carry: tuple[str, ...] = (), as_it_was: bool = False) -> DataFrame:
     """`doc_id, text, n_words, n_removed, repeats` of every row: words covered by repeated windows are removed.
 
     A window is `words` consecutive words; it is repeated where its words also start in a document with a
     smaller id. Windows are judged on the input. `text` is what is left, joined by single spaces; `repeats`
     has the spans of removed words as [first, last + 1]. Null texts have no words. A null id counts as
     greater than all others; rows with the same id don't make each other repeated. An
-    empty table gives no rows. Of other columns those in `carry` are kept, as carried_0, carried_1 and so on.
+    empty table gives no rows. With `as_it_was` texts that lose nothing stay as they are, nulls too. Of other columns those in `carry` are kept, as carried_0, carried_1 and so on.
 
     Every pack of documents sends each of its distinct windows once, so a window of many copies weighs no
     more than there are packs; the answer is one bit for each.
@@ -162,7 +163,9 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             edges = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]])))
             cut.append(int(own.sum()))
             spans.append(edges.reshape(-1, 2).tolist())
-            if not cut[-1]:
+            if not cut[-1] and as_it_was:
+                texts.append(None if w.missing[r] else raw[w.offsets[r]:w.offsets[r + 1]])
+            elif not cut[-1]:
                 texts.append(b" ".join(raw[w.offsets[r]:w.offsets[r + 1]].split()))
             else:
                 kept = np.concatenate([[0], edges, [b - a]]).reshape(-1, 2) + a

@@ -203,7 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_
     picked = [named.where(F.col("toxic") == c).orderBy(rank, "doc_id").limit(sample) for c in (0, 1)]
     picked = picked[0].unionByName(picked[1])
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
-    joined = source.join(picked, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
+    # at most 2 * sample rows, so that no text has to move to meet its label
+    joined = source.join(F.broadcast(picked), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):

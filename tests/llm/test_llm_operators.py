@@ -146,6 +146,7 @@ def test_packing(docs, texts):
     for r in rows:
         by.setdefault(r.doc_id, set()).add((r.start, bytes(r.ids), r.length, r.doc_tokens, r.offset))
     assert len({r.sequence_id for r in rows}) == len(rows)
+    assert all(r.length == 1 << r.bucket and r.sequence_id // packing.BUCKET == r.bucket for r in rows)
     for k, t in texts:
         ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
         pieces = sorted(by[k])
@@ -153,10 +154,18 @@ def test_packing(docs, texts):
         assert all(p[2] <= 64 and not p[2] & (p[2] - 1) for p in pieces)
 
 
-def test_packing_special_words():
-    words = packing.WordIds(tokenizer_path("word_bpe_49k.json"))
-    for text in ("A <|endoftext|> b", "A <|ENDOFTEXT|>.", "3.14 it's. x..y ,a. İX. é. É.", "...", "a　b c\x1cd"):
-        assert words.encode(text.encode()) == np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+def test_packing_ids_equal_the_library():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    library, ours, rng = Tokenizer.from_file(path), packing.TextIds(path), random.Random(7)
+    signs = ["a", "B", "Y", "\u030a", "\u0301", "é", "É", " ", "  ", "\n", "\xa0", "'s", "'LL", "9", "½", "<|endoftext|>", "<|ENDOFTEXT|>", "<", "İ", "\x00",
+             "\x1c", "　", "...", "-", "À", "×", "÷", "ÿ", "\x0b", "~", "'"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(30))) for _ in range(5000)] + ["Y\u030a", "Y\u030a x", "3.14 it's. x..y ,a. İX.", "", None]
+    texts += [" ".join("".join(rng.choices("abcXYZ'9.é", k=5)) for _ in range(2000))]
+    got = ours.encode(pa.array(texts))
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_sentencepieces(docs, texts):
@@ -311,17 +320,3 @@ def test_empty_tables(spark, empty):
         html_text.extract(pages), knn_join.top_k(none),
     ]
     assert [f.count() for f in found] == [0] * len(found)
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    folder = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    columns = docs.columns
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs.count(), stage(spark, docs, folder).cache()
-        assert docs.columns == columns and 0 < docs.count() <= before, name
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
-    assert pieces.select("doc_id").distinct().count() == docs.count()
-    assert {r.doc_id: hashlib.md5(r.text.encode()).hexdigest() for r in docs.collect()}
