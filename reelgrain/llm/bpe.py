@@ -14,7 +14,6 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, slices, text_buffer
+from .common import give_back, kept, slices, text_buffer
 
 #: A cut every 2**CUT_BITS bytes on average; the rolling hash sees 2**WINDOW_BITS bytes.
 CUT_BITS, WINDOW_BITS = 9, 4
@@ -64,7 +63,8 @@ class ChunkEncoder:
 
         with open(path, encoding="utf-8") as file:
             self.spec = json.load(file)
-        self.library = Tokenizer.from_str(json.dumps(self.spec))
+        del self.spec["model"]  # the rules are enough here
+        self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.by_words = self._drops_space()
@@ -221,10 +221,9 @@ class Decoder:
         return pc.binary_join(tokens, " ").cast(pa.large_string())
 
 
-@lru_cache(maxsize=2)
 def kept_encoder(path: str) -> ChunkEncoder:
     """The encoder of a file, kept by the worker from task to task."""
-    return ChunkEncoder(path)
+    return kept(("chunks", path), lambda: ChunkEncoder(path))
 
 
 def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
@@ -244,10 +243,9 @@ def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                           + [T.StructField("decoded", T.StringType())] * decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_encoder(tokenizer)
-        decoder = Decoder(encoder) if decoded else None
+        decoder = Decoder(kept_encoder(tokenizer)) if decoded else None
         for batch in (s for whole in batches for s in slices(whole)):
-            ids = encoder.encode(batch.column("text"))
+            ids = kept_encoder(tokenizer).encode(batch.column("text"))
             columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
             if decoder:
                 columns.append(decoder.decode(ids).cast(pa.string()))

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import ctypes
 import math
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 #: Text that a group of documents handled by one Python call holds on average.
 PACK_BYTES = 8 << 20
 
+#: Seconds after which a worker drops what it kept and nobody asked for.
+IDLE_SECONDS = 10.0
+_kept: dict[tuple, list] = {}
 _rng = np.random.default_rng(20_240_601)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _STEP = int(_rng.integers(1, 1 << 62)) * 2 + 1
@@ -52,8 +56,21 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def kept(key: tuple, build: Callable[[], object]):
+    """What `build` makes, kept by this worker from task to task while it is asked for now and then."""
+    if key not in _kept:
+        _kept[key] = [build(), 0.0]
+    _kept[key][1] = time.monotonic()
+    return _kept[key][0]
+
+
 def give_back() -> None:
-    """Return freed memory to the system: Python workers live on between tasks and stages, beside the executor's heap."""
+    """Return freed memory to the system: Python workers live on between tasks and stages, beside the executor's heap.
+
+    What was kept for tasks of another kind, and not asked for since, goes too.
+    """
+    for key in [k for k, (_, used) in _kept.items() if time.monotonic() - used > IDLE_SECONDS]:
+        del _kept[key]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -149,8 +166,3 @@ def pack_of(total: int, *columns: str, size: int = PACK_BYTES) -> Column:
 def part(column: str, n: int, kept: int) -> Column:
     """True where crc32 of the id as text modulo `n` equals `kept`."""
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n)) == kept, F.lit(False))
-
-
-def plain(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns: others, whatever their names, can't clash with what operators add."""
-    return docs.select(*columns)

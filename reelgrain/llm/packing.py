@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import kept_encoder
-from .common import slices
+from .common import kept, slices
 
 #: Word parts that a worker keeps the ids of; they are dropped together when there are more.
-CACHED_PARTS = 800_000
+CACHED_PARTS = 600_000
 #: Parts that the tokenizer takes at once, joined by spaces.
 LINE = 200
 #: Texts of these characters only have one normal form; the word pattern finds these parts in them. Marks of special tokens need others.
@@ -85,10 +84,9 @@ class TextIds:
         return out
 
 
-@lru_cache(maxsize=2)
 def kept_ids(path: str) -> TextIds:
     """The ids of a file's parts, kept by the worker from task to task."""
-    return TextIds(path)
+    return kept(("parts", path), lambda: TextIds(path))
 
 
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2,
@@ -104,10 +102,10 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = kept_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
         for batch in (part for whole in batches for part in slices(whole)):
             rows, held = [], 0
-            for key, ids in zip(batch.column(0).to_pylist(), known.encode(batch.column(1)), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), kept_ids(tokenizer).encode(batch.column(1)), strict=True):
                 ids += end
                 start, n = 0, len(ids) // 4
                 for size in piece_lengths(n, longest):
