@@ -10,6 +10,7 @@ from ..session import scratch_path
 from ..streaming import anomalies as an
 from ..streaming import ingest as ing
 from ..streaming import windows as win
+from ..streaming.arrivals import give_up
 from .registry import Tables, cents, query, us
 from .validation import rules
 
@@ -137,3 +138,25 @@ def k8(t: Tables):
     now = F.lit("1999-01-01").cast("timestamp_ntz")
     arrived = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
     return ing.overdue(t.orders.select("o_orderkey", "o_orderdate"), arrived, now, "o_orderkey", "o_orderdate").select("o_orderkey")
+
+
+@query("k8_give_up_timers", """
+WITH came AS (SELECT l_orderkey, min(l_shipdate) AS first FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, epoch_us(o_orderdate) AS expected_us, epoch_us(o_orderdate + INTERVAL 20 DAY) AS gave_up_us
+FROM orders LEFT JOIN came ON l_orderkey = o_orderkey WHERE first IS NULL OR first > o_orderdate + INTERVAL 20 DAY
+""")
+def k8_timers(t: Tables):
+    # the first item of an order is expected within 20 days; both tables arrive in two parts, then time passes and the timers run out
+    base, keys = scratch_path(t.spark, "stream"), F.pmod(F.col("o_orderkey"), F.lit(2))
+    ordered = t.orders.select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"))
+    shipped = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").cast("timestamp").alias("ts"))
+    later = t.spark.range(1).select(F.lit(-1).cast(ordered.schema["o_orderkey"].dataType).alias("o_orderkey"), F.lit("2100-01-01").cast("timestamp").alias("ts"))
+    beats = [later, later.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))]
+    for part in (0, 1, beats[0], beats[1]):
+        for rows, name in ((ordered, "expected"), (shipped, "came")):
+            (part if isinstance(part, DataFrame) else rows.where(keys == part)).write.mode("append").parquet(f"{base}/{name}")
+        expected, came = (t.spark.readStream.schema(ordered.schema).parquet(f"{base}/{name}") for name in ("expected", "came"))
+        late = give_up(expected, came, "o_orderkey", "ts", "ts", timeout=20 * 86_400, delay="3650 days")
+        ing.ingest(late, f"{base}/late", f"{base}/log").awaitTermination()
+    found = t.spark.read.schema(late.schema).parquet(f"{base}/late").where("o_orderkey >= 0")
+    return found.select("o_orderkey", us("expected_at").alias("expected_us"), us("gave_up_at").alias("gave_up_us"))
