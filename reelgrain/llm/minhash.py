@@ -117,12 +117,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return once.mapInArrow(run, "doc_id bigint, twin bigint, shingles array<bigint>")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts' full sets have at least `percent` hundredths of their union in common."""
-    ends = F.array(F.struct(F.col("a").alias("doc_id"), F.col("twin_a").alias("twin")), F.struct(F.col("b").alias("doc_id"), F.col("twin_b").alias("twin")))
-    wanted = pairs.select(F.inline(ends)).distinct()
-    sets = cut_lineage(_sets(docs, wanted, words))
-    both = pairs.join(sets.toDF("a", "twin_a", "one"), ["a", "twin_a"]).join(sets.toDF("b", "twin_b", "two"), ["b", "twin_b"])
+def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have at least `percent` hundredths of their union in common."""
+    both = pairs.join(full.toDF("a", "twin_a", "one"), ["a", "twin_a"]).join(full.toDF("b", "twin_b", "two"), ["b", "twin_b"])
     common = F.size(F.array_intersect("one", "two"))
     return both.where(100 * common >= percent * (F.size("one") + F.size("two") - common)).select("a", "b")
 
@@ -168,7 +165,7 @@ def _spanning(ids: np.ndarray, parts: np.ndarray, blocks: np.ndarray, bands: np.
     return found
 
 
-def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that lie across the components found so far, enough of them to join what belongs together.
 
     Documents of a bucket that holds several components are put in blocks of bounded size, by the
@@ -193,8 +190,8 @@ def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, docs: DataFr
     visits = seats.join(met, "band").where("low <> component OR high <> component").select(
         "rep", "twin", "component", "block", "n", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).distinct()
     visits = cut_lineage(visits)
-    full = _sets(docs, visits.select(F.col("rep").alias("doc_id"), "twin").distinct(), words).withColumnRenamed("doc_id", "rep")
-    full = cut_lineage(full.join(sets.select("rep", "twin", "bands"), ["rep", "twin"]))
+    here = visits.select("rep", "twin").distinct()
+    full = full.withColumnRenamed("doc_id", "rep").join(here, ["rep", "twin"], "left_semi").join(sets.select("rep", "twin", "bands"), ["rep", "twin"])
     packs = max(1, math.ceil((visits.agg(F.sum(F.col("n") + BANDS)).first()[0] or 0) / BLOCK_SHINGLES))
 
     def compare(table: pa.Table) -> pa.Table:
@@ -239,7 +236,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     repeated = cut_lineage(keyed.where("n_shingles > 0").join(multi, "doc_id", "left_semi").select("doc_id", "key_a", "key_b", "n_shingles"))
     shared = repeated.join(sets.drop("bands", "twin"), ["key_a", "key_b", "n_shingles"]).where("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    members = sets.select("rep", "twin", "n_shingles", F.explode("bands").alias("band"))
+    # dealt by band once: counting, and meeting the smallest id, take the same shuffle
+    members = sets.select("rep", "twin", "n_shingles", F.explode("bands").alias("band")).repartition("band")
     firsts = members.groupBy("band").agg(F.min(F.struct("rep", "twin")).alias("own"), F.count("*").alias("n")).where("n > 1").select(
         "band", F.col("own.rep").alias("first"), F.col("own.twin").alias("first_twin"))
     crowded = cut_lineage(members.join(firsts, "band"))
@@ -248,10 +246,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = crowded.where("rep <> first").select("rep", "twin", "n_shingles", "first", "first_twin").distinct().join(sizes, ["first", "first_twin"])
     stars = cut_lineage(stars.where(fits("n_shingles", "first_n")).select(
         F.col("rep").alias("a"), F.col("twin").alias("twin_a"), F.col("first").alias("b"), F.col("first_twin").alias("twin_b")))
-    links = cut_lineage(_confirmed(stars, source, words, percent).unionByName(shared))
+    # the texts of all that shares a bucket move once, for both rounds of comparisons
+    full = cut_lineage(_sets(source, crowded.select(F.col("rep").alias("doc_id"), "twin").distinct(), words))
+    links = cut_lineage(_confirmed(stars, full, percent).unionByName(shared))
     # components so far; then what lies across them within a bucket
     groups = components(links, "a", "b")
-    more = _across(crowded, sets, groups, source, words, percent)
+    more = _across(crowded, sets, groups, full, percent)
     groups = components(links.unionByName(more), "a", "b")
     named = sets.select("key_a", "key_b", "n_shingles", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key_a", "key_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
