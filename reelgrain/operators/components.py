@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, discard, staged
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    hashed = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count(F.lit(1)), hashed).first())
+def _written(links: DataFrame) -> tuple[DataFrame, str, tuple]:
+    """Links as a table, its path, and their number and sum of hashes, observed while they are written."""
+    seen = Observation()
+    table, path = staged(links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")))
+    return table, path, (seen.get["n"], seen.get["hashes"])
 
 
 def components(edges: DataFrame, src: str, dst: str, max_rounds: int | None = None) -> DataFrame:
@@ -20,13 +22,13 @@ def components(edges: DataFrame, src: str, dst: str, max_rounds: int | None = No
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014): the number of rounds
     grows with the logarithm of the graph, and a step needs one minimum per node (aggregated
-    before the shuffle) and one join. Each round is written to the shared folder and replaces the one before. With
-    `max_rounds` it raises if the graph needs more.
+    before the shuffle) and one join. Each round is one job, which writes the links to the shared folder, in place of those
+    before, and observes what tells whether they changed. With `max_rounds` it raises if the graph needs more.
     """
     # written once: the edges may be costly, and are read again for the nodes
     pairs = cut_lineage(edges.select(F.least(src, dst).alias("b"), F.greatest(src, dst).alias("a")).distinct())
     links = pairs.where("a <> b")
-    seen, last = _fingerprint(links), None
+    seen, last = None, None
     for done in count():
         if done == max_rounds:
             raise RuntimeError(f"components did not settle in {max_rounds} rounds")
@@ -38,8 +40,7 @@ def components(edges: DataFrame, src: str, dst: str, max_rounds: int | None = No
         lows = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(lows, "a").where("b <> low").select(F.col("low").alias("b"), F.col("b").alias("a"))
         small = moved.unionByName(lows.select(F.col("low").alias("b"), "a")).where("a <> b").distinct()
-        links, path = staged(small)
-        now = _fingerprint(links)
+        links, path, now = _written(small)
         if last:
             discard(edges.sparkSession, last)
         last = path

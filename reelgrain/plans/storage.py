@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from ..operators import annotate as an
 from ..operators.quality import success_rate
-from ..session import scratch_path
+from ..functions.paths import below_root
+from ..session import cut_lineage, scratch_path
 from ..sinks import artifacts as art
 from ..sinks import publish as pub
 from ..sources import tables as tab
+from ..sources import tree
 from .registry import Tables, cents, query
 
 
@@ -94,13 +96,15 @@ def b6(t: Tables):
 
 
 @query("b9_publish_latest", """
-SELECT p_brand, max(p_partkey) AS version, arg_max(p_name, p_partkey) AS name FROM part GROUP BY p_brand
+SELECT 'versions' AS part, p_brand, p_partkey AS version, p_name AS name FROM part
+UNION ALL SELECT 'latest', p_brand, max(p_partkey), arg_max(p_name, p_partkey) FROM part GROUP BY p_brand
 """)
 def b9(t: Tables):
     root = scratch_path(t.spark, "models")
     models = t.part.select("p_brand", F.col("p_partkey").alias("version"), F.col("p_name").alias("name"))
-    _, newest = pub.publish_latest(models, root, "p_brand", "version", "name")
-    return t.spark.read.parquet(newest).select("p_brand", "version", "name")
+    every, newest = pub.publish_latest(models, root, "p_brand", "version", "name")
+    parts = [t.spark.read.parquet(path).select(F.lit(name).alias("part"), "p_brand", "version", "name") for name, path in (("versions", every), ("latest", newest))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("b12_run_scoped_output", """
@@ -122,3 +126,48 @@ def b15(t: Tables):
     target = art.write_results(success_rate(t.orders, ["o_orderpriority"], "o_orderstatus", "F"), root, "analysis")
     table = t.spark.read.schema("o_orderpriority STRING, runs BIGINT, succeeded BIGINT, timestamp TIMESTAMP").json(target)
     return table.select("o_orderpriority", "runs", "succeeded", F.col("timestamp").isNotNull().alias("stamped"))
+
+
+def _text_objects(t: Tables, root: str):
+    """Documents as objects `<language>/<source>/<id>.txt`; how many bytes were written."""
+    key = F.concat_ws("/", F.coalesce("lang", F.lit("none")), F.coalesce("source", F.lit("none")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return pub.put_objects(t.documents, root, key, F.encode("text", "UTF-8")).agg(F.sum("bytes")).first()[0]
+
+
+@query("a1_a4_a8_list_tree", """
+SELECT lang || '/' || coalesce(source, 'none') || '/' || doc_id || '.txt' AS key, octet_length(encode(text)) AS length
+FROM documents WHERE lang LIKE 'e%' AND text IS NOT NULL
+""")
+def a1(t: Tables):
+    root = scratch_path(t.spark, "objects")
+    _text_objects(t, root)
+    found = tree.list_tree(t.spark, root, prefix="e", exts=(".txt",))
+    return found.select(below_root(F.col("path"), root).alias("key"), "length")
+
+
+@query("a7_a11_contents_by_ranges", """
+SELECT doc_id || '.txt' AS name, sha256(text) AS sha256, octet_length(encode(text)) AS bytes, greatest(1, (octet_length(encode(text)) + 999) // 1000) AS ranges
+FROM documents WHERE lang = 'de' AND text IS NOT NULL
+""")
+def a11(t: Tables):
+    root = scratch_path(t.spark, "objects")
+    _text_objects(t, root)
+    wanted = t.documents.where("lang = 'de'").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    listed = tree.list_tree(t.spark, root).withColumn("name", F.element_at(F.split("path", "/"), -1)).join(wanted, "name", "left_semi")
+    ranges = cut_lineage(tree.read_ranges(listed, 1000))
+    counted = ranges.groupBy("path").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("ranges"))
+    whole = tree.join_ranges(ranges).join(counted, "path")
+    return whole.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"), "bytes", "ranges")
+
+
+@query("b1_b2_publish_tree", """
+SELECT 'run_id=r1/' || coalesce(lang, 'none') || '/' || coalesce(source, 'none') || '/' || doc_id || '.txt' AS key, sha256(text) AS sha256
+FROM documents WHERE text IS NOT NULL
+""")
+def b2(t: Tables):
+    root, target = scratch_path(t.spark, "objects"), scratch_path(t.spark, "published")
+    _text_objects(t, root)
+    manifest = pub.publish_manifest(tree.list_tree(t.spark, root), root, target, (".txt",), run_id="r1")
+    copied = cut_lineage(pub.copy_objects(manifest))
+    read = tree.join_ranges(tree.read_ranges(copied.select(F.col("dst").alias("path"), F.col("bytes").alias("length"))))
+    return read.select(below_root(F.col("path"), target).alias("key"), F.sha2("content", 256).alias("sha256"))

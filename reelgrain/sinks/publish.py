@@ -65,6 +65,28 @@ def copy_objects(manifest: DataFrame, tasks: int | None = None) -> DataFrame:
     return spread.select("src", "dst", "bytes").mapInPandas(_copy, MANIFEST)
 
 
+def _put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            sink, target = located(path)
+            if isinstance(sink, fs.LocalFileSystem):
+                sink.create_dir(posixpath.dirname(target), recursive=True)
+            with sink.open_output_stream(target) as writer:
+                writer.write(content)
+        yield pd.DataFrame({"path": batch["path"], "bytes": [len(c) for c in batch["content"]]})
+
+
+def put_objects(rows: DataFrame, root: str, key: Column, content: Column) -> DataFrame:
+    """Write one object per row below `root` and return paths and sizes; rows with a null key or content write nothing.
+
+    Lazy and safe to retry, as `copy_objects`; of rows with one key any may be the last.
+    """
+    named = rows.where(key.isNotNull() & content.isNotNull()).select(join_path(F.lit(root.rstrip("/")), key).alias("path"), content.cast("binary").alias("content"))
+    return named.mapInPandas(_put, "path STRING, bytes BIGINT")
+
+
 def publish_latest(df: DataFrame, root: str, model_key: str, version: str, tie: str) -> tuple[str, str]:
     """Write every version of the models in `df` under `versions/`, and the newest published one of each under `latest/`.
 

@@ -11,6 +11,7 @@ from reelgrain.sinks import publish as pub
 from reelgrain.sources import discovery as dis
 from reelgrain.sources import objects as obj
 from reelgrain.sources import tables as tab
+from reelgrain.sources import tree
 
 
 @pytest.fixture()
@@ -76,28 +77,54 @@ def test_latest_ties_go_to_the_smallest_path(spark):
     assert dis.latest(rows.limit(0), "t").count() == 0
 
 
+def _sidecar(folder, name, value):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(json.dumps(value))
+
+
 def test_sidecars(spark, tmp_path):
-    meta = {"camera_id": "cam_01", "timestamp": "2023-10-15T14:00:00Z", "duration": 3600, "resolution": [3840, 2160], "fps": 30,
-            "codec": "h264", "position": {"lat": 37.7, "lon": -122.4, "elevation": 20}}
-    (tmp_path / "meta").mkdir()
-    (tmp_path / "meta" / "a.json").write_text(json.dumps(meta, indent=2))
+    place = dict(zip(("lat", "lon", "elevation"), (-12.5, 130.25, 7)))
+    _sidecar(tmp_path / "meta", "dock.json", {
+        "camera_id": "dock-north", "timestamp": "2019-02-03T04:05:06Z", "duration": 95, "resolution": [640, 360], "fps": 12, "codec": "vp8", "position": place})
     row = tab.read_sidecars(spark, str(tmp_path / "meta"), tab.VIDEO_METADATA).first()
-    assert row.resolution == [3840, 2160] and row.position.elevation == 20.0
-    event = {"event_id": "g", "venue_id": "s", "date": "2023-10-15", "pipeline_config": {
-        "frame_extraction": {"fps": 5, "quality": 95}, "3d_reconstruction": {"enabled": True, "method": "m", "settings": {"detail_level": "high"}},
-        "object_detection": {"enabled": True, "model": "d", "confidence": 0.25}, "nerf": {"enabled": False}}}
-    (tmp_path / "event").mkdir()
-    (tmp_path / "event" / "e.json").write_text(json.dumps(event, indent=2))
+    assert row.resolution == [640, 360] and row.position.elevation == 7.0
+    stages = {"frame_extraction": {"fps": 2, "quality": 40}, "object_detection": {"enabled": False, "model": "tiny", "confidence": 0.75}, "nerf": {"enabled": True},
+              "3d_reconstruction": {"enabled": False, "method": "none", "settings": {"detail_level": "draft"}}}
+    _sidecar(tmp_path / "event", "race.json", {"event_id": "race-7", "venue_id": "harbour", "date": "2019-02-03", "pipeline_config": stages})
     config = tab.read_sidecars(spark, str(tmp_path / "event"), tab.EVENT_CONFIG)
     row = config.select("pipeline_config.frame_extraction.fps", F.col("pipeline_config.`3d_reconstruction`.settings.detail_level")).first()
-    assert tuple(row) == (5, "high")
-    (tmp_path / "ann").mkdir()
-    box = {"bbox": [1, 2, 3, 4], "confidence": 0.9, "class_id": 1, "class_name": "x"}
-    (tmp_path / "ann" / "f1.json").write_text(json.dumps([box, box]))
-    (tmp_path / "ann" / "f2.json").write_text("[]")
+    assert tuple(row) == (2, "draft")
+    boxes = [{"bbox": [n, n, 10 * n, 20 * n], "confidence": n / 8, "class_id": n, "class_name": f"kind{n}"} for n in (1, 5)]
+    _sidecar(tmp_path / "ann", "f1.json", boxes)
+    _sidecar(tmp_path / "ann", "f2.json", [])
     assert tab.read_sidecars(spark, str(tmp_path / "ann"), tab.DETECTIONS).count() == 2
 
 
+def test_tree(spark, videos, tmp_path):
+    root = str(videos)
+    (videos / "deep" / ".hidden.mp4").write_bytes(b"1")
+    (videos / "deeper.mp4").write_bytes(b"")
+    assert names(tree.list_tree(spark, root)) == ["deeper.mp4", "n.txt", "w.avi", "x.mp4", "y.mov", "z.MP4"]
+    assert names(tree.list_tree(spark, root, recursive=False, exts=VIDEO)) == ["deeper.mp4", "x.mp4", "y.mov"]
+    assert names(tree.list_tree(spark, root, prefix="deep")) == ["deeper.mp4", "w.avi"]
+    assert names(tree.list_tree(spark, root, prefix="deep/")) == names(tree.list_tree(spark, [root + "/deep", root + "/gone"])) == ["w.avi"]
+    assert names(tree.list_tree(spark, root, prefix="deep/er/w")) == ["w.avi"] and tree.list_tree(spark, root, prefix="none/").count() == 0
+    mine, theirs = tree.list_tree(spark, root, exts=VIDEO), obj.list_objects(spark, root, exts=VIDEO, recursive=True)
+    times = lambda df: sorted((r[0].rsplit("/", 1)[-1], r[1], r[2]) for r in df.select("path", "length", F.unix_seconds("modificationTime")).collect())
+    assert times(mine.where("length > 0")) == times(theirs)
+
+
+def test_ranges(spark, tmp_path):
+    contents = {"a": bytes(range(256)) * 5, "b": b"", "c": b"x" * 100, "d": b"y" * 101}
+    rows = spark.createDataFrame([(k, v) for k, v in contents.items()] + [("none", None), (None, b"1")], "k STRING, c BINARY")
+    assert sorted(r.bytes for r in pub.put_objects(rows, str(tmp_path / "o"), F.concat(F.lit("in/"), "k"), F.col("c")).collect()) == [0, 100, 101, 1280]
+    listed = tree.list_tree(spark, str(tmp_path / "o"))
+    ranges = tree.read_ranges(listed, 100)
+    assert sorted((r.path[-1], r.start, r.bytes) for r in ranges.collect()) == sorted(
+        (k, s, min(100, len(v) - s)) for k, v in contents.items() for s in range(0, max(1, len(v)), 100))
+    assert {r.path[-1]: bytes(r.content) for r in tree.join_ranges(ranges).collect()} == contents
+
+
 def test_catalog_and_features(spark, tmp_path):
     spark.sql("SELECT 'f' AS frame_id, 'x' AS extractor, array(cast(1 AS FLOAT)) AS embedding").write.parquet(str(tmp_path / "f"))
     assert tab.read_features(spark, str(tmp_path / "f")).first().embedding == [1.0]
