@@ -9,7 +9,10 @@ element, what holds one, or what holds most of an article's text or, without art
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -32,6 +35,9 @@ HINTS = frozenset("ad ads advert adverts advertisement aside banner breadcrumb b
                   "subscribe toolbar widget "
                   "ad-container ad-slot comment-list cookie-banner cookie-consent cookie-notice main-nav nav-menu "
                   "related-articles related-posts share-buttons sidebar-left sidebar-right site-footer site-nav social-share".split())
+#: Parts of a class or id that name such a thing wherever they stand in it, and ends that do so behind the given beginnings.
+NAMED = frozenset("ad ads advert advertisement adverts comment comments consent cookie cookies disqus newsletter sponsor sponsored".split())
+PAGE_WIDE, ENDS = frozenset("global main page site top".split()), frozenset("footer header menu nav navbar navigation sidebar".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Tags whose end tag may be missing: a new one of the group closes an open one.
 LOOSE = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -42,6 +48,7 @@ HOLDERS = frozenset("body center details div html section td th".split())
 #: Width of the smoothing, in lines.
 SIGMA = 1.0
 PIECE = 1 << 16
+TAG = re.compile("</?[A-Za-z]")
 
 
 class Line(NamedTuple):
@@ -56,14 +63,23 @@ class Line(NamedTuple):
     linked: bool
 
 
+@lru_cache(maxsize=10_000)
+def hint(name: str) -> bool:
+    """Whether a class or id names a part that isn't main text: as a whole, or by its parts."""
+    parts = name.replace("_", "-").split("-")
+    return name in HINTS or not NAMED.isdisjoint(parts) or (len(parts) > 1 and parts[0] in PAGE_WIDE and parts[-1] in ENDS)
+
+
 class Lines(HTMLParser):
     """Lines of a page outside dropped elements, and what they are in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        # tag, dropped, region, part, holder and heading of the open elements
+        # tag, dropped, region, part, holder and heading of the open elements; where each tag is open, and where blocks are
         self.open: list[tuple[str, bool, int, int, int, bool]] = []
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
         self.dropped = self.tags = self.regions = self.elements = self.links = self.unlinked = 0
         #: The part and the region around each part, whether an article or main element is in it; the region around each region.
         self.around, self.within, self.main, self.outer = [0], [0], [False], [0]
@@ -78,6 +94,9 @@ class Lines(HTMLParser):
 
     def _close(self) -> None:
         tag, dropped, _, part, _, _ = self.open.pop()
+        self.depths[tag].pop()
+        if tag in BLOCKS:
+            self.blocks.pop()
         if tag in BLOCKS or dropped or part != self._place()[1]:
             self._end_line()
         self.dropped -= dropped
@@ -95,19 +114,12 @@ class Lines(HTMLParser):
         while self.open and self.open[-1][0] in LOOSE.get(tag, ()):
             self._close()
         # a block inside an open paragraph ends the paragraph, also below unclosed inline tags
-        if tag in BLOCKS:
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.open[depth][0]
-                if name == "p":
-                    while len(self.open) > depth:
-                        self._close()
-                    break
-                if name in BLOCKS:
-                    break
+        if tag in BLOCKS and self.blocks and self.open[self.blocks[-1]][0] == "p":
+            self._close_to(self.blocks[-1])
         named = dict(attrs)
         names = f"{named.get('class') or ''} {named.get('id') or ''}".lower().split()
         dropped = tag in DROPPED or "hidden" in named or (named.get("role") or "").lower() in ROLES
-        hinted = not HINTS.isdisjoint(names) and tag not in MAIN and tag not in ("html", "body")
+        hinted = any(map(hint, names)) and tag not in MAIN and tag not in ("html", "body")
         if dropped or hinted:
             self._end_line()
         region, part, holder, heading = self._place()
@@ -123,21 +135,24 @@ class Lines(HTMLParser):
             region, self.main[part] = self.regions, True
         if tag in HOLDERS or tag in MAIN:
             holder = self.elements
+        self.depths[tag].append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
         self.open.append((tag, dropped, region, part, holder, tag in HEADINGS if tag in BLOCKS else heading))
         self.dropped += dropped
         self.links += tag == "a"
 
+    def _close_to(self, depth: int) -> None:
+        while len(self.open) > depth:
+            self._close()
+
     def handle_endtag(self, tag):
         self.tags += 1
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                while len(self.open) > depth:
-                    self._close()
-                return
-            # an inline end tag doesn't reach beyond its block
-            if tag not in BLOCKS and self.open[depth][0] in BLOCKS:
-                return
-        if tag in BLOCKS:
+        at = self.depths[tag][-1] if self.depths[tag] else -1
+        # an inline end tag doesn't reach beyond its block
+        if at >= 0 and (tag in BLOCKS or not self.blocks or at > self.blocks[-1]):
+            self._close_to(at)
+        elif tag in BLOCKS:
             self._end_line()
 
     def handle_data(self, data):
@@ -187,10 +202,24 @@ def threshold(values: np.ndarray) -> float:
     return ordered[int(np.argmax(between)) + 1]
 
 
+def without_lists(lines: list[Line], chosen: np.ndarray) -> np.ndarray:
+    """True for lines but those of lists of links: two or more in a row all in links, no headings, most of them in the lower cluster."""
+    links = np.array([False] + [line.linked and not line.heading for line in lines] + [False])
+    begin, end = (np.flatnonzero(np.diff(links.astype(int)) == d) for d in (1, -1))
+    kept = np.ones(len(lines), bool)
+    for a, b in zip(begin, end, strict=True):
+        if b - a > 1 and 2 * chosen[a:b].sum() < b - a:
+            kept[a:b] = False
+    return kept
+
+
 def main_text(html: str) -> str:
     parser = Lines()
     for at in range(0, len(html), PIECE):
         parser.feed(html[at:at + PIECE])
+    # a tag that the page breaks off is none; closing would look for its end from each of its beginnings
+    if TAG.match(parser.rawdata):
+        parser.rawdata = ""
     parser.close()
     lines = parser.finished()
     if not lines:
@@ -200,9 +229,9 @@ def main_text(html: str) -> str:
     at = np.flatnonzero(chosen)
     begin, end = int(at[0]), int(at[-1]) + 1
     if any(line.region for line in lines):
-        # the markup names the articles: all their lines count, and what is outside only where no article has a content line
-        inside = any(line.region and c for line, c in zip(lines, chosen, strict=True))
-        return "\n".join(line.text for n, line in enumerate(lines) if line.region or (not inside and begin <= n < end))
+        # the markup names the articles: their lines count, but for lists of links, and what is outside only where no article has a content line
+        inside, kept = any(line.region and c for line, c in zip(lines, chosen, strict=True)), without_lists(lines, chosen)
+        return "\n".join(line.text for n, line in enumerate(lines) if (line.region and kept[n]) or (not inside and begin <= n < end))
     # headings above the content, and what stands beside its ends in the same element, belong to it
     first, last = lines[begin].holder, lines[end - 1].holder
     while begin and (lines[begin - 1].heading or (lines[begin - 1].holder == first and not lines[begin - 1].linked)):
