@@ -97,7 +97,7 @@ class Windows:
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 13,
-                    carry: tuple[str, ...] = (), as_it_was: bool = False) -> DataFrame:
+                    carry: tuple[str, ...] = (), as_it_was: bool = False, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """`doc_id, text, n_words, n_removed, repeats` of every row: words covered by repeated windows are removed.
 
     A window is `words` consecutive words; it is repeated where its words also start in a document with a
@@ -107,7 +107,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     empty table gives no rows. With `as_it_was` texts that lose nothing stay as they are, nulls too. Of other columns those in `carry` are kept, as carried_0, carried_1 and so on.
 
     Every pack of documents sends each of its distinct windows once, so a window of many copies weighs no
-    more than there are packs; the answer is one bit for each.
+    more than there are packs; the answer is one bit for each. A worker holds about twenty times `pack_bytes`; smaller
+    packs send a window that many have more often.
     """
     carried = [f"carried_{k}" for k in range(len(carry))]
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
@@ -116,7 +117,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # cells by the number of suffixes, about one for each six bytes
     bits = max(8, math.ceil(math.log2(max(1, total / 6 / GROUP))) + 2)
     small = prefix_sizes(source, words, bits) <= GROUP
-    packed = source.withColumn("pack", pack_of(total, "doc_id", "text", size=PACK_BYTES))
+    packed = source.withColumn("pack", pack_of(total, "doc_id", "text", size=pack_bytes))
 
     def offered(table: pa.Table) -> pa.Table:
         w = Windows(table.column("doc_id"), table.column("text"), words, small)
