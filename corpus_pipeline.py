@@ -12,6 +12,8 @@ from reelgrain.session import cut_lineage
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Words of a passage that is taken out of all documents but the first.
 PASSAGE = 50
+#: Bytes of text that a worker compares at once there: small, for workers of a chain of stages share an executor with a heap in full use.
+PACK = 5 << 19
 #: Documents without an id are told apart by numbers from here on.
 NAMELESS = 1 << 62
 #: A document stays if its language has more than an even share among three.
@@ -60,7 +62,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one with a smaller id has; texts without any stay as they are."""
-    found = substrings.without_repeats(docs, words=PASSAGE, carry=("lang", "source", "n_chars"), as_it_was=True)
+    found = substrings.without_repeats(docs, words=PASSAGE, carry=("lang", "source", "n_chars"), as_it_was=True, pack_bytes=PACK)
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return found.select("doc_id", "text", F.col("carried_0").alias("lang"), F.col("carried_1").alias("source"),
                         F.when(F.col("n_removed") > 0, length).otherwise(F.col("carried_2")).alias("n_chars"))
