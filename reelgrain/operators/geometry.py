@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import MAX_POSE_ERROR_M, MAX_RMSE_M, MIN_ENTROPY_BITS, MIN_SSIM
 
@@ -32,6 +37,82 @@ def ssim(a: DataFrame, b: DataFrame, image: str, x: str, y: str, value: str, blo
     return stats.groupBy(image).agg(F.avg(score).alias("ssim")).withColumn("accepted", F.col("ssim") > F.lit(least))
 
 
+def image_entropy(images: DataFrame, image: str, data: str, least: float = MIN_ENTROPY_BITS) -> DataFrame:
+    """`entropy` of images that are rows: `data` holds one byte per pixel. One row per image, in its task; null for no pixels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = []
+            for raw in batch.column("data"):
+                n = np.bincount(np.frombuffer(raw.as_py() or b"", np.uint8))
+                n = n[n > 0]
+                bits.append(float(np.log2(n.sum()) - (n * np.log2(n)).sum() / n.sum()) if len(n) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("image"), pa.array(bits, pa.float64())], ["image", "entropy"])
+
+    rows = images.select(F.col(image).alias("image"), F.col(data).alias("data"))
+    bits = rows.mapInArrow(run, T.StructType([T.StructField("image", images.schema[image].dataType), T.StructField("entropy", T.DoubleType())]))
+    return bits.select(F.col("image").alias(image), "entropy", (F.col("entropy") < F.lit(least)).alias("alert"))
+
+
+def _sums(pixels: np.ndarray, block: int, step: int) -> np.ndarray:
+    """Sums over all blocks, from a summed-area table: four corners each, whatever the size of a block."""
+    table = np.zeros((pixels.shape[0] + 1, pixels.shape[1] + 1))
+    table[1:, 1:] = pixels.cumsum(axis=0).cumsum(axis=1)
+    return (table[block::step, block::step] - table[:-block:step, block::step] - table[block::step, :-block:step] + table[:-block:step, :-block:step])
+
+
+def similarity(a: np.ndarray, b: np.ndarray, block: int, step: int, peak: float) -> float | None:
+    """Mean structural similarity of two grey images over blocks at every `step` pixels; None where no block fits."""
+    if min(a.shape) < block:
+        return None
+    c1, c2, n = (0.01 * peak) ** 2, (0.03 * peak) ** 2, block * block
+    ma, mb = _sums(a, block, step) / n, _sums(b, block, step) / n
+    va, vb = _sums(a * a, block, step) / n - ma * ma, _sums(b * b, block, step) / n - mb * mb
+    cov = _sums(a * b, block, step) / n - ma * mb
+    return float((((2 * ma * mb + c1) * (2 * cov + c2)) / ((ma * ma + mb * mb + c1) * (va + vb + c2))).mean())
+
+
+def image_ssim(a: DataFrame, b: DataFrame, image: str, data: str, width: str, block: int = 8, step: int | None = None, peak: float = 255.0,
+               least: float = MIN_SSIM) -> DataFrame:
+    """`ssim` of images that are rows, with one byte per pixel in `data` and their `width`; images of one side are left out.
+
+    Blocks lie `step` pixels apart, by default side by side; what is left at the edges counts in no block. The result is null where
+    sizes differ or no block fits. Rows of images are joined, never pixels.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = []
+            for one, two, wide, other in zip(*(batch.column(c) for c in ("one", "two", "w1", "w2")), strict=True):
+                x, y, wide = one.as_py() or b"", two.as_py() or b"", wide.as_py()
+                fits = wide and wide == other.as_py() and len(x) == len(y) and len(x) % wide == 0
+                scores.append(similarity(*[np.frombuffer(p, np.uint8).astype(float).reshape(-1, wide) for p in (x, y)], block, step or block, peak) if fits else None)
+            yield pa.RecordBatch.from_arrays([batch.column("image"), pa.array(scores, pa.float64())], ["image", "ssim"])
+
+    sides = [d.select(F.col(image).alias("image"), F.col(data).alias(n), F.col(width).alias(w)) for d, n, w in ((a, "one", "w1"), (b, "two", "w2"))]
+    schema = T.StructType([T.StructField("image", a.schema[image].dataType), T.StructField("ssim", T.DoubleType())])
+    found = sides[0].join(sides[1], "image").mapInArrow(run, schema)
+    return found.select(F.col("image").alias(image), "ssim", (F.col("ssim") > F.lit(least)).alias("accepted"))
+
+
+def vertex_density(points: DataFrame, keys: list[str], size: float, axes: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
+    """`*keys, vertices, volume, density`: vertices by the volume of the cubes of side `size` that hold any.
+
+    Points are counted by cube before the shuffle, so a model is as many rows as it has cubes. Points with a null coordinate
+    are left out; a model without extent along an axis has no volume, and no density.
+    """
+    clean = points.dropna(subset=list(axes)).select(*keys, *[F.col(c).cast("double").alias(c) for c in axes])
+    cube = [F.floor(F.col(c) / F.lit(float(size))).alias(f"_{c}") for c in axes]
+    ends = [f(c).alias(f"_{n}_{c}") for c in axes for n, f in (("low", F.min), ("high", F.max))]
+    cubes = clean.groupBy(*keys, *cube).agg(F.count(F.lit(1)).alias("_n"), *ends)
+    flat = F.lit(False)
+    for c in axes:
+        flat = flat | (F.min(f"_low_{c}") == F.max(f"_high_{c}"))
+    volume = F.when(~flat, F.count(F.lit(1)) * F.lit(float(size) ** len(axes)))
+    found = cubes.groupBy(*keys).agg(F.sum("_n").alias("vertices"), volume.alias("volume"))
+    return found.withColumn("density", F.col("vertices") / F.col("volume"))
+
+
 def _squared_distance(axes: tuple[str, ...]) -> Column:
     total = F.lit(0.0)
     for c in axes:

@@ -9,6 +9,8 @@ from ..functions import values as v
 from ..operators import lifecycle as lc
 from ..operators.joins import missing
 from ..sources.discovery import existing, first_nonempty, select_or_latest, union_all
+from ..session import scratch_path
+from ..sinks import versions as ver
 from ..sources.objects import where_key
 from .registry import Tables, query
 
@@ -190,6 +192,36 @@ def b11(t: Tables):
     return lc.tier(t.orders.select("o_orderkey", "o_orderdate"), now, "o_orderdate", COLD_AFTER_DAYS).select("o_orderkey", "tier")
 
 
+def _objects(t: Tables):
+    name = F.col("o_orderpriority")
+    return t.orders.select("o_orderkey", F.concat_ws("/", name, F.col("o_orderkey").cast("string")).alias("path"), "o_orderdate")
+
+
+@query("b10_retention_applied", """
+WITH r AS (SELECT DISTINCT o_orderpriority, 200 * length(o_orderpriority) AS days FROM orders)
+SELECT o_orderkey, o.o_orderpriority || '/' || o_orderkey AS path, o_orderdate, 2 AS version FROM orders o JOIN r ON r.o_orderpriority = o.o_orderpriority
+WHERE o_orderdate >= TIMESTAMP '2002-01-01' - to_days(CAST(days AS INTEGER))
+""")
+def b10_applied(t: Tables):
+    # the table after the job is what the labels let survive
+    root, name = scratch_path(t.spark, "versions"), F.col("o_orderpriority")
+    ver.publish_version(_objects(t), root, 0)
+    rules = t.orders.select(F.concat(name, F.lit("/")).alias("prefix"), (F.length(name) * 200).alias("days")).distinct()
+    number = ver.apply_retention(t.spark, root, rules, F.lit("2002-01-01").cast("timestamp_ntz"), modified="o_orderdate")
+    return ver.read_version(t.spark, root).withColumn("version", F.lit(number))
+
+
+@query("b11_tiers_applied", """
+SELECT o_orderkey, o_orderpriority || '/' || o_orderkey AS path, o_orderdate,
+       CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' - INTERVAL 30 DAY THEN 'cold' ELSE 'hot' END AS tier FROM orders
+""")
+def b11_applied(t: Tables):
+    root = scratch_path(t.spark, "versions")
+    ver.publish_version(_objects(t), root, 0)
+    ver.apply_tiers(t.spark, root, F.lit("1996-01-01").cast("timestamp_ntz"), "o_orderdate")
+    return ver.read_version(t.spark, root, "tier")
+
+
 @query("b13_snapshot_diff", """
 WITH o AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)),
 n AS (SELECT d.doc_id, sha256(CASE WHEN l.toxic = 1 THEN text || '.' ELSE text END) AS h

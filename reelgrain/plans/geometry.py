@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import geometry as g
-from .registry import Tables, cents, query
+from .registry import ORACLES, Tables, cents, query
 
 
 def pixels(t: Tables, levels: int, out: str = "value"):
@@ -41,6 +41,34 @@ def e20(t: Tables):
     return g.ssim(pixels(t, 128), coarse, "image", "x", "y", "value", block=4).withColumn("ssim", F.round("ssim", 6))
 
 
+def images(t: Tables, scale: int, times: int = 1):
+    """Vectors as grey images of 8 x 8 pixels, one byte each."""
+    byte = F.transform("embedding", lambda v: F.lpad(F.hex((F.floor((v.cast("double") + 1) * scale) * times).cast("long")), 2, "0"))
+    return t.embeddings.select(F.col("vec_id").alias("image"), F.unhex(F.array_join(byte, "")).alias("data"), F.lit(8).alias("width"))
+
+
+@query("e17_entropy_of_images", ORACLES["e17_texture_entropy"])
+def e17_images(t: Tables):
+    return g.image_entropy(images(t, 32), "image", "data", 3.0).withColumn("entropy", F.round("entropy", 6))
+
+
+@query("e20_ssim_of_images", ORACLES["e20_ssim"])
+def e20_images(t: Tables):
+    return g.image_ssim(images(t, 128), images(t, 8, 16), "image", "data", "width", block=4).withColumn("ssim", F.round("ssim", 6))
+
+
+@query("e16_density_by_volume", """
+WITH p AS (SELECT label, embedding[64] < 0 AS old, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings),
+d AS (SELECT label, old, count(*) AS n, count(DISTINCT (floor(x / 0.125), floor(y / 0.125), floor(z / 0.125))) * CAST(0.125 AS DOUBLE) * 0.125 * 0.125 AS volume,
+             min(x) = max(x) OR min(y) = max(y) OR min(z) = max(z) AS flat FROM p GROUP BY label, old)
+SELECT label, old, n AS vertices, CASE WHEN NOT flat THEN round(volume, 6) END AS volume, CASE WHEN NOT flat THEN round(n / volume, 4) END AS density FROM d
+""")
+def e16_volume(t: Tables):
+    axes = [F.col("embedding")[i].alias(c) for i, c in enumerate("xyz")]
+    found = g.vertex_density(t.embeddings.select("label", (F.col("embedding")[63] < 0).alias("old"), *axes), ["label", "old"], 0.125)
+    return found.withColumns({"volume": F.round("volume", 6), "density": F.round("density", 4)})
+
+
 def poses(t: Tables, digits: int | None = None):
     """First three elements as a position; with `digits`, as surveyed on a grid."""
     axes = [F.col("embedding")[i].cast("double") for i in range(3)]

@@ -78,6 +78,30 @@ def k3(t: Tables):
     return t.spark.read.parquet(f"{base}/judged").select("event_id", "event_type", "anomaly")
 
 
+@query("k3_event_time_anomalies", """
+WITH e AS (SELECT event_id, event_type, round(value * 100) AS u, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS w FROM events),
+s AS (SELECT event_type, w, count(*) AS n, sum(u) AS s1, sum(u * u) AS s2 FROM e GROUP BY event_type, w),
+b AS (SELECT event_type, w, sum(n) OVER v AS n, sum(s1) OVER v AS s1, sum(s2) OVER v AS s2 FROM s
+      WINDOW v AS (PARTITION BY event_type ORDER BY w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT event_id, e.event_type, coalesce(n >= 10 AND abs(u - s1 / n) > CAST(1.5 AS DOUBLE) * sqrt((s2 - s1 * s1 / n) / (n - 1)), false) AS anomaly
+FROM e JOIN b ON b.event_type = e.event_type AND b.w = e.w
+""")
+def k3_event_time(t: Tables):
+    # two arrivals that overlap in time: rows are kept, window sums grow, and flags come from the sums of earlier windows
+    base = scratch_path(t.spark, "stream")
+    rows = t.events.select("event_type", "event_id", "value", "ts")
+    schema = T.StructType([*an.window_sums(rows, "event_type", "ts", "value", "6 hours", 2).schema.fields, T.StructField("batch_id", T.LongType())])
+    for part in (0, 1):
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part).write.mode("append").parquet(f"{base}/arrivals")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{base}/arrivals")
+        ing.ingest(stream, f"{base}/rows", f"{base}/log_rows").awaitTermination()
+        sums = an.window_sums(stream, "event_type", "ts", "value", "6 hours", 2, delay="3650 days")
+        ing.ingest_updates(sums, f"{base}/sums", f"{base}/log_sums").awaitTermination()
+    current = ing.current_rows(t.spark.read.schema(schema).parquet(f"{base}/sums"), ["event_type", "window_start"])
+    judged = an.judge_windows(t.spark.read.schema(rows.schema).parquet(f"{base}/rows"), current, "event_type", "ts", "value", "6 hours", 2, k=1.5)
+    return judged.select("event_id", "event_type", "anomaly")
+
+
 @query("k3_stateful_anomalies", """
 SELECT event_type, event_id, value, false AS anomaly, false AS timed_out FROM events
 """)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -105,3 +105,37 @@ def anomalies(stream: DataFrame, key: str, value: str, keep: list[str], k: float
 
     limit = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
     return stream.groupBy(key).applyInPandasWithState(update, out, STATE, "append", limit)
+
+
+def window_sums(rows: DataFrame, key: str, ts: str, value: str, width: str, digits: int = 6, delay: str | None = None) -> DataFrame:
+    """`key, window_start, n, s1, s2`: values, their sum and sum of squares by event-time window, of a table or a stream.
+
+    Values are rounded to `digits` decimals and summed exactly, so the sums don't depend on the order, or on the batches, in which rows
+    come. Tasks add up first, so a camera with most of the rows is a few rows a window in the shuffle. A stream waits `delay` for
+    late rows; read it with `ingest_updates` and `current_rows`.
+    """
+    units = F.round(F.col(value).cast("double") * 10.0 ** digits).cast("decimal(19,0)")
+    kept = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & F.col(ts).isNotNull())
+    kept = kept.select(key, F.col(ts).cast("timestamp").alias("_ts"), units.alias("_u"))
+    if delay:
+        kept = kept.withWatermark("_ts", delay)
+    sums = kept.groupBy(key, F.window("_ts", width).alias("_w")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_u").cast("decimal(38,0)").alias("s1"), F.sum(F.col("_u") * F.col("_u")).cast("decimal(38,0)").alias("s2"))
+    return sums.select(key, F.col("_w.start").alias("window_start"), "n", "s1", "s2")
+
+
+def judge_windows(rows: DataFrame, sums: DataFrame, key: str, ts: str, value: str, width: str, digits: int = 6, k: float = 3.0,
+                  warm_up: int = 10) -> DataFrame:
+    """`rows` with `anomaly`: more than `k` deviations from the mean of all earlier windows of the key, `warm_up` values at least.
+
+    `sums` are the rows of `window_sums`. A flag depends on times and values alone, not on how rows arrived. The running sums are over one row for each
+    window of a key, however many rows it has. Nulls are no anomaly.
+    """
+    earlier = Window.partitionBy(key).orderBy("window_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(F.col(key).alias("_key"), F.col("window_start").alias("_start"), *[F.sum(c).over(earlier).cast("double").alias(f"_{c}") for c in ("n", "s1", "s2")])
+    start = F.window(F.col(ts).cast("timestamp"), width)["start"]
+    joined = rows.withColumn("_at", start).join(before, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_start")), "left")
+    mean, one = F.col("_s1") / F.col("_n"), F.lit(10.0 ** digits)
+    spread = F.sqrt(F.greatest((F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("_n")) / (F.col("_n") - 1), F.lit(0.0)))
+    odd = F.when(F.col("_n") >= max(2, warm_up), F.abs(F.round(F.col(value).cast("double") * one) - mean) > F.lit(k) * spread)
+    return joined.withColumn("anomaly", F.coalesce(odd, F.lit(False))).drop("_at", "_key", "_start", "_n", "_s1", "_s2")

@@ -1,5 +1,7 @@
 """Streaming jobs with `availableNow` triggers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +121,27 @@ def test_judged_stream_agrees_with_the_stateful_one(spark, tmp_path):
     assert state["a"].m2 == pytest.approx(sum((v - sum(values) / 63) ** 2 for v in values))
 
 
+@pytest.mark.parametrize("cuts", [1, 3])
+def test_window_anomalies_do_not_depend_on_arrivals(spark, tmp_path, cuts):
+    rng = random.Random(4)
+    rows = [(rng.choice("aab"), i, rng.randrange(40) * 600, rng.gauss(10, 1) + 9 * (i % 37 == 0)) for i in range(400)] + [("a", 900, 100, None), ("c", 901, 5, 1.0)]
+    src, base = str(tmp_path / "src"), str(tmp_path / "out")
+    for part in range(cuts):
+        _frames(spark, src, rows[part::cuts])
+        stream = spark.readStream.schema("cam STRING, id INT, ts TIMESTAMP, v DOUBLE").parquet(src)
+        sums = an.window_sums(stream, "cam", "ts", "v", "1 hour", delay="2 days")
+        ing.ingest_updates(sums, f"{base}/sums", f"{base}/log").awaitTermination()
+    current = ing.current_rows(spark.read.parquet(f"{base}/sums"), ["cam", "window_start"])
+    judged = an.judge_windows(spark.read.parquet(src), current, "cam", "ts", "v", "1 hour")
+    want = {}
+    for cam, i, at, v in rows:
+        before = [w for c, _, t, w in rows if c == cam and w is not None and t // 3600 < at // 3600]
+        mean = sum(before) / len(before) if before else 0
+        spread = (sum((w - mean) ** 2 for w in before) / (len(before) - 1)) ** 0.5 if len(before) > 1 else 0
+        want[i] = v is not None and len(before) >= 10 and abs(v - mean) > 3 * spread
+    assert {r.id: r.anomaly for r in judged.collect()} == want and sum(want.values()) > 3
+
+
 def test_threshold_flags(spark):
     rows = spark.createDataFrame([(1.0,), (5.0,)], "v DOUBLE")
     assert [r.anomaly for r in an.flag_threshold(rows, "v", 0.0, 2.0).collect()] == [False, True]
