@@ -18,6 +18,8 @@ from .common import give_back, lowered, mixed, run_hashes, slices, text_buffer,
 BANDS, ROWS = 50, 6
 #: A block of documents that meet others in one task: rows and shingles it holds on average at most.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
+#: Bits of the map that tells which texts may be needed, at most: 16 MB.
+MARKS = 1 << 27
 _SHORT = 8  # multipliers of run_hashes from here on are for whole short texts
 
 
@@ -104,6 +106,27 @@ def _with_twin(rows: DataFrame, multi: DataFrame) -> DataFrame:
     return rows.join(mark, "doc_id", "left").withColumn("twin", F.when(F.col("several"), F.col("hash")).otherwise(F.lit(0))).drop("several", "hash")
 
 
+def _maybe(wanted: DataFrame, number: int):
+    """A function of a text's place that is true for all of the `number` wanted ones and for few others.
+
+    A bitmap of up to MARKS bits: beyond about a tenth as many wanted texts it lets more and more others pass, but never loses one.
+    """
+    bits = min(MARKS, max(1 << 16, 1 << (16 * number).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id", "twin"), F.lit(bits))
+    parts = wanted.select(F.shiftright(place, 15).alias("part"), place.bitwiseAND((1 << 15) - 1).alias("bit"))
+    marks = np.zeros((bits >> 15, 1 << 12), np.uint8)
+    for r in parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("marks")).collect():  # at most MARKS / 32,768 rows of 4 kB
+        marks[r.part] = np.frombuffer(r.marks, np.uint8)
+    shared = wanted.sparkSession.sparkContext.broadcast(marks.ravel())
+
+    @F.arrow_udf("boolean")
+    def run(places: pa.Array) -> pa.Array:
+        at = places.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return run(place)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """`doc_id, twin, shingles` of the texts whose `doc_id, twin` is wanted, computed from the whole texts."""
 
@@ -113,7 +136,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             sets = pa.ListArray.from_arrays(at.astype(np.int32), shingles.view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("twin"), sets], ["doc_id", "twin", "shingles"])
 
-    once = docs.join(wanted, ["doc_id", "twin"], "left_semi").dropDuplicates(["doc_id", "twin"])
+    wanted = cut_lineage(wanted)
+    near = docs.where(F.col("doc_id").isNotNull()).where(_maybe(wanted, wanted.count()))
+    once = near.join(wanted, ["doc_id", "twin"], "left_semi").dropDuplicates(["doc_id", "twin"])
     return once.mapInArrow(run, "doc_id bigint, twin bigint, shingles array<bigint>")
 
 

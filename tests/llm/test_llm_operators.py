@@ -320,3 +320,11 @@ def test_empty_tables(spark, empty):
         html_text.extract(pages), knn_join.top_k(none),
     ]
     assert [f.count() for f in found] == [0] * len(found)
+
+
+def test_the_map_of_wanted_texts_loses_none(spark):
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.pmod(F.hash("id"), F.lit(3)).cast("long").alias("twin"))
+    wanted = rows.where("doc_id % 7 = 0")
+    passed = rows.where(minhash._maybe(wanted, wanted.count()))
+    assert passed.where("doc_id % 7 = 0").count() == wanted.count() and passed.count() < 1.2 * wanted.count()
+    assert rows.where(minhash._maybe(wanted.limit(0), 0)).count() == 0
