@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from reelgrain.operators import profile as pr
 from reelgrain.operators import sketches as sk
+from reelgrain.plans import drift
+from reelgrain.plans.registry import Tables
 
 PROBS = {"q10": 0.1, "q50": 0.5, "q99": 0.99}
 
@@ -68,6 +70,14 @@ def test_empty_tables(spark, table):
     assert sk.merge(sk.sketch(none, ["a"], ["key"])).count() == 0
 
 
+def test_quartiles_are_judged_by_rank(spark, tmp_path):
+    """At a jump between two values either of them is a quartile."""
+    row = [(F.col("id") % 2).cast("double").alias(c) for c in ("l_quantity", "l_discount", "l_tax")]
+    spark.range(10_000).select(*row, F.col("id").cast("double").alias("l_extendedprice")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = drift.e12_accuracy(Tables(spark, str(tmp_path))).collect()
+    assert len(rows) == 4 and all(r.counts_equal and r.distinct_close and r.quartiles_close for r in rows)
+
+
 def test_bounds():
     assert sk.rank_error(200) == pytest.approx(0.0133, abs=2e-4)
     assert sk.distinct_error(12, 1) == pytest.approx(1.04 / math.sqrt(4096))
