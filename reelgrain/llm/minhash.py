@@ -20,6 +20,12 @@ BANDS, ROWS = 50, 6
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 #: Bits of the map that tells which texts may be needed, at most: 16 MB.
 MARKS = 1 << 27
+#: Blocks of those with one smallest id at most; beyond that blocks grow, not the visits of a document.
+BLOCK_PARTS = 64
+#: Classes of shingles that a text's print counts, each up to 255.
+CLASSES = 256
+#: Rows of a bucket that a task answers for when prints are compared, and parts of a bucket at most.
+OWN_ROWS, OWN_PARTS = 4096, 16
 _SHORT = 8  # multipliers of run_hashes from here on are for whole short texts
 
 
@@ -190,23 +196,89 @@ def _spanning(ids: np.ndarray, parts: np.ndarray, blocks: np.ndarray, bands: np.
     return found
 
 
+def _prints(full: DataFrame) -> DataFrame:
+    """`rep, twin, print`: how many shingles of each class a set has, one byte a class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
+            lists = batch.column("shingles")
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            place = owner * CLASSES + (lists.flatten().to_numpy() & (CLASSES - 1))
+            counts = np.minimum(np.bincount(place, minlength=len(lists) * CLASSES), 255).astype(np.uint8).reshape(-1, CLASSES)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("twin"), pa.array([c.tobytes() for c in counts], pa.binary())],
+                                             ["rep", "twin", "print"])
+
+    return full.mapInArrow(run, "rep bigint, twin bigint, print binary")
+
+
+def _meeting(prints: np.ndarray, sizes: np.ndarray, parts: np.ndarray, own: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of a bucket may be similar to a member of another component; pairs without an `own` member are left out.
+
+    Two sets have at most the smaller of both counts of each class in common, so no pair that is similar enough is lost.
+    """
+    alive, over = np.zeros(len(parts), bool), (prints == 255).any(axis=1)
+    names, numbers = np.unique(parts, return_counts=True)
+    main = parts == names[numbers.argmax()]
+    for i in np.flatnonzero(~main):
+        # a pair of others is met once, from its first member
+        wanted = (parts != parts[i]) & (own | own[i]) & (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * percent)
+        wanted[:i] &= main[:i]
+        near = np.flatnonzero(wanted)
+        for at in range(0, len(near), 1 << 14):
+            some = near[at:at + (1 << 14)]
+            common = np.minimum(prints[some], prints[i]).sum(axis=1, dtype=np.int64)
+            hits = some[(100 * common >= percent * (sizes[some] + sizes[i] - common)) | over[some] | over[i]]
+            alive[hits] = True
+            alive[i] |= len(hits) > 0
+    return alive & own
+
+
+def _possible(placed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The rows of `placed` whose prints allow a link to another component in the bucket.
+
+    A bucket is one task's work, a big one that of up to OWN_PARTS tasks, each of which answers for some rows and meets all: the rows
+    grow with the bucket, not with its square.
+    """
+    pieces = F.least(F.lit(OWN_PARTS), F.ceil(F.col("size") / OWN_ROWS)).cast("int")
+    rows = placed.select("band", "rep", "twin", "component", "n_shingles", "first", pieces.alias("pieces"))
+    rows = cut_lineage(rows.join(_prints(full), ["rep", "twin"]))
+    packs = max(1, rows.count() // 1024)
+    rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep", "twin"), F.col("pieces")) == F.col("piece"))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("band", "ascending"), ("piece", "ascending")]).combine_chunks()
+        band, piece, parts, sizes = (table.column(c).to_numpy() for c in ("band", "piece", "component", "n_shingles"))
+        own = table.column("own").to_numpy()
+        prints = np.frombuffer(b"".join(table.column("print").to_pylist()), np.uint8).reshape(-1, CLASSES)
+        begin = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (piece[1:] != piece[:-1])]))
+        alive = [_meeting(prints[a:b], sizes[a:b], parts[a:b], own[a:b], percent) for a, b in zip(begin, np.append(begin[1:], len(band)), strict=True)]
+        out = table.select(["band", "rep", "twin", "component", "n_shingles", "first"]).filter(pa.array(np.concatenate(alive)))
+        give_back()
+        return out
+
+    pack = F.pmod(F.xxhash64("band", "piece"), F.lit(packs))
+    return rows.drop("pieces").groupBy(pack.alias("pack")).applyInArrow(
+        run, "band bigint, rep bigint, twin bigint, component bigint, n_shingles bigint, first bigint")
+
+
 def _across(crowded: DataFrame, sets: DataFrame, groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that lie across the components found so far, enough of them to join what belongs together.
 
-    Documents of a bucket that holds several components are put in blocks of bounded size, by the
-    smallest id they share a bucket with. Two blocks that share a bucket meet in one task, each of
+    Documents of a bucket that holds several components, and that their prints let link with one of another
+    component there, are put in blocks of bounded size, by the smallest id they share a bucket with. Two blocks that share a bucket meet in one task, each of
     their documents once for every block it meets, so no pair of documents becomes a row.
     """
     of = groups.select(F.col("node").alias("rep"), "component")
     placed = crowded.join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = cut_lineage(placed.join(several.select("band"), "band"))
+    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
+    placed = cut_lineage(_possible(placed.join(several.select("band", "size"), "band"), full, percent))
     # the members of the smallest id's component apart from the others: among themselves they have nothing to compare
     near = placed.groupBy("rep", "twin", "component").agg(F.min("first").alias("home"), F.max("n_shingles").alias("n"))
     main = of.select(F.col("rep").alias("home"), F.col("component").alias("main"))
     near = near.join(main, "home", "left").withColumn("inner", F.col("component") == F.coalesce("main", "home"))
     parts = near.groupBy("home", "inner").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+        F.least(F.lit(BLOCK_PARTS), F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES))).alias("parts"))
     number = F.pmod(F.xxhash64("rep", "twin"), F.col("parts"))
     blocks = cut_lineage(near.join(parts, ["home", "inner"]).select(
         "rep", "twin", "component", "n", F.xxhash64("home", "inner", number).alias("block")))

@@ -328,3 +328,37 @@ def test_the_map_of_wanted_texts_loses_none(spark):
     passed = rows.where(minhash._maybe(wanted, wanted.count()))
     assert passed.where("doc_id % 7 = 0").count() == wanted.count() and passed.count() < 1.2 * wanted.count()
     assert rows.where(minhash._maybe(wanted.limit(0), 0)).count() == 0
+
+
+def test_prints_lose_no_similar_pair():
+    """Members that `_meeting` drops are similar to none of another component; unlike members of one bucket are dropped."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 400)
+    sets = [np.unique(np.concatenate([rng.choice(base, k, replace=False), rng.integers(0, 1 << 62, more)]))
+            for k, more in zip(rng.integers(300, 400, 60), rng.integers(0, 90, 60), strict=True)]
+    sets.append(np.concatenate([np.arange(1, 301) << 8, base[:5]]))  # one class holds more than a byte counts
+    sets.append(sets[-1][:280])
+    parts, sizes = np.arange(len(sets)) // 3, np.array([len(s) for s in sets])
+    prints = np.array([np.minimum(np.bincount(s & (minhash.CLASSES - 1), minlength=minhash.CLASSES), 255) for s in sets], np.uint8)
+    want = np.zeros(len(sets), bool)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common = len(np.intersect1d(a, b))
+            want[i] |= parts[i] != parts[j] and 100 * common >= 80 * (len(a) + len(b) - common)
+    whole = minhash._meeting(prints, sizes, parts, np.ones(len(sets), bool), 80)
+    assert 2 < want.sum() and not (want & ~whole).any() and not whole.all()
+    # in parts of a bucket each member is answered for once, as in the whole
+    own = np.arange(len(sets)) % 3
+    assert (np.logical_or.reduce([minhash._meeting(prints, sizes, parts, own == k, 80) for k in range(3)]) == whole).all()
+
+
+def test_unlike_members_of_a_bucket_make_no_visits(spark):
+    """A bucket of texts that link with none: its rows are read once, and nothing is left to compare block by block."""
+    n = 1500
+    rows = spark.range(n).select(F.lit(7).cast("long").alias("band"), F.col("id").alias("rep"), F.lit(0).cast("long").alias("twin"),
+                                 F.lit(20).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("first"), F.col("id").alias("component"), F.lit(n).cast("long").alias("size"))
+    unlike = F.transform(F.sequence(F.lit(1), F.lit(20)), lambda k: F.xxhash64("id", k))
+    full = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("twin"), unlike.alias("shingles"))
+    assert minhash._possible(rows, full, 80).count() == 0
+    twice = full.withColumn("shingles", F.when(F.col("doc_id") == 9, F.transform(F.sequence(F.lit(1), F.lit(20)), lambda k: F.xxhash64(F.lit(3).cast("long"), k))).otherwise(F.col("shingles")))
+    assert sorted(r.rep for r in minhash._possible(rows, twice, 80).collect()) == [3, 9]
