@@ -24,7 +24,8 @@ CACHED_PARTS = 600_000
 LINE = 200
 #: Texts of these characters only have one normal form; the word pattern finds these parts in them. Marks of special tokens need others.
 PLAIN = re.compile("[ \t\n\r\x0b\x0c!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z\u00c0-\u00ff]+|[0-9]|[^ \t\n\r\x0b\x0cA-Za-z0-9\u00c0-\u00ff]+")
+# letters come first, as they are the most frequent: no two alternatives begin with the same character but those after an apostrophe
+PARTS = re.compile("[A-Za-z\u00c0-\u00ff]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^ \t\n\r\x0b\x0cA-Za-z0-9\u00c0-\u00ff]+")
 #: Sequences of one length have ids from its power of two times this on.
 BUCKET = 1 << 58
 
@@ -52,21 +53,29 @@ class TextIds:
         if len(self.known) > CACHED_PARTS:
             self.known.clear()
         out: list[bytes] = [b""] * len(texts)
-        cut, rest = {}, []
+        rest, open_texts, missing = [], [], set()
         for i, t in enumerate(texts.to_pylist()):
             if t and self.others.by_words and PLAIN.fullmatch(t) and not self.others.marks.search(t):
-                cut[i] = PARTS.findall(t.lower() if self.others.lowers else t)
+                parts = PARTS.findall(t.lower() if self.others.lowers else t)
+                ids = list(map(self.known.get, parts))
+                holes = [(k, parts[k]) for k, x in enumerate(ids) if x is None]
+                if holes:
+                    missing.update(part for _, part in holes)
+                    open_texts.append((i, ids, holes))
+                else:
+                    out[i] = b"".join(ids)
             elif t:
                 rest.append(i)
-        new = list(set().union(*cut.values()) - self.known.keys())
+        new = list(missing)
         self.known.update(zip(new, self._learnt(new), strict=True))
-        for i, parts in cut.items():
-            out[i] = b"".join(map(self.known.__getitem__, parts))
+        for i, ids, holes in open_texts:
+            for k, part in holes:
+                ids[k] = self.known[part]
+            out[i] = b"".join(ids)
         for i, ids in zip(rest, self.others.encode(texts.take(pa.array(rest, pa.int64()))), strict=True):
             out[i] = ids
         return out
 
-
     def _learnt(self, parts: list[str]) -> list[bytes]:
         """Ids of parts, each of which is one word to the tokenizer: many in one line, told apart by the word that a token is of."""
         lines = [parts[at:at + LINE] for at in range(0, len(parts), LINE)]

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -362,3 +363,25 @@ def test_unlike_members_of_a_bucket_make_no_visits(spark):
     assert minhash._possible(rows, full, 80).count() == 0
     twice = full.withColumn("shingles", F.when(F.col("doc_id") == 9, F.transform(F.sequence(F.lit(1), F.lit(20)), lambda k: F.xxhash64(F.lit(3).cast("long"), k))).otherwise(F.col("shingles")))
     assert sorted(r.rep for r in minhash._possible(rows, twice, 80).collect()) == [3, 9]
+
+
+def test_packing_looks_a_known_part_up_once():
+    """Parts that are known are found by one lookup each; parts that are new are encoded once, also where texts share them."""
+    class Counted(dict):
+        gets = items = 0
+
+        def get(self, key):
+            self.gets += 1
+            return dict.get(self, key)
+
+        def __getitem__(self, key):
+            self.items += 1
+            return dict.__getitem__(self, key)
+
+    path = tokenizer_path("word_bpe_49k.json")
+    ids, texts = packing.TextIds(path), pa.array(["It's plain, it's 2 words' length!", "plain 's''t words", "", None, "é <|endoftext|> x"])
+    want = [ids.others.ids_of([t or ""])[0] for t in texts.to_pylist()]
+    assert ids.encode(texts) == want
+    ids.known = Counted(ids.known)
+    assert ids.encode(texts) == want and ids.known.items == 0
+    assert ids.known.gets == sum(len(packing.PARTS.findall(t)) for t in texts.to_pylist()[:2])
