@@ -32,7 +32,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     model = language.train(docs, F.lit(True))
     if not model.languages:
         return docs.select(*COLUMNS)
-    found = docs.select(*COLUMNS, language.identifier(docs, model)(F.col("text")).alias("_found"))
+    found = docs.select(*COLUMNS, language.identifier(docs, model, filtered=True)(F.col("text")).alias("_found"))
     kept = found.where((F.col("_found.lang") != language.UNKNOWN) & (F.col("_found.score") > SURE))
     return kept.select("doc_id", "text", F.coalesce("lang", "_found.lang").alias("lang"), "source", "n_chars")
 

@@ -218,8 +218,11 @@ def train(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     return fit(table.column("block"), languages, truth)
 
 
-def identifier(docs: DataFrame, model: Model):
-    """A function of a text column that gives its language, score and runs of words; `docs` only names the session."""
+def identifier(docs: DataFrame, model: Model, filtered: bool = False):
+    """A function of a text column that gives its language, score and runs of words; `docs` only names the session.
+
+    With `filtered` a filter by what it gives reads that; Spark would else find each text's language once for the filter and once more for what is kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.moves.astype(np.float32)))  # of fixed size
 
     @F.arrow_udf("struct<lang:string,score:double,words:array<struct<lang:string,n:int>>>")
@@ -230,8 +233,10 @@ def identifier(docs: DataFrame, model: Model):
             parts = [_named(own, part.column("text"), part.column("lettered")) for part in slices(pairs)]
             yield pa.concat_arrays(parts) if parts else _named(own, texts, lettered)
 
+    found = identified.asNondeterministic() if filtered else identified
+
     def apply(text: Column) -> Column:
-        return identified(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
+        return found(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
 
     return apply
 

@@ -36,6 +36,15 @@ def _places(hashes: np.ndarray, rows: np.ndarray, at: np.ndarray, n: int, bits:
     return (runs[np.searchsorted(starts, at)] >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _cells(texts: pa.Array, words: int, bits: int) -> np.ndarray:
+    """Suffixes of these texts in each prefix cell, for every level."""
+    raw, offsets = text_buffer(texts)
+    starts, ends, rows = word_bounds(raw, offsets)
+    hashes = word_hashes(raw, starts, ends)
+    _, at = run_hashes(hashes, rows, words)
+    return np.stack([np.bincount(_places(hashes, rows, at, n, bits), minlength=1 << bits) for n in _levels(words)])
+
+
 def prefix_sizes(docs: DataFrame, words: int, bits: int) -> np.ndarray:
     """Suffixes in each prefix cell, for every level: a table of fixed size."""
     levels = _levels(words)
@@ -43,12 +52,7 @@ def prefix_sizes(docs: DataFrame, words: int, bits: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(levels), 1 << bits), np.int64)
         for batch in (part for whole in batches for part in slices(whole)):
-            raw, offsets = text_buffer(batch.column("text"))
-            starts, ends, rows = word_bounds(raw, offsets)
-            hashes = word_hashes(raw, starts, ends)
-            _, at = run_hashes(hashes, rows, words)
-            for k, n in enumerate(levels):
-                counts[k] += np.bincount(_places(hashes, rows, at, n, bits), minlength=1 << bits)
+            counts += _cells(batch.column("text"), words, bits)
         level, cell = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(level.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(counts[level, cell])],
                                          ["level", "cell", "n"])
@@ -122,15 +126,19 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def offered(table: pa.Table) -> pa.Table:
         w = Windows(table.column("doc_id"), table.column("text"), words, small)
         found = [(g, w.windows[p].tobytes(), *np.unique(w.doc[w.first[p]], return_counts=True)) for g, p in w.by_group()]
-        return pa.table({
+        out = pa.table({
             "grp": pa.array([f[0] for f in found], pa.int32()),
             "pack": pa.array([table.column("pack")[0].as_py()] * len(found), pa.int32()),
             "windows": pa.array([f[1] for f in found], pa.binary()),
             "ids": pa.array([np.diff(w.ids[f[2]], prepend=np.int64(0)) for f in found], pa.list_(pa.int64())),
             "counts": pa.array([f[3] for f in found], pa.list_(pa.int32())),
         })
+        # an idle worker lives on beside those of the next stage
+        del w, found
+        give_back()
+        return out
 
-    def subtree(table: pa.Table) -> pa.Table:
+    def marked(table: pa.Table) -> list[bytes]:
         suffixes = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("windows")]
         owners = [np.repeat(np.cumsum(np.array(i.as_py(), np.int64)), c.as_py()) for i, c in zip(table.column("ids"), table.column("counts"), strict=True)]
         sizes = np.cumsum([len(s) for s in suffixes])[:-1]
@@ -141,7 +149,11 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         low = np.minimum.reduceat(owner[order], begin)
         repeated = np.empty(len(suffix), bool)
         repeated[order] = owner[order] > np.repeat(low, np.diff(np.append(begin, len(leaf))))
-        marks = [np.packbits(part).tobytes() for part in np.split(repeated, sizes)]
+        return [np.packbits(part).tobytes() for part in np.split(repeated, sizes)]
+
+    def subtree(table: pa.Table) -> pa.Table:
+        marks = marked(table)
+        give_back()
         return pa.table({"pack": table.column("pack"), "grp": table.column("grp"), "marks": pa.array(marks, pa.binary())})
 
     def removed(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -172,11 +184,14 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 kept = np.concatenate([[0], edges, [b - a]]).reshape(-1, 2) + a
                 texts.append(b" ".join([b" ".join(raw[w.starts[i]:w.ends[j - 1]].split()) for i, j in kept if j > i]))
         order = pa.array(w.order)
-        return pa.table({
+        out = pa.table({
             "doc_id": table.column("doc_id").take(order), "text": pa.array(texts, pa.binary()).cast(pa.string()), "n_words": pa.array(np.diff(w.rows)),
             "n_removed": pa.array(cut, pa.int64()), "repeats": pa.array(spans, pa.list_(pa.list_(pa.int32()))),
             **{c: table.column(c).take(order) for c in carried},
         })
+        del w, marks, earlier, smallest, hit, cover, gone, texts, spans, raw
+        give_back()
+        return out
 
     sent = packed.groupBy("pack").applyInArrow(offered, "grp int, pack int, windows binary, ids array<bigint>, counts array<int>")
     answers = sent.groupBy("grp").applyInArrow(subtree, "pack int, grp int, marks binary")

@@ -119,6 +119,11 @@ def test_filters_are_the_operators_scores(spark):
     assert kept.where("lang IS NULL OR text IS NULL").count() == 0
 
 
+def test_a_language_is_found_once(spark):
+    found = cp.drop_unknown_language(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_without_languages_all_stay(spark, docs, rows):
     blank = docs.withColumn("lang", F.lit(None).cast("string"))
     assert cp.drop_unknown_language(spark, blank, FOLDER).count() == len(rows)
