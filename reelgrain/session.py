@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+#: Shuffle files go when the query that wrote them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "reelgrain", master: str | None = None, **conf: str) -> SparkSession:
@@ -69,11 +71,19 @@ def staged(df: DataFrame) -> tuple[DataFrame, str]:
     """Write `df` as a table in the shared folder and read it back; also its path.
 
     Losing executors then costs no recomputation, and unlike a checkpoint the rows are computed
-    once and the planner knows their size.
+    once and the planner knows their size. What the write shuffled is deleted with its end, as nothing else reads it.
     """
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    spark = df.sparkSession
+    path, before = scratch_path(spark, "stage"), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
