@@ -1,8 +1,8 @@
 """Exact top-k search by inner product: a Voronoi kNN join.
 
-Data and queries are grouped by their closest pivot. Summaries of a group, its largest and its k smallest
-distances to the pivot, bound the scores that a query can reach in it from above and below; a group's
-data go only to the blocks of queries that may have a partner there, and are solved locally.
+Data are grouped by their closest pivot. Summaries of a group, its largest and its k smallest
+distances to the pivot, bound the scores that a query can reach in it from above and below; blocks of whole
+groups, or of parts of a large one, meet the blocks of queries that may have a partner there, and are solved locally, group by group.
 """
 
 from __future__ import annotations
@@ -15,10 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .cells import BLOCK, arrays, fitted, mapped, matrix, nearest, usable
+from .cells import ROWS, fitted, mapped, nearest, packed, places, sampled, unpacked, usable
 
 #: Larger whole numbers take no part: their products would not fit a long.
 LARGEST = 1 << 27
+#: Bytes of data and of queries in a block at most, about: a task holds one of each.
+DATA_BYTES, QUERY_BYTES = 16 << 20, 1 << 20
+#: Blocks of data that smaller tables have too, of this many vectors at least, and queries that are searched at once.
+FEW_BLOCKS, LEAST_ROWS, AT_ONCE = 6, 8192, 256
+#: Vectors of data in a product, and a score that nothing has.
+COLUMNS, NONE = 4096, -(1 << 63)
 
 
 def quantised(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
@@ -40,11 +46,14 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, vec
     are not compared. A row that repeats the id of a query counts as the query's own; queries of one
     id and vector give one result. An empty table gives no rows.
     """
-    rows = cut_lineage(quantised(vectors, vec_id, embedding, scale))
+    rows = quantised(vectors, vec_id, embedding, scale)
+    bound = rows.agg(F.max(F.array_max(F.transform("x", F.abs)))).first()[0] or 0
+    # whole numbers as the smallest type that holds all of them
+    kind = np.dtype(next(t for t in ("int8", "int16", "int32") if bound <= np.iinfo(t).max))
+    rows = cut_lineage(mapped(rows, "vec_id bigint, x binary", ["vec_id", "x"], lambda batch: [batch.column("vec_id"), packed(batch.column("x"), kind)]))
     spark, found = vectors.sparkSession, None
-    for dim, n, bound in [(r.dim, r.n, r.bound) for r in rows.groupBy(F.size("x").alias("dim")).agg(
-            F.count("*").alias("n"), F.max(F.array_max(F.transform("x", F.abs))).alias("bound")).collect()]:
-        part = _solved(rows.where(F.size("x") == dim), n, k, every, exact=dim * bound * bound < 2**53)
+    for dim, n in [(r.dim, r.n) for r in rows.groupBy((F.octet_length("x") / kind.itemsize).cast("int").alias("dim")).agg(F.count("*").alias("n")).collect()]:
+        part = _solved(rows.where(F.octet_length("x") == dim * kind.itemsize), n, k, every, kind, dim * bound * bound, dim)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
@@ -52,21 +61,59 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, vec
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _solved(rows: DataFrame, n: int, k: int, every: int, exact: bool) -> DataFrame:
+def _take(best: np.ndarray, which: np.ndarray, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, own: np.ndarray, repeated: bool) -> None:
+    """Put what is among the k best into those rows of `best` and `which`: scores, the highest first, and their ids."""
+    k = best.shape[1]
+    open_ = np.ones(scores.shape, bool)
+    if np.isin(own, ids).any():
+        open_ = ids[None, :] != own[:, None]
+        scores[~open_] = -np.inf if scores.dtype.kind == "f" else NONE
+    last = best[rows, -1]
+    floor, empty = last.astype(scores.dtype), last == NONE
+    if empty.any() and len(ids) > k and not repeated:
+        floor[empty] = np.partition(scores[empty], len(ids) - k, axis=1)[:, len(ids) - k]
+    open_ &= scores >= floor[:, None]
+    i, j = places(open_)
+    if not len(i):
+        return
+    found = np.unique(i)
+    at = np.concatenate([i, np.repeat(found, k)])
+    score = np.concatenate([scores[i, j].astype(np.int64), best[rows[found]].ravel()])
+    who = np.concatenate([ids[j], which[rows[found]].ravel()])
+    filled = score != NONE
+    at, score, who = at[filled], score[filled], who[filled]
+    if repeated:  # an id counts with its best vector
+        order = np.lexsort((-score, who, at))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(at[order]) != 0) | (np.diff(who[order]) != 0)
+        at, score, who = (c[order[new]] for c in (at, score, who))
+    order = np.lexsort((who, -score, at))
+    at, score, who = at[order], score[order], who[order]
+    rank = np.arange(len(at)) - np.searchsorted(at, at)
+    at, score, who, rank = (c[rank < k] for c in (at, score, who, rank))
+    best[rows[found]] = which[rows[found]] = NONE
+    best[rows[at], rank], which[rows[at], rank] = score, who
+
+
+def _solved(rows: DataFrame, n: int, k: int, every: int, kind: np.dtype, highest: float, dim: int) -> DataFrame:
     # of equal vectors only the k + 1 smallest ids can be among the k best of any query
     same = Window.partitionBy("x").orderBy("vec_id")
     distinct = rows.distinct()
     useful = distinct.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).select("vec_id", "x")
-    pivots = fitted(rows, "x", n, spherical=False)
+    pivots = fitted(sampled(rows, "x", kind), n, spherical=False)
     m = len(pivots)
 
+    def pieces(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [unpacked(batch.column("x").slice(i, ROWS), kind).astype(np.float64) for i in range(0, len(batch), ROWS)]
+
     def homed(batch: pa.RecordBatch) -> list[pa.Array]:
-        x = matrix(batch.column("x"))
-        home = nearest(x, pivots, False)
-        return [batch.column("vec_id"), batch.column("x"), pa.array(home.astype(np.int32)),
-                pa.array(np.linalg.norm(x - pivots[home], axis=1) * (1 + 1e-12))]
+        home, far = [], []
+        for x in pieces(batch):
+            home.append(nearest(x, pivots, False))
+            far.append(np.linalg.norm(x - pivots[home[-1]], axis=1) * (1 + 1e-12))
+        return [batch.column("vec_id"), batch.column("x"), pa.array(np.concatenate(home).astype(np.int32)), pa.array(np.concatenate(far))]
 
-    data = cut_lineage(mapped(useful, "vec_id bigint, x array<double>, home int, far double", ["vec_id", "x", "home", "far"], homed))
+    data = cut_lineage(mapped(useful, "vec_id bigint, x binary, home int, far double", ["vec_id", "x", "home", "far"], homed))
     # summaries, one row for each of at most CENTRES pivots
     closest = data.withColumn("nth", F.row_number().over(Window.partitionBy("home").orderBy("far"))).where(F.col("nth") <= k + 1)
     closest = {r.home: sorted(r.far) for r in closest.groupBy("home").agg(F.collect_list("far").alias("far")).collect()}
@@ -76,54 +123,68 @@ def _solved(rows: DataFrame, n: int, k: int, every: int, exact: bool) -> DataFra
     near = np.full((m, k + 1), np.inf)
     for home, far in closest.items():
         near[home, :len(far)] = far
-    parts = np.maximum(1, -(-sizes // BLOCK))
+    # groups one after the other along the blocks, so that a block has few groups, and a large group has several blocks
+    size = dim * kind.itemsize
+    per_block = max(1, min(DATA_BYTES // size, max(LEAST_ROWS, -(-int(sizes.sum()) // FEW_BLOCKS))))
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]]) // per_block
+    last = np.maximum(first, (np.cumsum(sizes) - 1) // per_block)
     wanted = distinct.where(F.col("vec_id") % every == 0)
-    crowd = max(1, math.ceil(wanted.count() / m / 512))
+    crowds = max(1, math.ceil(wanted.count() * size / QUERY_BYTES))
 
-    def visited(batch: pa.RecordBatch) -> list[pa.Array]:
-        x = matrix(batch.column("x"))
-        home = nearest(x, pivots, False)
+    def hopeful(x: np.ndarray) -> np.ndarray:
+        """Whether a query may have one of its k best in a group."""
         to_pivot, length = x @ pivots.T, np.linalg.norm(x, axis=1) * (1 + 1e-9)
         # k partners and the query itself are sure to score this much at least
         sure = np.concatenate([to_pivot - length[:, None] * near[None, :, i] for i in range(k + 1)], axis=1)
         sure[~np.isfinite(sure)] = -np.inf
         at = min(k, sure.shape[1] - 1)
         floor = -np.partition(-sure, at, axis=1)[:, at] if sure.shape[1] > k else np.full(len(x), -np.inf)
-        may = (to_pivot + length[:, None] * radius[None, :] >= floor[:, None] - 1e-6) & (sizes > 0)[None, :]
-        who, cell = np.nonzero(may)
-        times = parts[cell]
-        who, cell = np.repeat(who, times), np.repeat(cell, times)
-        block = np.arange(len(cell)) - np.repeat(np.cumsum(times) - times, times)
-        return [batch.column("vec_id").take(pa.array(who)), arrays(x[who]), pa.array(home[who].astype(np.int32)),
-                batch.column("crowd").take(pa.array(who)), pa.array(cell.astype(np.int32)), pa.array(block.astype(np.int32))]
-
-    names = ["query_id", "x", "from_home", "crowd", "home", "block"]
-    queries = mapped(wanted.withColumn("crowd", F.pmod(F.xxhash64("vec_id"), F.lit(crowd)).cast("int")),
-                     "query_id bigint, x array<double>, from_home int, crowd int, home int, block int", names, visited)
-    split = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("home") + 1)
-    blocks = data.withColumn("block", F.pmod(F.xxhash64("vec_id"), split).cast("int"))
-    keys = ["from_home", "crowd", "home", "block"]
-    offered = blocks.join(queries.select(*keys).distinct(), ["home", "block"]).select(
-        "vec_id", "x", *[F.col(c).alias(c) for c in keys])
+        return (to_pivot + length[:, None] * radius[None, :] >= floor[:, None] - 1e-6) & (sizes > 0)[None, :]
+
+    def visited(batch: pa.RecordBatch) -> list[pa.Array]:
+        who, block = [], []
+        for start in range(0, len(batch), AT_ONCE):
+            may = hopeful(unpacked(batch.column("x").slice(start, AT_ONCE), kind).astype(np.float64))
+            go = np.zeros((len(may), int(last[-1]) + 1), bool)
+            for c in np.flatnonzero(sizes):
+                go[:, first[c]:last[c] + 1] |= may[:, c:c + 1]
+            at, to = np.nonzero(go)
+            who.append(at + start)
+            block.append(to)
+        who, block = np.concatenate(who), np.concatenate(block).astype(np.int32)
+        return [batch.column("vec_id").take(pa.array(who)), batch.column("x").take(pa.array(who)), batch.column("crowd").take(pa.array(who)), pa.array(block)]
+
+    queries = cut_lineage(mapped(wanted.withColumn("crowd", F.pmod(F.xxhash64("vec_id"), F.lit(crowds)).cast("int")),
+                     "query_id bigint, x binary, crowd int, block int", ["query_id", "x", "crowd", "block"], visited))
+    spread = F.array(*[F.struct(F.lit(int(a)).alias("first"), F.lit(int(b - a + 1)).alias("n")) for a, b in zip(first, last, strict=True)])
+    shelf = F.element_at(spread, F.col("home") + 1)
+    blocks = data.withColumn("block", (shelf["first"] + F.pmod(F.xxhash64("vec_id"), shelf["n"])).cast("int"))
+    keys = ["crowd", "block"]
+    offered = blocks.join(queries.select(*keys).distinct(), "block").select("vec_id", "x", "home", *[F.col(c).alias(c) for c in keys])
+    # sums that a type holds without rounding
+    number = np.float32 if highest < 2**24 else np.float64 if highest < 2**53 else np.int64
 
     def solved(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return pa.table({"query_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())),
                              "scores": pa.array([], pa.list_(pa.int64()))})
-        query, ids = left.column("query_id").to_numpy(), right.column("vec_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        x, y, ids = matrix(left.column("x")), matrix(right.column("x"))[order], ids[order]
-        score = (x @ y.T if exact else x.astype(np.int64) @ y.astype(np.int64).T).astype(np.int64)
+        query, x = left.column("query_id").to_numpy(), unpacked(left.column("x"), kind)
+        ids, home = right.column("vec_id").to_numpy(), right.column("home").to_numpy()
+        order = np.argsort(home, kind="stable")
+        ids, home, y = ids[order], home[order], unpacked(right.column("x"), kind)[order]
+        repeated = len(np.unique(ids)) < len(ids)
         picked, scores = [], []
-        for q in range(len(query)):
-            own = np.flatnonzero(ids != query[q])
-            values = score[q, own]
-            if len(own) > k:  # the k-th best value and all that equal it; equal ones are in order of their ids
-                at = np.flatnonzero(values >= np.partition(values, len(values) - k)[len(values) - k])
-                own, values = own[at], values[at]
-            best = np.lexsort((ids[own], -values))[:k]
-            picked.append(ids[own][best])
-            scores.append(values[best])
+        for start in range(0, len(query), AT_ONCE):
+            mine, own = x[start:start + AT_ONCE], query[start:start + AT_ONCE]
+            may, mine = hopeful(mine.astype(np.float64)), mine.astype(number)
+            best, which = np.full((len(own), k), NONE), np.full((len(own), k), NONE)
+            for begin in range(0, len(ids), COLUMNS):
+                end = min(begin + COLUMNS, len(ids))
+                go = np.flatnonzero(may[:, home[begin]:home[end - 1] + 1].any(axis=1))
+                if len(go):
+                    _take(best, which, go, mine[go] @ y[begin:end].astype(number).T, ids[begin:end], own[go], repeated)
+            picked += [row[row_best != NONE] for row, row_best in zip(which, best, strict=True)]
+            scores += [row[row != NONE] for row in best]
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in picked])]).astype(np.int32)
         lists = [pa.ListArray.from_arrays(offsets, np.concatenate(c)) for c in (picked, scores)]
         return pa.table({"query_id": pa.array(query), "ids": lists[0], "scores": lists[1]})
