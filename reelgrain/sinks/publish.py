@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MODEL_EXTENSIONS
@@ -15,6 +16,8 @@ from ..sources.discovery import latest
 
 COPY_BYTES = 8 << 20
 MANIFEST = "src STRING, dst STRING, bytes BIGINT"
+#: Folders that the versions of a model are dealt into.
+VERSION_PARTS = 8
 
 
 def publish_manifest(objects: DataFrame, source_root: str, target_root: str, exts: tuple[str, ...] = MODEL_EXTENSIONS,
@@ -91,18 +94,42 @@ def publish_latest(df: DataFrame, root: str, model_key: str, version: str, tie:
     """Write every version of the models in `df` under `versions/`, and the newest published one of each under `latest/`.
 
     A version published again replaces the one before it; other versions stay, and an older version that
-    arrives late never becomes the latest. Each model is written by one group of tasks, so files stay few.
+    arrives late never becomes the latest. Versions lie in VERSION_PARTS folders a model by a hash, not in one each, so files
+    stay few however many versions there are; the folders that `df` has versions of are written anew.
     """
+    spark = df.sparkSession
     versions, newest = f"{root.rstrip('/')}/versions", f"{root.rstrip('/')}/latest"
-    stored = df.withColumn("_version", F.col(version).cast("string"))
-    _overwrite_parts(stored, versions, [model_key, "_version"])
+    text = F.col(version).cast("string")
+    stored = df.withColumn("_version", F.when(text != "", text))
+    stored = stored.withColumn("_part", F.pmod(F.xxhash64("_version"), F.lit(VERSION_PARTS)).cast("int"))
+    every = stored
+    if _exists(spark, versions):
+        old = spark.read.schema(stored.schema).parquet(versions)
+        folders = stored.select(model_key, "_part").distinct().alias("n")
+        old = old.alias("o").join(folders, _same("o", "n", [model_key, "_part"]), "left_semi")
+        again = stored.select(model_key, "_version").distinct().alias("n")
+        every = stored.unionByName(old.alias("o").join(again, _same("o", "n", [model_key, "_version"]), "left_anti").select(*stored.columns))
+    # the folders are only replaced when all rows are written beside them
+    _overwrite_parts(every, versions, [model_key, "_part"])
     # what lies there now, versions of earlier calls included, of the models given only
-    published = df.sparkSession.read.schema(stored.schema).parquet(versions).select(*df.columns)
+    published = spark.read.schema(stored.schema).parquet(versions).select(*df.columns)
     published = published.join(df.select(model_key).distinct(), model_key, "left_semi")
     _overwrite_parts(latest(published, version, [model_key], tie), newest, [model_key])
     return versions, newest
 
 
+def _same(left: str, right: str, columns: list[str]) -> Column:
+    """Equal columns of two aliased tables, nulls included; an empty text is a null, as in names of folders."""
+    pairs = [[F.col(f"{t}.{c}") for t in (left, right)] for c in columns]
+    return reduce(Column.__and__, [F.when(a.cast("string") != "", a).eqNullSafe(F.when(b.cast("string") != "", b)) for a, b in pairs])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()).exists(target)
+
+
 def _overwrite_parts(rows: DataFrame, target: str, parts: list[str]) -> None:
     """Replace the partitions that `rows` has and leave the others."""
     (rows.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -188,3 +188,15 @@ def test_publish_latest(spark, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(latest).select(*first.columns).collect()} == {("m1", 3, "d"), ("m2", 2, "e")}
     assert {tuple(r) for r in spark.read.parquet(versions).select(*first.columns).collect()} == {
         ("m1", 1, "a"), ("m1", 2, "again"), ("m1", 3, "d"), ("m2", 1, "c"), ("m2", 2, "e")}
+
+
+def test_many_versions_lie_in_few_files(spark, tmp_path):
+    rows = spark.range(400).select(F.concat(F.lit("m"), F.pmod("id", F.lit(2))).alias("model"), F.col("id").cast("int").alias("version"), F.lit("a").alias("path"))
+    odd = spark.createDataFrame([("m0", None, "none"), (None, 1, "nobody")], "model STRING, version INT, path STRING")
+    pub.publish_latest(rows.union(odd), str(tmp_path), "model", "version", "path")
+    again = spark.createDataFrame([("m0", 10, "b"), ("m0", None, "other"), (None, 1, "b"), ("m1", 1000, "c")], odd.schema)
+    versions, latest = pub.publish_latest(again, str(tmp_path), "model", "version", "path")
+    assert sum(f.endswith(".parquet") for _, _, fs in os.walk(versions) for f in fs) <= 3 * pub.VERSION_PARTS
+    got = sorted(map(str, spark.read.parquet(versions).select(*rows.columns).collect()))
+    assert got == sorted(map(str, [*[r for r in rows.collect() if r.version != 10], *again.collect()]))
+    assert {tuple(r) for r in spark.read.parquet(latest).select(*rows.columns).collect()} == {("m0", 398, "a"), ("m1", 1000, "c")}
