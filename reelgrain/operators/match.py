@@ -1,18 +1,19 @@
 """Feature matching: exact nearest neighbours within a scene, ratio test, mutual check.
 
-All images of a scene are compared, but pairs never become rows. Vectors are grouped around pivot
-vectors; tasks compare bounded blocks with a matrix product and keep `k` rows per query. A query
-visits another group only when the triangle inequality leaves room for something closer than what
-its own group gave (the pivot scheme of Lu et al. 2012), so the result is exact.
+All images of a scene are compared, but pairs never become rows. Tasks hold a block of queries and one of targets,
+both of bounded size, and keep `k` rows per query. In a task targets are grouped around pivot vectors, and a query meets
+another group only when its centre and radius leave room for something closer than what it has; matrix products
+in single precision pick what may be among the best, which is then scored in full, so the result is exact.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -22,17 +23,17 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 from .ordered import top_n
 
-BLOCK_ROWS = 2048
-MAX_PIVOTS = 4096
+#: Vectors in a block at most, and their bytes.
+BLOCK_ROWS, BLOCK_BYTES = 1 << 17, 32 << 20
+#: Blocks of queries that a whole table has at least, and the queries that make another one worth it.
+FEW_BLOCKS, LEAST_QUERIES = 12, 4096
 DIGITS = 12
-SLACK = 1e-6
-PIECE_ROWS = 1024
-VISIT_ROWS = 20_000
-WHOLE_SCENE = -1
+#: Rows of a piece of a block, queries that meet it at once, and the share of pairs from which a whole product is cheaper than single ones.
+PIECE_ROWS, AT_ONCE, DENSE = 1024, 256, 0.02
 #: Images that a bucket of the approximate search should hold, projections and tables at most.
 BUCKET_ROWS, MAX_BITS, MAX_TABLES = 512, 24, 8
-#: Boundaries that probes may cross, sampled queries per number of bits, and probes that are written at once.
-FLIPPED, SAMPLED, PROBES_AT_ONCE = 12, 256, 64
+#: Boundaries that probes may cross, sampled queries per number of bits, and bits of a key that are told apart inside a task at most.
+FLIPPED, SAMPLED, MAX_SHIFT = 12, 256, 14
 
 
 def pair_counts(frames: DataFrame, scene: str) -> DataFrame:
@@ -48,115 +49,168 @@ def _unit(values: pd.Series) -> np.ndarray:
     return rows / np.where(norms == 0, 1.0, norms)
 
 
-def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2.0 - 2.0 * (rows @ pivots.T), 0.0))
-
-
-def _best(k: int):
-    """Task body: the best `k` targets of a block for every query of a block."""
-
-    def compare(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
-        names = ["scene", "sig", "src", "bound", "dst", "score"]
-        if queries.empty or targets.empty:
-            return pd.DataFrame({n: [] for n in names}).astype({"bound": float, "score": float})
-        scores = np.round(_unit(queries["vec"]) @ _unit(targets["vec"]).T, DIGITS)
-        src, dst = queries["src"].to_numpy(), targets["id"].to_numpy()
-        scores[src[:, None] == dst[None, :]] = -np.inf
-        by_id = np.argsort(dst, kind="stable")
-        scores, dst = scores[:, by_id], dst[by_id]
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        picked = np.take_along_axis(scores, order, axis=1)
-        rows = np.repeat(np.arange(len(queries)), order.shape[1])
-        out = pd.DataFrame({
-            "scene": queries["scene"].to_numpy()[rows], "sig": queries["sig"].to_numpy()[rows], "src": src[rows],
-            "bound": queries["bound"].to_numpy()[rows], "dst": dst[order.ravel()], "score": picked.ravel(),
-        })
-        return out[np.isfinite(out["score"])]
+def _units(column: pa.ChunkedArray) -> np.ndarray:
+    rows = column.combine_chunks()
+    flat = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
+    norms = np.linalg.norm(flat, axis=1, keepdims=True)
+    flat /= np.where(norms == 0, 1.0, norms)
+    return flat
+
+
+def _merge(best: np.ndarray, who: np.ndarray, rows: np.ndarray, at: np.ndarray, score: np.ndarray, code: np.ndarray) -> None:
+    """Put what is among the k best into those rows of `best` and `who`: the highest scores first, equal ones by code."""
+    k, found = best.shape[1], np.unique(at)
+    at = np.concatenate([at, np.repeat(found, k)])
+    score, code = np.concatenate([score, best[rows[found]].ravel()]), np.concatenate([code, who[rows[found]].ravel()])
+    filled = np.isfinite(score)
+    at, score, code = at[filled], score[filled], code[filled]
+    order = np.lexsort((code, -score, at))
+    at, score, code = at[order], score[order], code[order]
+    rank = np.arange(len(at)) - np.searchsorted(at, at)
+    at, score, code, rank = (c[rank < k] for c in (at, score, code, rank))
+    best[rows[found]], who[rows[found]] = -np.inf, -1
+    best[rows[at], rank], who[rows[at], rank] = score, code
+
+
+def _searched(q: np.ndarray, own: np.ndarray, t: np.ndarray, code: np.ndarray, k: int, pivots: int | None,
+              met: Callable[[slice], np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and codes of the `k` best targets of each query; `met` tells which targets a slice of queries meets."""
+    some = t[np.random.default_rng(11).permutation(len(t))[:pivots or -(-len(t) // PIECE_ROWS)]]
+    home = np.concatenate([(t[i:i + PIECE_ROWS] @ some.T).argmax(axis=1) for i in range(0, len(t), PIECE_ROWS)])
+    order = np.argsort(home, kind="stable")
+    t, code = t[order], code[order]
+    quick = t.astype(np.float32)
+    pieces = [slice(i, min(i + PIECE_ROWS, len(t))) for i in range(0, len(t), PIECE_ROWS)]
+    centres = np.stack([t[p].mean(axis=0) for p in pieces])
+    radius = np.array([np.sqrt(((t[p] - c) ** 2).sum(axis=1)).max() for p, c in zip(pieces, centres, strict=True)])
+    slack = 2 * (1e-6 + 1.2e-7 * t.shape[1])  # of single precision
+    scores, found = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
+    for start in range(0, len(q), AT_ONCE):
+        part = slice(start, min(start + AT_ONCE, len(q)))
+        mine, best, who = q[part], scores[part], found[part]
+        small, allowed = mine.astype(np.float32), met(part)[:, order] if met else None
+        # no product with a target of a piece is larger
+        most = np.nan_to_num(mine @ centres.T + np.linalg.norm(mine, axis=1, keepdims=True) * radius, nan=np.inf)
+        for n in np.argsort(-most.max(axis=0), kind="stable"):
+            rows, p = np.flatnonzero(most[:, n] >= best[:, -1] - slack), pieces[n]
+            if not len(rows):
+                continue
+            near = small[rows] @ quick[p].T
+            near[np.isnan(near)] = -np.inf
+            near[own[part][rows, None] == code[None, p]] = -np.inf
+            if allowed is not None:
+                near[~allowed[rows, p]] = -np.inf
+            floor = best[rows, -1] - slack
+            empty = np.flatnonzero(best[rows, -1] == -np.inf)
+            if len(empty) and near.shape[1] > k:
+                floor[empty] = np.partition(near[empty], near.shape[1] - k, axis=1)[:, near.shape[1] - k] - slack
+            i, j = np.divmod(np.flatnonzero((near >= floor[:, None].astype(np.float32)) & (near > -np.inf)), near.shape[1])
+            if not len(i):
+                continue
+            if len(i) > DENSE * near.size:
+                exact = (mine[rows] @ t[p].T)[i, j]
+            else:
+                exact = np.einsum("ij,ij->i", mine[rows[i]], t[p][j])
+            _merge(best, who, rows, i, np.round(exact, DIGITS), code[p][j])
+    return scores, found
+
+
+def _best(k: int, pivots: int | None, shift: int | None):
+    """Task body: the best `k` targets of a block for every query of a block; with `shift`, of the buckets that it probes."""
+
+    def compare(queries: pa.Table, targets: pa.Table) -> pa.Table:
+        names = ["scene", "sig", "src", "dst", "score"]
+        ids = targets.column("id")
+        if not len(queries) or not len(targets):
+            parts = [*[queries.column(c).slice(0, 0) for c in ("scene", "sig", "src")], ids.slice(0, 0), pa.array([], pa.float64())]
+            return pa.table(dict(zip(names, parts, strict=True)))
+        known, code = np.unique(ids.to_numpy(), return_inverse=True)
+        src = queries.column("src").combine_chunks()
+        asks = src.drop_null().to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(known, asks), len(known) - 1)
+        own = np.full(len(src), -1)
+        own[src.is_valid().to_numpy(zero_copy_only=False)] = np.where(known[at] == asks, at, -1)
+        met = None
+        if shift is not None:
+            spots, width = queries.column("at").to_pylist(), 1 << shift
+            probes, key = queries.column("probes").to_numpy(), targets.column("key").to_numpy()
+            base = int(key[0]) >> shift << shift
+            spots = np.frombuffer(b"".join(spots)).reshape(len(spots), len(spots[0]) // 8)
+
+            def met(part: slice) -> np.ndarray:
+                keys = _probes(spots[part], int(probes[0])) - base
+                marked = np.zeros((len(keys), width + 1), bool)
+                # what lies on other shelves is marked in a column of its own
+                marked[np.arange(len(keys))[:, None], np.where((keys >= 0) & (keys < width), keys, width)] = True
+                return marked[:, key - base]
+
+        scores, who = _searched(_units(queries.column("vec")), own, _units(targets.column("vec")), code, k, pivots, met)
+        row, place = np.nonzero(who >= 0)
+        first = np.unique(code, return_index=True)[1]
+        took = queries.select(["scene", "sig", "src"]).take(pa.array(row))
+        return took.append_column("dst", ids.take(pa.array(first[who[row, place]]))).append_column("score", pa.array(scores[row, place]))
 
     return compare
 
 
-def _blocks(rows: DataFrame, keys: list[str], who: str, size: int, out: str, count: str) -> DataFrame:
-    """Number the blocks of about `size` rows that each group is cut into."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = sizes.select(*keys, F.ceil(F.col("_rows") / size).cast("int").alias(count))
-    return rows.join(sizes, keys).withColumn(out, F.pmod(F.xxhash64(who, F.lit(7)), F.col(count)).cast("int"))
-
-
-def _compare(queries: DataFrame, targets: DataFrame, k: int, size: int, schema: str) -> DataFrame:
+def _compare(queries: DataFrame, targets: DataFrame, k: int, size: int, schema: str, pivots: int | None = None, shift: int | None = None) -> DataFrame:
     """Queries against the targets of the same scene and cell, block by block."""
     keys = ["scene", "cell"]
-    q = _blocks(queries, keys, "sig", size, "qb", "qn")
-    t = _blocks(targets, keys, "id", size, "tb", "tn")
-    qn = q.select(*keys, "qn").distinct()
-    tn = t.select(*keys, "tn").distinct()
-    q = q.join(tn, keys).withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tn") - 1)))
-    t = t.join(qn, keys).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)))
+    counts = queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_q")).join(targets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_t")), keys)
+    counts = cut_lineage(counts)
+    total = counts.agg(F.sum("_q")).first()[0] or 1
+    # a share of the table has its share of the blocks, so that one scene is not one task
+    parts = F.greatest(F.ceil(F.col("_q") / size), F.least(F.ceil(F.col("_q") / LEAST_QUERIES), F.ceil(F.col("_q") * FEW_BLOCKS / total)))
+    # read with a known size, so that Spark broadcasts it if it is small and no vector moves for it
+    counts = counts.select(*keys, parts.cast("int").alias("qn"), F.ceil(F.col("_t") / size).cast("int").alias("tn"))
+
+    def dealt(rows: DataFrame, who: str, mine: str, own: str, other: str, others: str) -> DataFrame:
+        rows = rows.join(counts, keys).withColumn(mine, F.pmod(F.xxhash64(who, F.lit(7)), F.col(own)).cast("int"))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1))).drop("qn", "tn")
+
     at = [*keys, "qb", "tb"]
-    q = q.select(*at, "sig", "src", "vec", "bound")
+    q, t = dealt(queries, "sig", "qb", "qn", "tb", "tn"), dealt(targets, "id", "tb", "tn", "qb", "qn")
     # fresh columns: both sides may come from one table
-    t = t.select(*[F.col(c).alias(c) for c in (*at, "id", "vec")])
-    return q.groupBy(*at).cogroup(t.groupBy(*at)).applyInPandas(_best(k), schema)
+    t = t.select(*[F.col(c).alias(c) for c in t.columns])
+    return q.groupBy(*at).cogroup(t.groupBy(*at)).applyInArrow(_best(k, pivots, shift), schema)
 
 
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Batches cut so that a distance matrix to all pivots stays small."""
+    """Batches cut so that a matrix of products stays small."""
     for batch in batches:
         for start in range(0, len(batch), PIECE_ROWS):
             yield batch.iloc[start:start + PIECE_ROWS]
 
 
-def _assign(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Nearest pivot of each row and the distance to it; a small scene is one cell."""
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
-    schema = T.StructType(rows.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("own", T.DoubleType())])
-
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in _pieces(batches):
-            gaps = _distances(_unit(piece["vec"]), shared.value)
-            cell = np.where(piece["big"], gaps.argmin(axis=1), WHOLE_SCENE)
-            yield piece.assign(cell=cell.astype(np.int32), own=gaps.min(axis=1))
-
-    return rows.mapInPandas(task, schema)
-
-
-def _visits(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """One row per further cell in which a query may still find something closer than its bound."""
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
-
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in _pieces(batches):
-            gaps = _distances(_unit(piece["vec"]), shared.value)
-            own = piece["own"].to_numpy()
-            reach = np.sqrt(np.maximum(2.0 - 2.0 * piece["bound"].to_numpy(), 0.0)) + SLACK
-            open_ = (gaps - own[:, None]) / 2.0 <= reach[:, None]
-            open_[np.arange(len(gaps)), piece["cell"].to_numpy()] = False
-            at, cell = np.nonzero(open_)
-            for start in range(0, len(at), VISIT_ROWS):
-                part = slice(start, start + VISIT_ROWS)
-                yield piece.iloc[at[part]].assign(cell=cell[part].astype(np.int32))
-
-    return rows.mapInPandas(task, rows.schema)
+def _fitting(rows: DataFrame, block_rows: int) -> int:
+    """Vectors of a block: as many as asked for and as BLOCK_BYTES hold, by the size of one of them."""
+    first = rows.select(F.size("vec")).first()
+    return max(1, min(block_rows, BLOCK_BYTES // (4 * first[0] if first else 1)))
 
 
 def _found_schema(features: DataFrame, id: str, scene: str) -> str:
     kind, label = features.schema[id].dataType.simpleString(), features.schema[scene].dataType.simpleString()
-    return f"scene {label}, sig string, src {kind}, bound double, dst {kind}, score double"
+    return f"scene {label}, sig binary, src {kind}, dst {kind}, score double"
 
 
 def _signed(features: DataFrame, id: str, scene: str, vec: str) -> DataFrame:
     """`scene, id, vec, sig`: images with a scene, and one signature per distinct vector."""
-    rows = features.where(F.col(scene).isNotNull()).select(F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
-    return rows.withColumn("sig", F.sha2(F.to_json(F.struct("vec")), 256))
-
-
-def _reduced(rows: DataFrame, k: int, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Images that can be in a list, k + 1 for each vector, and one query for each of them and for all other copies together."""
-    targets = top_n(rows, ["scene", "sig"], [F.asc("id")], k + 1)
-    spare = rows.groupBy("scene", "sig").agg(F.count(F.lit(1)).alias("_n"), F.min_by("vec", "id").alias("vec"))
+    rows = features.where(F.col(scene).isNotNull() & (F.size(vec) > 0)).select(F.col(scene).alias("scene"), F.col(id).alias("id"), F.col(vec).alias("vec"))
+    return cut_lineage(rows.withColumn("sig", F.unhex(F.sha2(F.to_json(F.struct("vec")), 256))))
+
+
+def _reduced(rows: DataFrame, k: int, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Images that can be in a list, k + 1 for each vector, one query for each of them and for all other copies together, and what has so many copies."""
+    crowded = cut_lineage(rows.groupBy("scene", "sig").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > k + 1).select("scene", "sig"))
+    # vectors only move where they have many copies
+    crowd = rows.join(crowded, ["scene", "sig"], "left_semi")
+    columns = ["scene", "id", "vec", "sig"]
+    targets = rows.join(crowded, ["scene", "sig"], "left_anti").select(*columns).unionByName(
+        top_n(crowd, ["scene", "sig"], [F.asc("id")], k + 1).select(*columns))
     # copies that are not targets search as one query without an id
-    spare = spare.where(F.col("_n") > k + 1).select("scene", F.lit(None).cast(kind).alias("src"), "vec", "sig")
-    return targets, targets.select("scene", F.col("id").alias("src"), "vec", "sig").unionByName(spare)
+    spare = crowd.groupBy("scene", "sig").agg(F.min_by("vec", "id").alias("vec"))
+    spare = spare.select("scene", F.lit(None).cast(kind).alias("src"), "vec", "sig")
+    return targets, targets.select("scene", F.col("id").alias("src"), "vec", "sig").unionByName(spare), crowd
 
 
 def _spread(found: DataFrame, rows: DataFrame, targets: DataFrame, k: int, scene: str, kind: str) -> DataFrame:
@@ -175,51 +229,18 @@ def nearest(features: DataFrame, id: str, scene: str, vec: str, k: int = 2, bloc
             pivots: int | None = None) -> DataFrame:
     """The `k` most similar images of the same scene for every image: (scene, src, dst, score, rank).
 
-    Similarity is the cosine; equal scores go to the smaller id; images without a scene match
+    Similarity is the cosine; equal scores go to the smaller id; images without a scene or a vector match
     nothing. Exact copies of a vector beyond the first k + 1 cannot enter anyone's list and share
-    one search, so a large group of copies costs no more than a single image. Scenes that fit a
-    block are compared at once; only bigger ones are grouped around pivots.
+    one search, so a large group of copies costs no more than a single image. Blocks have `block_rows` vectors at most, or
+    BLOCK_BYTES of them, and `pivots` groups inside a task, or one for PIECE_ROWS targets.
     """
     rows = _signed(features, id, scene, vec)
     kind = features.schema[id].dataType.simpleString()
-    schema = _found_schema(features, id, scene)
-    total = rows.count()
-    targets, queries = _reduced(rows, k, kind)
-
-    large = targets.groupBy("scene").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
-    large = large.select("scene", F.lit(True).alias("_large"))
-
-    def sized(part: DataFrame) -> DataFrame:
-        joined = part.join(large, "scene", "left")
-        return joined.withColumn("big", F.coalesce("_large", F.lit(False))).drop("_large")
-
-    wanted = min(MAX_PIVOTS, max(1, math.ceil(total / block_rows))) if pivots is None else pivots
-    # at most MAX_PIVOTS vectors reach the driver
-    chosen = targets.join(large, "scene", "left_semi").orderBy(F.xxhash64("id", F.lit(11))).select("vec").take(wanted)
-
-    blank = F.lit(float("-inf"))
-    if len(chosen) < 2:
-        q = queries.withColumns({"cell": F.lit(0), "bound": blank})
-        t = targets.withColumn("cell", F.lit(0))
-        found = _compare(q, t, k, block_rows, schema)
-    else:
-        centre = _unit(pd.Series([r[0] for r in chosen]))
-        # both are read several times below
-        t = cut_lineage(_assign(sized(targets), centre))
-        q = cut_lineage(_assign(sized(queries), centre))
-        first = cut_lineage(_compare(q.withColumn("bound", blank), t, k, block_rows, schema))
-        bounds = first.groupBy("scene", "sig", "src").agg(F.array_sort(F.collect_list("score")).alias("_s"))
-        # k scores per visited block, so the collected list is short
-        kth = F.when(F.size("_s") >= k, F.element_at("_s", -k)).otherwise(F.lit(-1.0))
-        bounds = bounds.select("scene", "sig", "src", kth.alias("bound"))
-        same = (F.col("q.scene").eqNullSafe(F.col("b.scene")) & (F.col("q.sig") == F.col("b.sig"))
-                & F.col("q.src").eqNullSafe(F.col("b.src")))
-        open_ = q.where("big").alias("q").join(bounds.alias("b"), same, "left").select(
-            "q.*", F.coalesce("b.bound", F.lit(-1.0)).alias("bound"))
-        second = _compare(_visits(open_, centre), t, k, block_rows, schema)
-        found = first.unionByName(second.where(F.col("score") >= F.col("bound") - SLACK))
-
-    return _spread(found, rows, targets, k, scene, kind)
+    targets, queries, crowd = _reduced(rows, k, kind)
+    whole = F.lit(0).alias("cell")
+    found = _compare(queries.select("*", whole), targets.select("*", whole), k, _fitting(rows, block_rows),
+                     _found_schema(features, id, scene), pivots)
+    return _spread(cut_lineage(found), crowd, targets, k, scene, kind)
 
 
 def match(features: DataFrame, id: str, scene: str, vec: str, ratio: float | None = 0.8, mutual: bool = True,
@@ -302,7 +323,8 @@ def _calibrated(queries: DataFrame, targets: DataFrame, k: int, planes: np.ndarr
                             best.setdefault(i, []).append((-row[j], dst[j], place[j]))
                     best[i] = sorted(best.get(i, []), key=lambda b: b[:2])[:k]
         rows = [(i, -b[0], b[2]) for i, found in best.items() for b in found]
-        yield pd.DataFrame({"i": [r[0] for r in rows], "score": [r[1] for r in rows], "place": [r[2] for r in rows]}).astype({"i": "int32", "score": float})
+        if rows:
+            yield pd.DataFrame({"i": [r[0] for r in rows], "score": [r[1] for r in rows], "place": [r[2] for r in rows]}).astype({"i": "int32", "score": float})
 
     scored = targets.where("bits > 0").select("scene", "id", "vec", "place").mapInPandas(task, "i int, score double, place array<double>")
     pairs = top_n(scored, ["i"], [F.desc("score")], k).collect()
@@ -341,7 +363,7 @@ def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int =
     """
     kind, schema = features.schema[id].dataType.simpleString(), _found_schema(features, id, scene)
     rows = _signed(features.where(F.size(vec) > 0), id, scene, vec)
-    targets, queries = _reduced(rows, k, kind)
+    targets, queries, crowd = _reduced(rows, k, kind)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     unit = F.transform("vec", lambda x: x.cast("double") / F.when(norm > 0, norm).otherwise(F.lit(1.0)))
     means = targets.groupBy("scene").agg(F.count(F.lit(1)).alias("_n"), Summarizer.mean(array_to_vector(unit)).alias("_m"))
@@ -353,31 +375,42 @@ def approx_nearest(features: DataFrame, id: str, scene: str, vec: str, k: int =
         return part.join(means, F.col("scene") == F.col("_of")).withColumn(
             "place", F.zip_with(unit, "_mean", lambda x, m: x - m)).drop("_of", "_mean")
 
-    targets, queries = cut_lineage(placed(targets)), cut_lineage(placed(queries))
-    first = targets.select(F.size("vec")).first()
+    # placed anew each time it is read: a table of places would be larger than that of the vectors
+    alike = targets
+    targets, queries = placed(targets), placed(queries)
+    first = rows.select(F.size("vec")).first()
     planes = _planes(first[0] if first else 1, seed, MAX_TABLES)
     plan = _calibrated(queries, targets, k, planes, recall)
+    size = _fitting(rows, block_rows)
+    # so many bits of a key are told apart inside a task: buckets that lie together make a block
+    shift = max(0, min(MAX_SHIFT, int(math.log2(max(1, size // (2 * bucket_rows))))))
 
-    def bucketed(all_probes: bool):
+    def bucketed(asks: bool):
         def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for piece in _pieces(batches):
                 for b, part in piece.groupby("bits"):
                     tables, probes = plan.get(int(b), (1, 1))
-                    place = np.array(part["place"].tolist(), dtype=np.float64)
+                    place, flat = np.array(part["place"].tolist(), dtype=np.float64), part.drop(columns=["bits", "place"])
                     for t in range(tables if b else 1):
-                        keys = _probes(place @ planes[t][:, :int(b)], probes if all_probes else 1)
-                        flat = part.drop(columns=["bits", "place"])
-                        for start in range(0, keys.shape[1], PROBES_AT_ONCE):
-                            some = keys[:, start:start + PROBES_AT_ONCE]
-                            out = flat.iloc[np.repeat(np.arange(len(flat)), some.shape[1])]
-                            yield out.assign(cell=(t << MAX_BITS) + some.ravel())
+                        spots = place @ planes[t][:, :int(b)]
+                        if not asks:
+                            key = _probes(spots, 1)[:, 0]
+                            yield flat.assign(cell=(t << MAX_BITS) + (key >> shift), key=key)
+                            continue
+                        for start in range(0, len(flat), AT_ONCE):
+                            shelves = np.sort(_probes(spots[start:start + AT_ONCE], probes) >> shift, axis=1)
+                            new = np.ones(shelves.shape, bool)
+                            new[:, 1:] = np.diff(shelves, axis=1) != 0
+                            who, which = np.nonzero(new)
+                            out = flat.iloc[start + who]
+                            yield out.assign(cell=(t << MAX_BITS) + shelves[who, which], at=[r.tobytes() for r in spots[start + who]], probes=np.int32(probes))
         return task
 
-    def spots(part: DataFrame, all_probes: bool) -> DataFrame:
+    def spots(part: DataFrame, asks: bool) -> DataFrame:
         fields = [f for f in part.schema.fields if f.name not in ("bits", "place")]
-        return part.mapInPandas(bucketed(all_probes), T.StructType([*fields, T.StructField("cell", T.LongType())]))
+        fields += [T.StructField("cell", T.LongType())]
+        fields += [T.StructField("at", T.BinaryType()), T.StructField("probes", T.IntegerType())] if asks else [T.StructField("key", T.LongType())]
+        return part.mapInPandas(bucketed(asks), T.StructType(fields))
 
-    visits = spots(queries, True).withColumn("bound", F.lit(float("-inf")))
-    # both are read for the sizes of blocks and for the comparison
-    found = _compare(cut_lineage(visits), cut_lineage(spots(targets, False)), k, block_rows, schema).distinct()
-    return _spread(found, rows, targets, k, scene, kind)
+    found = _compare(spots(queries, True), spots(targets, False), k, size, schema, shift=shift)
+    return _spread(cut_lineage(found.distinct()), crowd, alike, k, scene, kind)
