@@ -89,3 +89,36 @@ def test_components_of_text_ids(spark):
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("z", "y")], "s STRING, d STRING")
     got = {r.node: r.component for r in components(edges, "s", "d").collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "y": "y", "z": "y"}
+
+
+def unstructured(spark):
+    """Vectors without clusters, of two scenes, some of them copies."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 16))
+    x[350:] = x[:50]
+    return spark.createDataFrame([(i, i % 5 == 0, v.tolist()) for i, v in enumerate(x)], "vec_id BIGINT, label BOOLEAN, embedding ARRAY<FLOAT>")
+
+
+@pytest.mark.parametrize("rows", [30, 400])
+def test_nearest_across_blocks(spark, monkeypatch, rows):
+    monkeypatch.setattr(m, "BLOCK_BYTES", rows * 16 * 4)
+    monkeypatch.setattr(m, "LEAST_QUERIES", 50)
+    monkeypatch.setattr(m, "PIECE_ROWS", 32)
+    df = unstructured(spark)
+    got = m.nearest(df, "vec_id", "label", "embedding", 3)
+    assert sorted(tuple(r) for r in got.select("label", "src", "dst", "rank").collect()) == brute(df, 3)
+
+
+@pytest.mark.parametrize("shift", [0, 2, 14])
+def test_shelves_of_buckets_give_the_same_lists(spark, monkeypatch, shift):
+    df = unstructured(spark)
+    want = {tuple(r) for r in m.approx_nearest(df, "vec_id", "label", "embedding", 2, bucket_rows=8, recall=0.6).collect()}
+    monkeypatch.setattr(m, "MAX_SHIFT", shift)
+    monkeypatch.setattr(m, "BLOCK_BYTES", 1 << 20)
+    assert {tuple(r) for r in m.approx_nearest(df, "vec_id", "label", "embedding", 2, bucket_rows=8, recall=0.6).collect()} == want
+
+
+def test_images_without_a_vector_match_nothing(spark):
+    df = features(spark).union(spark.createDataFrame([(900, 0, None), (901, 0, [])], "vec_id BIGINT, label INT, embedding ARRAY<FLOAT>"))
+    got = m.nearest(df, "vec_id", "label", "embedding", 2)
+    assert sorted(tuple(r) for r in got.select("label", "src", "dst", "rank").collect()) == brute(features(spark), 2)
